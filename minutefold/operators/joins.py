@@ -6,16 +6,11 @@ against ``spark.sql.autoBroadcastJoinThreshold``, and sort-merges beyond it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import bin_index, bin_start, step_micros
 
-# Events of one key and bin that one task may match against one series row. AQE
-# cannot split the right side of a left join, so larger groups take another plan.
-HOT_GROUP_ROWS = 1_000_000
-
-
 def _binned(events: DataFrame, ts: str, every: str, name: str) -> DataFrame:
     step = step_micros(every)
     edge = bin_start(bin_index(F.col(ts), step), step, events.schema[ts].dataType)
@@ -29,28 +24,35 @@ def series_with_events(
     series_ts: str,
     event_ts: str,
     every: str = "1 minute",
-    hot_group_rows: int = HOT_GROUP_ROWS,
+    spread: bool | None = None,
 ) -> DataFrame:
     """Every series row, with the events of its key whose bin starts at its time.
 
     Equality on the bin, not an as-of match. A series row with several events comes
     out several times; one without any has nulls in the event columns.
 
-    The largest group of events is counted first. When it is too large for one task
-    the left join is written as an inner join, whose two sides AQE can both split,
-    plus an anti join against the distinct keys of the events.
+    Events that Spark will broadcast are left-joined. Others may crowd into one bin,
+    and AQE cannot split the right side of a left join; ``spread`` therefore writes
+    it as an inner join, where AQE splits either side, plus an anti join against the
+    distinct keys of the events. Both read one shuffle of the series.
     """
     on = [*keys, series_ts]
     added = [c for c in events.columns if c not in (*keys, event_ts)]
-    binned = _binned(events, event_ts, every, "__edge")
-    right = binned.select(*keys, F.col("__edge").alias(series_ts), *added)
+    edges = [f"__on{i}" for i in range(len(on))]
+    binned = _binned(events, event_ts, every, edges[-1]).dropna(subset=[*keys, edges[-1]])
+    right = binned.withColumnsRenamed(dict(zip(keys, edges, strict=False))).select(*edges, *added)
     out = [*series.columns, *added]
 
-    largest = right.dropna(subset=on).groupBy(*on).count().agg(F.max("count")).first()[0]
-    if (largest or 0) <= hot_group_rows:
-        return series.join(right, on, "left").select(*out)
-    matched = series.join(right, on, "inner").select(*out)
-    unmatched = series.join(right.select(*on).distinct(), on, "left_anti")
+    if spread is None:
+        spread = not _will_broadcast(right)
+    if not spread:
+        return series.join(right, _equal(on, edges), "left").select(*out)
+    # Null-safe equality: plain equality would filter nulls out of the series under
+    # the inner join only, and the two joins could not share its shuffle. The right
+    # side has no nulls, so the results are the same.
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(on, edges, strict=True)]
+    matched = series.join(right, same, "inner").select(*out)
+    unmatched = series.join(right.select(*edges).distinct(), same, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
@@ -92,3 +94,14 @@ def orphans(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> D
     return child.where(F.col(col).isNotNull()).join(
         known, F.col(col) == F.col("__parent"), "left_anti"
     )
+
+
+def _equal(left: list[str], right: list[str]) -> list[Column]:
+    return [F.col(a) == F.col(b) for a, b in zip(left, right, strict=True)]
+
+
+def _will_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's size estimate of the frame is within its broadcast threshold."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit

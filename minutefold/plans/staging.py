@@ -36,19 +36,18 @@ def stg_missions(raw: DataFrame, on_bad: str = "error") -> DataFrame:
     Distinct comes after the flattening and the time conversion, so one instant
     logged under two offsets is one row.
     """
-    known = drop_null_keys(raw, ["mission_id"])
-    per_hero = explode_json_array(known, "hero_ids", "hero_id", on_bad)
-    damages = per_hero.withColumn("damages", json_fields(F.col("damage_report"), DAMAGES))
-    return distinct_rows(
-        damages.select(
-            "mission_id",
-            "hero_id",
-            "location",
-            to_utc_ntz(F.col("timestamp")).alias("timestamp"),
-            "outcome",
-            *[F.col(f"damages.{d}").alias(d) for d in DAMAGES],
-        )
+    # Everything that is per mission is parsed before the rows multiply.
+    parsed = drop_null_keys(raw, ["mission_id"]).select(
+        "mission_id",
+        "hero_ids",
+        "location",
+        to_utc_ntz(F.col("timestamp")).alias("timestamp"),
+        "outcome",
+        json_fields(F.col("damage_report"), DAMAGES).alias("damages"),
     )
+    per_hero = explode_json_array(parsed, "hero_ids", "hero_id", on_bad)
+    damages = [F.col(f"damages.{d}").alias(d) for d in DAMAGES]
+    return distinct_rows(per_hero.select("*", *damages).drop("damages"))
 
 
 def stg_biometrics(raw: DataFrame) -> DataFrame:

@@ -49,7 +49,9 @@ class Tables:
         return f"{self.folder.rstrip('/')}/{name}.parquet"
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        df = self.spark.read.parquet(self.path(name))
+        setattr(self, name, df)  # found there from now on
+        return df
 
 
 def query(sql: str | None = None):
@@ -374,9 +376,9 @@ def obt_series_left(t):
 
 
 @query(f"{WIDE_BY_HOUR} SELECT * FROM wide")
-def obt_series_left_hot_groups(t):
-    """The same through the plan for groups of events too large for one task."""
-    return wide_by_hour(t, hot_group_rows=1)
+def obt_series_left_spread(t):
+    """The same through the plan for events that may crowd into one bin."""
+    return wide_by_hour(t, spread=True)
 
 
 WIDE_BY_EVENT = f"""WITH {dense_sql('user_id', 'hour', EVENT_CENTS, ['cents'])},
@@ -926,8 +928,16 @@ def stg_missions(t: Tables) -> DataFrame:
     return staging.stg_missions(raw_missions(t))
 
 
+def landed(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a table, as the layers hold what several steps read."""
+    path = scratch_path(df.sparkSession, label)
+    export_parquet(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def obt_biometrics(t: Tables) -> DataFrame:
-    return analytics.obt_biometrics(stg_biometrics(t), stg_missions(t), dim_heroes(t), HOUR)
+    missions = landed(stg_missions(t), "missions")
+    return analytics.obt_biometrics(stg_biometrics(t), missions, dim_heroes(t), HOUR)
 
 
 def obt_missions(t: Tables, since=None) -> DataFrame:

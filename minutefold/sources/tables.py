@@ -36,7 +36,7 @@ class Folder:
         found = [s.getPath().getName() for s in self._fs.listStatus(self._at)]
         return sorted(n for n in found if n.startswith(prefix))
 
-    def drop(self, name: str) -> None:
+    def drop(self, name: str = "") -> None:
         self._fs.delete(self._sub(name), True)
 
     def read(self, name: str) -> str:
@@ -68,18 +68,22 @@ class BatchTable:
         """Add a batch. Rows of an earlier try of the same run are replaced."""
         _as(df, self.schema).write.mode("overwrite").parquet(f"{self.path}/run_id={run_id}")
 
-    def read(self) -> DataFrame:
-        """All batches that are still there; a batch is seen once it is complete."""
+    def _batches(self, run_id: str | None) -> list[str]:
         folder = Folder(self.spark, self.path)
-        batches = [b for b in folder.names("run_id=") if folder.has(f"{b}/_SUCCESS")]
-        if not batches:
+        wanted = folder.names("run_id=") if run_id is None else [f"run_id={run_id}"]
+        return [b for b in wanted if folder.has(f"{b}/_SUCCESS")]
+
+    def read(self, run_id: str | None = None) -> DataFrame:
+        """One batch, or all that are there; a batch is seen once it is complete."""
+        paths = [f"{self.path}/{b}" for b in self._batches(run_id)]
+        if not paths:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{b}" for b in batches])
+        return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def truncate(self) -> None:
-        """Drop every batch; the table stays and reads as empty."""
+    def truncate(self, run_id: str | None = None) -> None:
+        """Drop one batch, or every batch; the table stays and reads as empty."""
         folder = Folder(self.spark, self.path)
-        for batch in folder.names("run_id="):
+        for batch in folder.names("run_id=") if run_id is None else [f"run_id={run_id}"]:
             folder.drop(batch)
         folder.make()
 

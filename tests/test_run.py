@@ -1,13 +1,13 @@
 """The whole run on the fixtures: one batch, a second batch, retries."""
 
 import pytest
-from fixture_files import MISSIONS, clock, mission, rows, write_inputs
+from fixture_files import MISSIONS, READINGS, clock, mission, rows, write_inputs, write_readings
 from pyspark.sql import functions as F
 
 from minutefold.config import Settings
 from minutefold.operators.quality import QualityError
 from minutefold.plans import questions
-from minutefold.plans.run import Layers, build, land, run
+from minutefold.plans.run import Layers, build, land, run, run_arrivals
 
 
 def settings_for(folder, inputs, run_id, **more):
@@ -127,10 +127,14 @@ def test_questions(first):
 def test_questions_as_sql(first, spark):
     first[0].publish({"obt_missions": "wide"})
     found = spark.sql(
-        "SELECT hero_name, avg(energy_output) AS e FROM wide WHERE structural_damage > 10000 "
+        "SELECT hero_name, avg(energy_output) AS e FROM analytics.wide "
+        "WHERE structural_damage > 10000 "
         "GROUP BY hero_name ORDER BY e DESC NULLS LAST LIMIT 1"
     )
     assert rows(found) == [("ironman", 400.0)]
+    assert spark.table("marts.fact_biometrics").count() == 6
+    assert spark.table("marts.fact_biometrics").columns[:2] == ["timestamp", "hero_id"]
+    assert spark.table("stg_heroes").count() == 4
 
 
 def test_checks(first):
@@ -259,6 +263,25 @@ def test_per_key_mark(spark, folder):
     assert Layers(spark, settings).models()["fact_biometrics"].count() == 7
 
 
+def test_arrivals(spark, folder):
+    """Reading files that arrive one after the other, each applied once."""
+    import os
+
+    os.makedirs(f"{folder}/landing")
+    settings = settings_for(folder, folder, "stream")
+    layers = Layers(spark, settings)
+    seen = []
+    for i, batch in enumerate([READINGS, SECOND_READINGS, None]):
+        if batch:
+            write_readings(f"{folder}/landing/{i}.parquet", batch, "us")
+        schema = spark.read.parquet(f"{folder}/landing").schema
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/landing")
+        run_arrivals(spark, settings, stream, f"{folder}/checkpoint")
+        seen.append(layers.models()["fact_biometrics"].count())
+    assert seen == [6, 8, 8]
+    assert layers.raw_biometrics.read().count() == 0
+
+
 def test_json_lines_input(spark, folder):
     import json
 
