@@ -16,11 +16,12 @@ def json_fields(col: Column, fields: list[str]) -> Column:
     """Several top-level fields as a struct of texts, parsed once.
 
     Text that is not JSON raises, as a cast to a JSON type would. JSON that is not
-    an object has no fields: the variant branch checks it and yields null.
+    an object has no fields: the variant branch checks it and gives nulls.
     """
     schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
     an_object = F.from_json(col, schema, {"mode": "FAILFAST"})
-    no_object = F.variant_get(F.parse_json(col), f"$['{fields[0]}']", "string")
-    return F.when(col.rlike(r"^\s*\{"), an_object).otherwise(
-        F.when(no_object.isNotNull(), F.lit(None).cast(schema))
+    checked = F.parse_json(col)
+    no_object = F.struct(
+        *[F.variant_get(checked, f"$['{f}']", "string").alias(f) for f in fields]
     )
+    return F.when(col.rlike(r"^\s*\{"), an_object).when(col.isNotNull(), no_object)

@@ -1,0 +1,145 @@
+"""Upserts, marks, day replacement and the tables on disk."""
+
+import os
+from datetime import date, datetime, timedelta
+
+import pytest
+from fixture_files import rows
+from pyspark.sql import functions as F
+
+from minutefold.sources import BatchTable, DayTable, VersionedTable
+from minutefold.streaming import above_mark, above_mark_per_key, replace_days, upsert
+
+
+def table(spark, *data):
+    return spark.createDataFrame(list(data), "k string, j int, v int")
+
+
+def test_upsert_keeps_batch_duplicates_and_lets_null_keys_pile_up(spark):
+    target = table(spark, ("a", 1, 1), ("b", 1, 1), (None, 1, 1))
+    batch = table(spark, ("a", 1, 2), ("a", 1, 3), (None, 1, 2))
+    assert rows(upsert(target, batch, ["k"]), "k", "v") == [
+        (None, 1, 1), (None, 1, 2), ("a", 1, 2), ("a", 1, 3), ("b", 1, 1),
+    ]
+
+
+def test_upsert_by_two_keys(spark):
+    target = table(spark, ("a", 1, 1), ("a", 2, 1))
+    batch = table(spark, ("a", 2, 9), ("b", 1, 9))
+    want = [("a", 1, 1), ("a", 2, 9), ("b", 1, 9)]
+    once = upsert(target, batch, ["k", "j"])
+    assert rows(once, "k", "j") == want
+    assert rows(upsert(once, batch, ["k", "j"]), "k", "j") == want
+
+
+def test_first_upsert_is_the_batch(spark):
+    assert rows(upsert(None, table(spark, ("a", 1, 1)), ["k"])) == [("a", 1, 1)]
+
+
+T0 = datetime(2025, 1, 1)
+
+
+def clocked(spark, *data):
+    made = [(k, T0 + timedelta(minutes=m), v) for k, m, v in data]
+    return spark.createDataFrame(made, "k string, ts timestamp_ntz, v int")
+
+
+def test_mark_is_strict_and_may_be_absent(spark):
+    batch = clocked(spark, ("a", 1, 1), ("a", 2, 2), ("b", 3, 3))
+    assert above_mark(batch, "ts", None).count() == 3
+    assert rows(above_mark(batch, "ts", T0 + timedelta(minutes=2)).select("v")) == [(3,)]
+    target = clocked(spark, ("x", 2, 0))
+    assert rows(above_mark(batch, "ts", target.agg(F.max("ts")).scalar()).select("v")) == [(3,)]
+    empty = target.where("false")  # a table without rows has no mark: everything loads
+    assert above_mark(batch, "ts", empty.agg(F.max("ts")).scalar()).count() == 3
+
+
+def test_mark_per_key(spark):
+    target = clocked(spark, ("a", 5, 0), ("b", 1, 0))
+    batch = clocked(spark, ("a", 4, 1), ("b", 2, 2), ("c", 0, 3))
+    got = above_mark_per_key(batch, target, ["k"], "ts")
+    assert rows(got.select("v"), "v") == [(2,), (3,)]
+
+
+def test_batches_in_order_equal_one_batch(spark):
+    whole = clocked(spark, *[("a", m, m) for m in range(10)])
+    loaded = None
+    for cut in (3, 4, 9, 10):
+        batch = whole.where(F.col("ts") < T0 + timedelta(minutes=cut))
+        mark = None if loaded is None else loaded.agg(F.max("ts")).first()[0]
+        rows_in = above_mark(batch, "ts", mark)
+        loaded = rows_in if loaded is None else loaded.unionByName(rows_in)
+    assert rows(loaded, "ts") == rows(whole, "ts")
+
+
+def days(spark, *data):
+    return spark.createDataFrame([(date(2025, 1, d), v) for d, v in data], "day date, v int")
+
+
+def test_replace_days(spark):
+    target = days(spark, (1, 1), (2, 1), (2, 2))
+    batch = days(spark, (1, 9), (2, 9), (3, 9))
+    assert [(d.day, v) for d, v in rows(replace_days(target, batch, "day"), "day")] == [
+        (1, 1), (2, 9), (3, 9),
+    ]
+    full = days(spark, (1, 1), (2, 9), (3, 9))
+    assert rows(replace_days(target, full, "day"), "day") == rows(full, "day")
+
+
+# --- Tables on disk ------------------------------------------------------------------
+
+
+def test_batch_table(spark, folder):
+    schema = table(spark, ("a", 1, 1)).schema
+    t = BatchTable(spark, f"{folder}/t", schema)
+    assert t.read().count() == 0
+    t.append(table(spark, ("a", 1, 1)), "one")
+    t.append(table(spark, ("b", 1, 1)), "two")
+    t.append(table(spark, ("b", 1, 2)), "two")  # a retry
+    assert rows(t.read(), "k") == [("a", 1, 1), ("b", 1, 2)]
+    assert rows(t.read("one")) == [("a", 1, 1)]
+    os.remove(f"{folder}/t/run_id=two/_SUCCESS")  # as if the write had died
+    assert rows(t.read()) == [("a", 1, 1)]
+    t.truncate()
+    assert (t.read().count(), t.read().schema) == (0, schema)
+
+
+def test_versioned_table(spark, folder):
+    t = VersionedTable(spark, f"{folder}/t")
+    assert t.read() is None
+    for v in (1, 2, 3):
+        t.write(upsert(t.read(), table(spark, ("a", 1, v), (f"k{v}", 1, v)), ["k"]))
+    assert rows(t.read(), "k") == [("a", 1, 3), ("k1", 1, 1), ("k2", 1, 2), ("k3", 1, 3)]
+    os.remove(f"{t.current}/_SUCCESS")
+    assert t.read().where("k = 'a'").first().v == 2
+    t.write(table(spark, ("z", 1, 1)))
+    assert rows(t.read()) == [("z", 1, 1)]
+    t.drop_old(keep=1)
+    assert rows(t.read()) == [("z", 1, 1)]
+
+
+def test_day_table_touches_only_days_in_the_batch(spark, folder):
+    t = DayTable(spark, f"{folder}/t", days(spark, (1, 1)).schema, "day")
+    assert (t.exists(), t.last_day(), t.read().count()) == (False, None, 0)
+    t.replace(days(spark, (1, 1), (2, 1), (2, 2)))
+    before = sorted(os.listdir(f"{folder}/t/day=2025-01-01"))
+    assert t.last_day() == "2025-01-02"
+    t.replace(days(spark, (2, 9), (3, 9)))
+    assert sorted(os.listdir(f"{folder}/t/day=2025-01-01")) == before
+    assert [(d.day, v) for d, v in rows(t.read(), "day")] == [(1, 1), (2, 9), (3, 9)]
+
+
+def test_mark_reaches_the_scan(spark, folder):
+    clocked(spark, ("a", 1, 1)).write.parquet(f"{folder}/t")
+    kept = above_mark(spark.read.parquet(f"{folder}/t"), "ts", T0)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(ts,2025-01-01" in plan
+
+
+@pytest.mark.parametrize("n", [1, 3])
+def test_a_large_day_is_few_files(spark, folder, n):
+    t = DayTable(spark, f"{folder}/t", days(spark, (1, 1)).schema, "day")
+    t.replace(days(spark, *[(d, i) for i in range(50) for d in range(1, n + 1)]).repartition(4))
+    for d in range(1, n + 1):
+        files = [f for f in os.listdir(f"{folder}/t/day=2025-01-0{d}") if f.endswith(".parquet")]
+        assert len(files) == 1

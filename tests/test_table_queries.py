@@ -1,0 +1,31 @@
+"""Every registered query against its SQL, on the whole small tables."""
+
+import os
+
+import pytest
+from compare import connect, differences
+
+import __spark_entry__ as entry
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+SQL = entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(FOLDER)
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_equals_its_sql(spark, duck, name):
+    build = entry.queries()[name]
+    if name not in SQL:
+        assert build(spark, FOLDER).count() >= 0
+        return
+    assert differences(spark, duck, name, build, SQL[name], FOLDER) is None
+
+
+def test_entry(spark):
+    df = entry.entry(spark)
+    assert df.count() > 0
+    assert df.columns[0] == "timestamp"
