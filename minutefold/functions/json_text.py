@@ -24,4 +24,5 @@ def json_fields(col: Column, fields: list[str]) -> Column:
     no_object = F.struct(
         *[F.variant_get(checked, f"$['{f}']", "string").alias(f) for f in fields]
     )
-    return F.when(col.rlike(r"^\s*\{"), an_object).when(col.isNotNull(), no_object)
+    opens = F.ltrim(col, F.lit(" \t\r\n")).startswith("{")
+    return F.when(opens, an_object).when(col.isNotNull(), no_object)

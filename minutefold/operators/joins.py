@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import bin_index, bin_start, step_micros
+from .dedupe import drop_null_keys
 
 def _binned(events: DataFrame, ts: str, every: str, name: str) -> DataFrame:
     step = step_micros(every)
@@ -39,7 +40,7 @@ def series_with_events(
     on = [*keys, series_ts]
     added = [c for c in events.columns if c not in (*keys, event_ts)]
     edges = [f"__on{i}" for i in range(len(on))]
-    binned = _binned(events, event_ts, every, edges[-1]).dropna(subset=[*keys, edges[-1]])
+    binned = _binned(drop_null_keys(events, [*keys, event_ts]), event_ts, every, edges[-1])
     right = binned.withColumnsRenamed(dict(zip(keys, edges, strict=False))).select(*edges, *added)
     out = [*series.columns, *added]
 
@@ -66,16 +67,19 @@ def events_with_series(
 ) -> DataFrame:
     """Every event, with the series row of its key at the start of its bin, if any.
 
-    The series is usually far larger. It is cut down to the bins that events touch
-    first: the distinct event keys are small enough to broadcast much longer than
-    the series is, and a semi join streams the series past them.
+    The series is usually far larger. Where Spark will broadcast the distinct bins
+    that events touch, the series is cut down to them while it is scanned and only
+    what is left is joined; otherwise one join shuffles both. Crowded bins are on
+    the left, which AQE can split.
     """
     on = [*keys, "__edge"]
     added = [c for c in series.columns if c not in (*keys, series_ts)]
     left = _binned(events, event_ts, every, "__edge")
     right = series.select(*keys, F.col(series_ts).alias("__edge"), *added)
-    touched = right.join(left.select(*on).distinct(), on, "left_semi")
-    return left.join(touched, on, "left").select(*events.columns, *added)
+    touched = left.select(*on).distinct()
+    if _will_broadcast(touched):
+        right = right.join(touched, on, "left_semi")
+    return left.join(right, on, "left").select(*events.columns, *added)
 
 
 def dim_lookup(fact: DataFrame, dim: DataFrame, key: str, cols: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.times import bin_index, bin_start, step_micros
+from .dedupe import drop_null_keys
 
 BIN = "__bin"
 CHUNK = "__chunk"
@@ -43,7 +44,7 @@ def resample_mean(
     """
     step = step_micros(every)
     kind = df.schema[ts].dataType
-    live = df.dropna(subset=[*keys, ts]).select(
+    live = drop_null_keys(df, [*keys, ts]).select(
         *keys, bin_index(F.col(ts), step).alias(BIN), *measures
     )
     bins = live.groupBy(*keys, BIN).agg(
