@@ -941,7 +941,7 @@ def obt_biometrics(t: Tables) -> DataFrame:
 
 
 def obt_missions(t: Tables, since=None) -> DataFrame:
-    bridge = marts.dim_missions_heroes(stg_missions(t))
+    bridge = landed(marts.dim_missions_heroes(stg_missions(t)), "bridge")
     fact = marts.fact_biometrics(stg_biometrics(t))
     return analytics.obt_missions(bridge, fact, dim_heroes(t), HOUR, since)
 

@@ -135,6 +135,7 @@ def test_questions_as_sql(first, spark):
     assert spark.table("marts.fact_biometrics").count() == 6
     assert spark.table("marts.fact_biometrics").columns[:2] == ["timestamp", "hero_id"]
     assert spark.table("stg_heroes").count() == 4
+    assert spark.table("raw.heroes").count() == 6
 
 
 def test_checks(first):
@@ -228,6 +229,31 @@ def test_second_run(spark, folder):
     ]
 
 
+def test_kept_raw_is_history(spark, folder):
+    """Kept batches stay readable and do not enter the next run again."""
+    write_inputs(folder)
+    run(spark, settings_for(folder, folder, "one", keep_raw=True))
+    settings = settings_for(folder, second_inputs(folder), "two", keep_raw=True)
+    result = run(spark, settings)
+    layers = Layers(spark, settings)
+    assert layers.raw_heroes.read().count() == 9
+    fact = {s["load"]: s for s in result["loads"]}["fact_biometrics"]
+    assert (fact["in.rows"], fact["out.rows"]) == (3, 2)
+    assert layers.models()["obt_biometrics"].count() == 3
+
+
+def test_raw_left_by_a_failed_run_enters_the_next(spark, folder):
+    write_inputs(folder)
+    failed = Layers(spark, settings_for(folder, folder, "one"))
+    failed.create_schemas()
+    land(failed, "one")  # and then the run is given up
+    settings = settings_for(folder, second_inputs(folder), "two")
+    run(spark, settings)
+    models = Layers(spark, settings).models()
+    assert models["dim_heroes"].count() == 5
+    assert Layers(spark, settings).raw_heroes.read().count() == 0
+
+
 def snapshot(layers):
     return {
         name: sorted(map(tuple, df.collect()), key=repr) for name, df in layers.models().items()
