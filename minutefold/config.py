@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from dataclasses import dataclass, field, fields
 from datetime import UTC, datetime
@@ -81,10 +82,15 @@ class Settings:
     severity: str = "warn"
     keep_raw: bool = False
     per_key_mark: bool = False
+    check_whole_fact: bool = True
     layer_names: dict[str, str] = field(default_factory=lambda: {n: n for n in LAYERS})
 
     ENV_PREFIX: ClassVar[str] = "MINUTEFOLD_"
 
+    def __post_init__(self):
+        # A run id names folders; schedulers put colons and plus signs in theirs.
+        object.__setattr__(self, "run_id", re.sub(r"[^\w.-]", "_", self.run_id))
+
     @classmethod
     def from_env(cls, **given) -> "Settings":
         """Fields given as arguments, else ``MINUTEFOLD_<FIELD>``, else the default."""

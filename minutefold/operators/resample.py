@@ -33,6 +33,9 @@ def resample_mean(
 ) -> DataFrame:
     """Mean of every measure per key and bin; bins are left-closed, labelled left.
 
+    Bins are counted from 1970-01-01 00:00, so a length that divides a day starts
+    anew at each midnight.
+
     Rows without a key or a time are left out, nulls and NaNs are skipped inside
     the mean. ``dense`` adds a row of nulls for each empty bin between a key's first
     and last bin. The means are built with partial aggregation before any shuffle,
@@ -63,7 +66,7 @@ def fill_bins(
 ) -> DataFrame:
     """Add a row of nulls for every missing index between a key's first and last.
 
-    ``bins`` holds one row per key and BIGINT index. The work unit is a chunk of
+    ``bins`` holds one row per key and BIGINT index, neither of them null. The work unit is a chunk of
     consecutive indexes: bins and chunks are shuffled, never the rows that fill the
     gaps, and a key with a long span is spread over as many tasks as it has chunks.
     Inside a chunk each bin unfolds up to the next one, the first bin also back to

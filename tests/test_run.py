@@ -229,6 +229,38 @@ def test_second_run(spark, folder):
     ]
 
 
+def test_command_line(spark, folder, capsys, monkeypatch):
+    import json
+
+    from minutefold.__main__ import main
+
+    monkeypatch.setenv("MINUTEFOLD_KEEP_RAW", "true")
+    write_inputs(folder)
+    main(["--input-dir", folder, "--root", f"{folder}/lake", "--run-id", "a:b"])
+    result = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert len(result["checks"]) == 18
+    assert Layers(spark, settings_for(folder, folder, "a_b")).raw_heroes.read("a_b").count() == 6
+
+
+def test_checks_from_the_mark_on(spark, folder):
+    """The second run's fact checks may leave out the days before its mark."""
+    write_inputs(folder)
+    run(spark, settings_for(folder, folder, "one"))
+    inputs = second_inputs(folder)
+    write_readings(f"{inputs}/biometrics.parquet", SECOND_READINGS, day=3)
+    settings = settings_for(folder, inputs, "two", check_whole_fact=False)
+    layers = Layers(spark, settings)
+    run(spark, settings)
+    layers.settings = settings_for(folder, inputs, "three", check_whole_fact=False)
+    write_readings(f"{inputs}/biometrics.parquet", [("00:00:10", "Z-1", 1.0, 1.0, 1)], day=4)
+    lost = {
+        (c["model"], c["test"]): c["failures"]
+        for c in run(spark, layers.settings)["checks"]
+        if c["test"] == "in_parent"
+    }
+    assert lost[("fact_biometrics", "in_parent")] == 1
+
+
 def test_kept_raw_is_history(spark, folder):
     """Kept batches stay readable and do not enter the next run again."""
     write_inputs(folder)

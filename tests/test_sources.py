@@ -123,6 +123,12 @@ def test_settings_from_environment(monkeypatch):
     assert s.path("raw", "heroes") == "/lake/raw/heroes"
 
 
+def test_run_ids_are_safe_in_paths():
+    s = Settings(input_dir="/in", root="/lake", run_id="manual__2025-01-01T00:00:00+00:00")
+    assert s.run_id == "manual__2025-01-01T00_00_00_00_00"
+    assert Settings(input_dir="/in", root="/lake").run_id != ""
+
+
 def test_layer_names_are_used_verbatim():
     s = Settings(input_dir="/in", root="/lake", layer_names={"marts": " gold "})
     assert s.path("marts", "t") == "/lake/gold/t"
