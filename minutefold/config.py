@@ -77,6 +77,7 @@ class Settings:
     heroes_file: str = "heroes.csv"
     missions_file: str = "mission_logs.json"
     biometrics_file: str = "biometrics.parquet"
+    heroes_multi_line: bool = True
     missions_are_lines: bool = False
     every: str = "1 minute"
     severity: str = "warn"

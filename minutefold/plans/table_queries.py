@@ -699,7 +699,7 @@ def dq_report(t):
 def csv_round_trip(t):
     path = scratch_path(t.spark, "csv")
     export_csv(t.customer, path)
-    return read_csv(t.spark, path, t.customer.schema)
+    return read_csv(t.spark, path, t.customer.schema, multi_line=False)
 
 
 @query("SELECT * FROM documents")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, Observation
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -32,18 +33,29 @@ class LoadMetrics:
     def __init__(self, name: str):
         self.name = name
         self.started = time.monotonic()
-        self.watched: dict[str, Observation] = {}
+        self.watched: dict[str, tuple[Observation, DataFrame, list[Column]]] = {}
 
     def watch(self, df: DataFrame, label: str, null_keys: list[str] = ()) -> DataFrame:
         seen = Observation(f"{self.name}.{label}")
-        self.watched[label] = seen
         nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in null_keys]
-        return df.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls)
+        metrics = [F.count(F.lit(1)).alias("rows"), *nulls]
+        self.watched[label] = (seen, df, metrics)
+        return df.observe(seen, *metrics)
 
     def summary(self) -> dict[str, object]:
-        counts = {
-            f"{label}.{metric}": value
-            for label, seen in self.watched.items()
-            for metric, value in seen.get.items()
-        }
+        counts = {}
+        for label, (seen, df, metrics) in self.watched.items():
+            found = _observed(seen) or df.agg(*metrics).first().asDict()
+            counts |= {f"{label}.{metric}": value for metric, value in found.items()}
         return {"load": self.name, "seconds": time.monotonic() - self.started, **counts}
+
+
+def _observed(seen: Observation) -> dict[str, object] | None:
+    """The metrics, or None where AQE found the result empty and dropped the plan.
+
+    The caller then counts with a job of its own.
+    """
+    try:
+        return seen.get
+    except Py4JError:
+        return None

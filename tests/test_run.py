@@ -261,6 +261,38 @@ def test_checks_from_the_mark_on(spark, folder):
     assert lost[("fact_biometrics", "in_parent")] == 1
 
 
+def test_a_batch_that_adds_nothing(spark, folder):
+    """No mission, no hero, and only readings that are late: the tables stay as they are."""
+    import os
+
+    write_inputs(folder)
+    run(spark, settings_for(folder, folder, "one"))
+    os.makedirs(f"{folder}/second")
+    header = "hero_id,name,alter_ego,first_appearance\n"
+    inputs = write_inputs(f"{folder}/second", header, [], READINGS[:2])
+    settings = settings_for(folder, inputs, "two")
+    before = snapshot(Layers(spark, settings))
+    result = run(spark, settings)
+    loads = {s["load"]: s for s in result["loads"]}
+    assert (loads["heroes"]["out.rows"], loads["missions"]["out.rows"]) == (0, 0)
+    fact = loads["fact_biometrics"]
+    assert (fact["in.rows"], fact["out.rows"], fact["late"]) == (1, 0, 1)
+    after = snapshot(Layers(spark, settings))
+    assert len(after.pop("obt_biometrics")) == 1
+    before.pop("obt_biometrics")
+    assert after == before
+
+
+def test_no_readings_at_all(spark, folder):
+    write_inputs(folder, readings=[("00:00:05", None, 80.0, 1.0, 100)])
+    settings = settings_for(folder, folder, "one")
+    result = run(spark, settings)
+    assert {s["load"]: s for s in result["loads"]}["biometrics"]["out.rows"] == 0
+    models = Layers(spark, settings).models()
+    assert (models["fact_biometrics"].count(), models["obt_missions"].count()) == (0, 5)
+    assert questions.most_reliable(models["obt_biometrics"]).count() == 0
+
+
 def test_kept_raw_is_history(spark, folder):
     """Kept batches stay readable and do not enter the next run again."""
     write_inputs(folder)

@@ -40,7 +40,7 @@ def test_csv_by_name_with_null_tokens_and_quotes(spark, folder):
 
 def test_csv_line_breaks_inside_quotes(spark, folder):
     path = write(folder, "h.csv", 'hero_id,name,alter_ego,first_appearance\nH-1,"a\nb",c,d\n')
-    assert rows(read_csv(spark, path, HEROES_FILE, multi_line=True)) == [("H-1", "a\nb", "c", "d")]
+    assert rows(read_csv(spark, path, HEROES_FILE)) == [("H-1", "a\nb", "c", "d")]
 
 
 def test_csv_errors_name_the_path(spark, folder):
