@@ -1,0 +1,60 @@
+"""URL rules against a plain reading of them, and the automaton against regular expressions."""
+
+import random
+import re
+
+from minutefold.llm import urlfilter
+
+
+def fits(glob, text):
+    """Whether the glob covers the text, sign by sign."""
+    signs = re.findall(r"\*\*|.", glob, re.DOTALL)
+    at = {0}
+    for sign in signs:
+        if sign in ("*", "**"):
+            reach = set()
+            for j in at:
+                reach.add(j)
+                while j < len(text) and (sign == "**" or text[j] != "/"):
+                    j += 1
+                    reach.add(j)
+            at = reach
+        else:
+            at = {j + 1 for j in at if j < len(text) and (text[j] == sign or sign == "?" and text[j] != "/")}
+    return len(text) in at
+
+
+def test_automaton_matches_as_regular_expressions_do():
+    rng = random.Random(7)
+    globs = ["".join(rng.choice(["a", "b", "/", "*", "**", "?", "."]) for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    texts = ["".join(rng.choice("ab/.") for _ in range(rng.randint(0, 25))) for _ in range(400)] + ["", "a" * 60]
+    automaton = urlfilter.GlobAutomaton(globs)
+    assert automaton.words > 5
+    found = automaton.matches([t.encode() for t in texts])
+    for i, text in enumerate(texts):
+        for j, glob in enumerate(globs):
+            assert found[i, j] == fits(glob, text), (glob, text)
+
+
+def test_rules(spark):
+    urls = {
+        "http://A.NET/x": ("a.net", "/x", "net/", "block"),
+        "http://net/": ("net", "/", "net/", "block"),
+        "http://a.net": ("a.net", "", None, "allow"),
+        "http://xnet/": ("xnet", "/", None, "allow"),
+        "https://m.example.net/en/1?q#f": ("m.example.net", "/en/1", "example.net/en/", "allow"),
+        "https://m.example.net/en": ("m.example.net", "/en", "net/", "block"),
+        "https://example.com/de/": ("example.com", "/de/", "example.com/de/", "block"),
+        "https://myexample.com/de/": ("myexample.com", "/de/", None, "allow"),
+        "x://example.org/fr/a://b": ("example.org", "/fr/a://b", "org/fr/", "allow"),
+        "x://h?a/net/": ("h", "", None, "allow"),
+        "http://h.com/a/cgi-bin/b": ("h.com", "/a/cgi-bin/b", None, "block"),
+        "no address": ("", "", None, "block"),
+        None: ("", "", None, "block"),
+        "": ("", "", None, "block"),
+        "http://h/" + "é" * 20000: ("h", "/" + "é" * 20000, None, "allow"),
+        "a\n://b.net/c\nd": ("b.net", "/c\nd", "net/", "block"),
+    }
+    df = spark.createDataFrame([(u, "x") for u in urls], "url string, rule string")
+    got = {r.id: (r.host, r.path, r.rule, r.verdict) for r in urlfilter.judge(df.selectExpr("url as id", "url", "rule"), ["id"]).collect()}
+    assert got == urls
