@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutefold.llm import chat, mixing, pii, sharding, urlfilter
+from minutefold.llm import chat, mixing, pii, sharding, simhash, urlfilter
 from minutefold.llm.work import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"], Scratch())
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op2_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
@@ -73,6 +79,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
     "op2_perspective_rotation": op2_perspective_rotation,
     "op3_prefix_sum_shards": op3_prefix_sum_shards,
     "op7_pii": op7_pii,
