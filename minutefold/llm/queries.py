@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutefold.llm import chat, mixing, pii, sharding, simhash, urlfilter
+from minutefold.llm import ann, chat, mixing, pii, sharding, simhash, urlfilter
 from minutefold.llm.work import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,10 @@ def op3_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_hnsw_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), Scratch())
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_perspective_rotation": op2_perspective_rotation,
     "op3_prefix_sum_shards": op3_prefix_sum_shards,
+    "op6_hnsw_shards": op6_hnsw_shards,
     "op7_pii": op7_pii,
     "op8_hash_threshold_mix": op8_hash_threshold_mix,
     "op10_url_filter": op10_url_filter,
