@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutefold.llm import ann, chat, mixing, pii, repeats, sharding, simhash, urlfilter
+from minutefold.llm import ann, chat, langid, mixing, pii, repeats, sharding, simhash, urlfilter
 from minutefold.llm.work import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,12 @@ def op8_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = langid.fit(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    pages = table(spark, sf_dir, "pages")
+    return langid.identify(pages, model, Scratch(), ["page_id"], **langid.page_evidence())
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), ["page_id"])
 
@@ -95,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op6_hnsw_shards": op6_hnsw_shards,
     "op7_pii": op7_pii,
     "op8_hash_threshold_mix": op8_hash_threshold_mix,
+    "op9_language_evidence": op9_language_evidence,
     "op10_url_filter": op10_url_filter,
 }
 
