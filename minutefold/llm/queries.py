@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutefold.llm import ann, chat, langid, mixing, pii, repeats, sharding, simhash, urlfilter
+from minutefold.llm import ann, chat, decontam, langid, mixing, pii, repeats, sharding, simhash, urlfilter
 from minutefold.llm.work import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,12 @@ def op3_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = table(spark, sf_dir, "benchmark")
+    found = decontam.contaminated(table(spark, sf_dir, "documents"), benchmark, Scratch(), ["doc_id"])
+    return found.withColumnRenamed("item", "item_id")
+
+
 def op5_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = repeats.remove_repeats(table(spark, sf_dir, "documents"), "doc_id", Scratch())
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -97,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_perspective_rotation": op2_perspective_rotation,
     "op3_prefix_sum_shards": op3_prefix_sum_shards,
+    "op4_latent_decontamination": op4_latent_decontamination,
     "op5_repeated_strings": op5_repeated_strings,
     "op6_hnsw_shards": op6_hnsw_shards,
     "op7_pii": op7_pii,
