@@ -1,39 +1,110 @@
-"""A training corpus from raw documents, in stages that each call one operator."""
+"""A training corpus from raw documents, in stages that each call one operator.
+
+A stage gets what its predecessor kept, decides on narrow tables that hold a row's identity (a
+hash of its document number and text) and takes its decision into effect by one join. What is
+to go is written first, so that Spark knows its size and broadcasts it only if it is small.
+Rows equal in number and text are one identity. Empty tables pass through.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from minutefold.llm import mixing, queries
-from minutefold.llm.work import Scratch
+from minutefold.llm import decontam, langid, mixing, queries, simhash
+from minutefold.llm.work import Scratch, without
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+ROW = "__row"
+
+
+def row() -> Column:
+    """A row's identity."""
+    return mixing.row_hash(F.col("doc_id"), F.col("text"))
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    return without(docs, ROW).withColumn(ROW, row())
+
+
+def less(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents without the rows whose identity is listed."""
+    return identified(docs).join(gone.select(ROW).distinct(), ROW, "left_anti").select(*docs.columns)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labelled rows teach; undecided and wordless ones go.
+
+    The ``lang`` column is the declaration and the source stands for the host.
+    """
+    scratch = Scratch()
+    model = langid.fit(docs, "doc_id", "text", "lang")
+    judged = langid.identify(
+        identified(docs), model, scratch, [ROW], F.col("text"), F.col("lang"), F.col("source")
+    )
+    rejected = scratch.land(
+        judged.filter((F.col("lang") == "und") | (F.col("text_lang") == "und")).select(ROW).distinct(), "stage-rejected"
+    )
+    return less(docs, rejected)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates: the one of smallest number.
+
+    A null number comes last. Of equal numbers the least identity stays, of equal rows one.
+    """
+    scratch = Scratch()
+    found = simhash.near_duplicates(identified(docs), [ROW, "doc_id"], scratch)
+    ranked = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)
+    kept = scratch.land(
+        found.groupBy("component").agg(F.min(ranked).alias("first")).select(F.col(f"first.{ROW}").alias("kept")),
+        "stage-kept",
+    )
+    own = identified(docs)
+    # Joined by identity, rows of one identity lie together: all but one of them go.
+    again = Window.partitionBy(ROW).orderBy(ROW)
+    return (
+        own.join(kept, own[ROW] == kept["kept"])
+        .withColumn("__again", F.row_number().over(again))
+        .filter("__again = 1")
+        .select(*docs.columns)
+    )
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    scratch = Scratch()
+    benchmark = queries.table(spark, sf_dir, "benchmark")
+    found = decontam.contaminated(identified(docs), benchmark, scratch, [ROW])
+    return less(docs, scratch.land(found.select(ROW).distinct(), "stage-leaks"))
+
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents the mix takes, each as often as it takes it."""
-    taken = mixing.mix(docs, Scratch(), ["doc_id"]).select(
-        F.col("doc_id").alias("id"), F.col("hash").alias("h"), "times"
-    )
-    # Rows equal in document and text share their decision.
-    decided = taken.groupBy("id", "h").agg(F.first("times").alias("times")).filter("times > 0")
-    own = mixing.row_hash(F.col("doc_id"), F.col("text"))
+    scratch = Scratch()
+    taken = mixing.mix(docs, scratch, ["doc_id"]).select(F.col("hash").alias(ROW), "times")
+    # Rows of one identity and source share their decision; of several sources, the first's holds.
+    decided = scratch.land(taken.groupBy(ROW).agg(F.max("times").alias("__times")).filter("__times > 0"), "stage-mix")
     return (
-        docs.join(decided, docs["doc_id"].eqNullSafe(decided["id"]) & (own == decided["h"]))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+        identified(docs)
+        .join(decided, ROW)
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))))
         .select(*docs.columns)
     )
 
 
 def shard_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every document."""
+    """Number, size, checksum, shard and slot of every document."""
     return queries.shard_rows(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("identify_language", identify_language),
+    ("drop_near_duplicates", drop_near_duplicates),
+    ("decontaminate", decontaminate),
     ("mix_sources", mix_sources),
     ("shard_documents", shard_documents),
 ]

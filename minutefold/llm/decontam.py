@@ -221,7 +221,7 @@ def contaminated(
     text: str = "text",
     item_key: str = "item_id",
     item_text: str = "text",
-    cosine: float = 0.55,
+    cosine: float = 0.5,
     least: float = 0.7,
     answer: float = 0.6,
 ) -> DataFrame:
