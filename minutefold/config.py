@@ -55,7 +55,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         import tempfile
 
         return os.path.join(tempfile.gettempdir(), "minutefold")
@@ -88,10 +88,6 @@ class Settings:
 
     ENV_PREFIX: ClassVar[str] = "MINUTEFOLD_"
 
-    def __post_init__(self):
-        # A run id names folders; schedulers put colons and plus signs in theirs.
-        object.__setattr__(self, "run_id", re.sub(r"[^\w.-]", "_", self.run_id))
-
     @classmethod
     def from_env(cls, **given) -> "Settings":
         """Fields given as arguments, else ``MINUTEFOLD_<FIELD>``, else the default."""
@@ -103,6 +99,12 @@ class Settings:
             values[f.name] = text.lower() in ("1", "true", "yes") if f.type == "bool" else text
         return cls(**values)
 
+    @property
+    def run_key(self) -> str:
+        """The run id as a folder name. Schedulers put colons and plus signs in theirs;
+        such signs become their code between tildes, so different ids stay different."""
+        return re.sub(r"[^\w.-]", lambda m: f"~{ord(m.group()):x}~", self.run_id, flags=re.ASCII)
+
     def layer(self, name: str) -> str:
         """Schema name of a layer, used verbatim."""
         return self.layer_names.get(name, name).strip()

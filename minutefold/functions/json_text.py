@@ -12,6 +12,30 @@ def json_field(col: Column, field: str) -> Column:
     return F.get_json_object(col, f"$['{field}']")
 
 
+#: Only what the standard calls JSON.
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def is_json(col: Column, mode: str = "FAILFAST") -> Column:
+    """Whether a text is one JSON value and nothing else; other text raises or gives false.
+
+    The parser stops after the first value, so the text is read as the first of two
+    elements, the second being its own hash: junk behind the value, or a bracket that
+    closes early, leaves another number of elements or another last one.
+    """
+    seal = F.md5(col)
+    pair = F.from_json(
+        F.concat(F.lit("["), col, F.lit(',"'), seal, F.lit('"]')), "array<string>", STRICT | {"mode": mode}
+    )
+    return F.coalesce((F.size(pair) == 2) & (F.get(pair, F.lit(1)) == seal), F.lit(False))
+
+
+def checked_json(col: Column) -> Column:
+    """The text, if it is JSON; other text raises. Null stays null."""
+    bad = F.raise_error(F.concat(F.lit("not JSON: "), col)).cast("string")
+    return F.when(col.isNull() | is_json(col), col).otherwise(bad)
+
+
 def json_fields(col: Column, fields: list[str]) -> Column:
     """Several top-level fields as a struct of texts, parsed once.
 
@@ -19,10 +43,11 @@ def json_fields(col: Column, fields: list[str]) -> Column:
     an object has no fields: the variant branch checks it and gives nulls.
     """
     schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-    an_object = F.from_json(col, schema, {"mode": "FAILFAST"})
-    checked = F.parse_json(col)
+    checked = checked_json(col)
+    an_object = F.from_json(checked, schema, STRICT | {"mode": "FAILFAST"})
+    value = F.parse_json(checked)
     no_object = F.struct(
-        *[F.variant_get(checked, f"$['{f}']", "string").alias(f) for f in fields]
+        *[F.variant_get(value, f"$['{f}']", "string").alias(f) for f in fields]
     )
     opens = F.ltrim(col, F.lit(" \t\r\n")).startswith("{")
     return F.when(opens, an_object).when(col.isNotNull(), no_object)

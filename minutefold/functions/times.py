@@ -40,13 +40,20 @@ def _whole(dividend: Column, divisor: int) -> Column:
     return F.call_function("div", dividend, F.lit(divisor))
 
 
-def to_utc_ntz(col: Column) -> Column:
+def to_utc_ntz(col: Column, instant: bool = False) -> Column:
     """Text with an offset, or an instant, as its UTC wall clock.
 
     The step over TIMESTAMP matters: a direct cast of text to TIMESTAMP_NTZ drops
-    the offset instead of applying it.
+    the offset instead of applying it. Text that does not begin with a full date
+    raises: a cast would take a bare time for one of the current day. ``instant``
+    says that the column is no text and needs no look at it.
     """
-    return col.cast("timestamp").cast("timestamp_ntz")
+    clock = col.cast("timestamp").cast("timestamp_ntz")
+    if instant:
+        return clock
+    dated = F.rlike(col.cast("string"), F.lit(r"^\s*[+-]?[0-9]{4,6}-[0-9]{1,2}-[0-9]{1,2}"))
+    bad = F.raise_error(F.concat(F.lit("no date in "), col.cast("string")))
+    return F.when(col.isNull() | dated, clock).otherwise(bad.cast("timestamp_ntz"))
 
 
 def trunc_ntz(col: Column, unit: str) -> Column:

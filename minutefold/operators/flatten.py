@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.json_text import STRICT, checked_json, is_json
+
 
 def explode_json_array(df: DataFrame, col: str, out: str, on_bad: str = "error") -> DataFrame:
     """One row per element of a JSON array held as text, the element as text.
@@ -15,10 +17,11 @@ def explode_json_array(df: DataFrame, col: str, out: str, on_bad: str = "error")
     if on_bad not in ("error", "null"):
         raise ValueError(f"on_bad is 'error' or 'null', not {on_bad!r}")
     mode = {"error": "FAILFAST", "null": "PERMISSIVE"}[on_bad]
-    parsed = F.from_json(F.col(col), "array<string>", {"mode": mode})
+    text = F.col(col)
     if on_bad == "error":
-        # An empty text parses to null even under FAILFAST.
-        blank = F.raise_error(F.concat(F.lit(f"not a JSON array in {col}: "), F.col(col)))
-        parsed = F.when(F.trim(col) == "", blank.cast("array<string>")).otherwise(parsed)
+        text = checked_json(text)
+    else:
+        text = F.when(is_json(text, mode), text)
+    parsed = F.from_json(text, "array<string>", STRICT | {"mode": mode})
     kept = [F.explode(parsed).alias(out) if c == col else F.col(c) for c in df.columns]
     return df.select(*kept)

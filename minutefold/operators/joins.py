@@ -6,12 +6,13 @@ against ``spark.sql.autoBroadcastJoinThreshold``, and sort-merges beyond it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import bin_index, bin_start, step_micros
 from .dedupe import drop_null_keys
 
+
 def _binned(events: DataFrame, ts: str, every: str, name: str) -> DataFrame:
     step = step_micros(every)
     edge = bin_start(bin_index(F.col(ts), step), step, events.schema[ts].dataType)
@@ -25,17 +26,15 @@ def series_with_events(
     series_ts: str,
     event_ts: str,
     every: str = "1 minute",
-    spread: bool | None = None,
 ) -> DataFrame:
     """Every series row, with the events of its key whose bin starts at its time.
 
     Equality on the bin, not an as-of match. A series row with several events comes
     out several times; one without any has nulls in the event columns.
 
-    Events that Spark will broadcast are left-joined. Others may crowd into one bin,
-    and AQE cannot split the right side of a left join; ``spread`` therefore writes
-    it as an inner join, where AQE splits either side, plus an anti join against the
-    distinct keys of the events. Both read one shuffle of the series.
+    Events may crowd into one bin, and AQE cannot split the right side of a left join;
+    so it is written as an inner join, where AQE splits either side, plus an anti join
+    against the distinct keys of the events. Both read one shuffle of the series.
     """
     on = [*keys, series_ts]
     added = [c for c in events.columns if c not in (*keys, event_ts)]
@@ -44,10 +43,6 @@ def series_with_events(
     right = binned.withColumnsRenamed(dict(zip(keys, edges, strict=False))).select(*edges, *added)
     out = [*series.columns, *added]
 
-    if spread is None:
-        spread = not _will_broadcast(right)
-    if not spread:
-        return series.join(right, _equal(on, edges), "left").select(*out)
     # Null-safe equality: plain equality would filter nulls out of the series under
     # the inner join only, and the two joins could not share its shuffle. The right
     # side has no nulls, so the results are the same.
@@ -67,18 +62,16 @@ def events_with_series(
 ) -> DataFrame:
     """Every event, with the series row of its key at the start of its bin, if any.
 
-    The series is usually far larger. Where Spark will broadcast the distinct bins
-    that events touch, the series is cut down to them while it is scanned and only
-    what is left is joined; otherwise one join shuffles both. Crowded bins are on
-    the left, which AQE can split.
+    The series is usually far larger, so it is cut down to the distinct bins that events
+    touch before it is joined; where those are few, Spark does so while it scans. Crowded
+    bins are on the left, which AQE can split. Bins filled in between carry nothing:
+    a sparse series gives the same rows as a dense one.
     """
     on = [*keys, "__edge"]
     added = [c for c in series.columns if c not in (*keys, series_ts)]
     left = _binned(events, event_ts, every, "__edge")
     right = series.select(*keys, F.col(series_ts).alias("__edge"), *added)
-    touched = left.select(*on).distinct()
-    if _will_broadcast(touched):
-        right = right.join(touched, on, "left_semi")
+    right = right.join(left.select(*on).distinct(), on, "left_semi")
     return left.join(right, on, "left").select(*events.columns, *added)
 
 
@@ -98,14 +91,3 @@ def orphans(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> D
     return child.where(F.col(col).isNotNull()).join(
         known, F.col(col) == F.col("__parent"), "left_anti"
     )
-
-
-def _equal(left: list[str], right: list[str]) -> list[Column]:
-    return [F.col(a) == F.col(b) for a, b in zip(left, right, strict=True)]
-
-
-def _will_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's size estimate of the frame is within its broadcast threshold."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit

@@ -50,8 +50,15 @@ def stg_missions(raw: DataFrame, on_bad: str = "error") -> DataFrame:
     return distinct_rows(per_hero.select("*", *damages).drop("damages"))
 
 
+def last_batch(bins: DataFrame, batch: str) -> DataFrame:
+    """One row per hero and bin: that of the greatest batch number."""
+    row = F.max(F.struct(batch, *MEASURES)).alias("__last")
+    found = bins.groupBy("hero_id", "timestamp").agg(row)
+    return found.select("timestamp", "hero_id", *[F.col(f"__last.{m}").alias(m) for m in MEASURES])
+
+
 def stg_biometrics(raw: DataFrame) -> DataFrame:
     """Bins with a hero and a time, the time as a UTC wall clock."""
     return drop_null_keys(raw, ["hero_id", "timestamp"]).select(
-        to_utc_ntz(F.col("timestamp")).alias("timestamp"), "hero_id", *MEASURES
+        to_utc_ntz(F.col("timestamp"), instant=True).alias("timestamp"), "hero_id", *MEASURES
     )

@@ -31,6 +31,7 @@ from ..operators.quality import Check, report
 from ..sources import BatchTable, DayTable, LoadMetrics, VersionedTable
 from ..sources import export_csv, export_json, export_parquet, read_csv, read_json, read_parquet
 from ..streaming import above_mark, above_mark_per_key, apply_arrivals, replace_days, upsert
+from ..streaming.increments import days_from
 from . import analytics, marts, questions, staging
 from .checks import CHECKS
 
@@ -364,9 +365,9 @@ WIDE_BY_HOUR = f"""WITH {dense_sql('user_id', 'hour', EVENT_CENTS, ['cents'])},
         LEFT JOIN customer c ON b.user_id = c.c_custkey)"""
 
 
-def wide_by_hour(t: Tables, **options) -> DataFrame:
+def wide_by_hour(t: Tables) -> DataFrame:
     bins = resample_mean(user_cents(t), ["user_id"], "ts", ["cents"], "1 hour")
-    joined = series_with_events(bins, purchases(t), ["user_id"], "ts", "at", "1 hour", **options)
+    joined = series_with_events(bins, purchases(t), ["user_id"], "ts", "at", "1 hour")
     return dim_lookup(joined, people(t), "user_id", ["c_name", "c_mktsegment"])
 
 
@@ -375,10 +376,29 @@ def obt_series_left(t):
     return wide_by_hour(t)
 
 
-@query(f"{WIDE_BY_HOUR} SELECT * FROM wide")
+def crowded_purchases(t: Tables) -> DataFrame:
+    """A third of all events in the first bin of one user's series."""
+    first = user_cents(t).where("user_id = 1").agg(F.min("ts")).scalar()
+    crowd = t.events.where("event_id % 3 = 0").select(
+        "event_id", F.lit(1).cast("bigint").alias("user_id"), first.alias("at"), F.lit("crowd").alias("outcome")
+    )
+    return purchases(t).unionByName(crowd)
+
+
+@query(
+    WIDE_BY_HOUR.replace(
+        f"purchases AS ({PURCHASES})",
+        f"""purchases AS ({PURCHASES} UNION ALL
+            SELECT event_id, 1, (SELECT min(ts) FROM ({EVENT_CENTS}) WHERE user_id = 1), 'crowd'
+            FROM events WHERE event_id % 3 = 0)""",
+    )
+    + " SELECT * FROM wide"
+)
 def obt_series_left_spread(t):
-    """The same through the plan for events that may crowd into one bin."""
-    return wide_by_hour(t, spread=True)
+    """The same with events that crowd into one bin."""
+    bins = resample_mean(user_cents(t), ["user_id"], "ts", ["cents"], "1 hour")
+    joined = series_with_events(bins, crowded_purchases(t), ["user_id"], "ts", "at", "1 hour")
+    return dim_lookup(joined, people(t), "user_id", ["c_name", "c_mktsegment"])
 
 
 WIDE_BY_EVENT = f"""WITH {dense_sql('user_id', 'hour', EVENT_CENTS, ['cents'])},
@@ -392,7 +412,7 @@ WIDE_BY_EVENT = f"""WITH {dense_sql('user_id', 'hour', EVENT_CENTS, ['cents'])},
 
 @query(f"{WIDE_BY_EVENT} SELECT * FROM wide")
 def obt_events_left(t):
-    bins = resample_mean(user_cents(t), ["user_id"], "ts", ["cents"], "1 hour")
+    bins = resample_mean(user_cents(t), ["user_id"], "ts", ["cents"], "1 hour", dense=False)
     joined = events_with_series(purchases(t), bins, ["user_id"], "at", "ts", "1 hour")
     return dim_lookup(joined, people(t), "user_id", ["c_name", "c_mktsegment"])
 
@@ -515,11 +535,13 @@ def hwm_append_per_key(t):
 
 
 DAYS = "SELECT event_id, user_id, ts, value, CAST(ts AS DATE) AS day FROM ({})"
-REPLACED_DAYS = f"""
-    SELECT * FROM ({DAYS.format(EARLY)}) WHERE day < (SELECT max(CAST(ts AS DATE)) FROM ({EARLY}))
-    UNION ALL
-    SELECT * FROM ({DAYS.format(BATCH)})
+FRESH_DAYS = f"""SELECT * FROM ({DAYS.format('{batch}')})
     WHERE day >= (SELECT max(CAST(ts AS DATE)) FROM ({EARLY}))"""
+REPLACED = f"""
+    SELECT * FROM ({DAYS.format(EARLY)}) WHERE day NOT IN (SELECT day FROM ({FRESH_DAYS}))
+    UNION ALL {FRESH_DAYS}"""
+REPLACED_DAYS = REPLACED.format(batch=BATCH)
+LATER_BATCH = f"SELECT * FROM ({BATCH}) WHERE ts >= TIMESTAMP '2024-01-18'"
 
 
 def with_day(df: DataFrame) -> DataFrame:
@@ -532,6 +554,20 @@ def day_replace(t):
     return replace_days(with_day(target), with_day(batch), "day")
 
 
+@query(REPLACED.format(batch=LATER_BATCH))
+def day_replace_absent_day(t):
+    """A batch that lacks the target's last day, which stays; the same on a table by day."""
+    target, batch = (with_day(df) for df in early_and_batch(t))
+    later = batch.where(F.col("ts") >= clock("2024-01-18"))
+    table = DayTable(t.spark, scratch_path(t.spark, "days"), target.schema, "day")
+    table.replace(target)
+    table.replace(days_from(later, "day", table.last_day()))
+    on_disk, framed = table.read(), replace_days(target, later, "day")
+    if not (on_disk.exceptAll(framed).isEmpty() and framed.exceptAll(on_disk).isEmpty()):
+        raise AssertionError("the table by day and the frame differ")
+    return framed
+
+
 @query(REPLACED_DAYS)
 def day_replace_persisted(t):
     """The same on a table partitioned by day, whose earlier days are not touched."""
@@ -702,34 +738,84 @@ def csv_round_trip(t):
     return read_csv(t.spark, path, t.customer.schema, multi_line=False)
 
 
-@query("SELECT * FROM documents")
-def json_lines_round_trip(t):
-    path = scratch_path(t.spark, "json")
-    export_json(t.documents, path)
-    return read_json(t.spark, path, t.documents.schema, lines=True)
+@query(
+    """SELECT c_custkey, '  ' || c_name || ' "a", ' AS padded,
+    CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END AS segment FROM customer"""
+)
+def csv_padded_round_trip(t):
+    """Spaces around values, quotes and commas in them, and nulls."""
+    third = F.col("c_custkey") % 3 == 0
+    rows = t.customer.select(
+        "c_custkey",
+        F.concat(F.lit("  "), "c_name", F.lit(' "a", ')).alias("padded"),
+        F.when(~third, F.col("c_mktsegment")).alias("segment"),
+    )
+    path = scratch_path(t.spark, "csv")
+    export_csv(rows, path)
+    return read_csv(t.spark, path, rows.schema, multi_line=False)
 
 
 @query(
-    """SELECT event_id, '["' || event_type || '",' || CAST(user_id AS VARCHAR) || ']' AS tags,
-    '{"k":' || json_extract_string(props, '$.k') || '}' AS report FROM events"""
+    """SELECT CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 1 END AS known,
+    '{"c_custkey":' || c_custkey || ',"segment":' ||
+    CASE WHEN c_custkey % 3 = 0 THEN 'null' ELSE '"' || c_mktsegment || '"' END || '}' AS line
+    FROM customer"""
 )
-def json_nested_as_text(t):
-    """Nested values of a JSON file read into text columns."""
-    from pyspark.sql import types as T
+def json_lines_as_written(t):
+    """The text of a JSON export: a null field is there, as null."""
+    third = F.col("c_custkey") % 3 == 0
+    rows = t.customer.select("c_custkey", F.when(~third, F.col("c_mktsegment")).alias("segment"))
+    path = scratch_path(t.spark, "json")
+    export_json(rows, path)
+    lines = t.spark.read.text(path)
+    known = F.when(~F.contains("value", F.lit("null")), 1)
+    return lines.select(known.alias("known"), F.col("value").alias("line"))
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def json_document_round_trip(t):
+    """Documents that are each one top-level array, spread over many lines."""
+    path = scratch_path(t.spark, "documents")
+    record = F.to_json(F.struct("event_id", "user_id", "event_type"))
+    documents = t.events.groupBy((F.col("user_id") % 50).alias("part")).agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list(record), ",\n"), F.lit("\n]")).alias("value")
+    )
+    documents.select("value", "part").write.partitionBy("part").text(path)
+    schema = t.events.select("event_id", "user_id", "event_type").schema
+    return read_json(t.spark, path, schema).select(*schema.names)
+
 
-    path = scratch_path(t.spark, "nested")
-    tags = F.concat(
-        F.lit('["'), F.col("event_type"), F.lit('",'), F.col("user_id").cast("string"), F.lit("]")
+@query(
+    """SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN c_name END AS c_name,
+    CASE WHEN c_custkey % 2 = 0 THEN c_nationkey END AS c_nationkey FROM customer"""
+)
+def csv_null_tokens(t):
+    """The ways of writing no value, all read as null."""
+    part = F.col("c_custkey") % 4
+    blank = F.when(part == 1, "NaN").when(part == 2, "NULL").otherwise("")
+    rows = t.customer.select(
+        "c_custkey",
+        F.when(part == 0, F.col("c_name")).otherwise(blank).alias("c_name"),
+        F.when(part % 2 == 0, F.col("c_nationkey").cast("string")).otherwise("NA").alias("c_nationkey"),
     )
-    nested = t.events.select(
+    path = scratch_path(t.spark, "tokens")
+    export_csv(rows, path)
+    return read_csv(t.spark, path, t.customer.select("c_custkey", "c_name", "c_nationkey").schema, multi_line=False)
+
+
+@query("SELECT event_id, ts, ts AS parsed FROM events")
+def parquet_nanoseconds_and_text(t):
+    """Timestamps held as nanoseconds, and as text, become timestamps."""
+    ts = F.col("ts").cast("timestamp")
+    rows = t.events.select(
         "event_id",
-        F.parse_json(tags).alias("tags"),
-        F.parse_json("props").alias("report"),
+        (F.unix_micros(ts) * 1000 + 999).alias("ts"),
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("parsed"),
     )
-    export_json(nested, path)
-    texts = T.StructType([T.StructField(n, T.StringType()) for n in ("tags", "report")])
-    schema = T.StructType([T.StructField("event_id", T.LongType()), *texts.fields])
-    return read_json(t.spark, path, schema, lines=True)
+    path = scratch_path(t.spark, "nanos")
+    export_parquet(rows, path)
+    found = read_parquet(t.spark, path, ["ts", "parsed"])
+    return found.select("event_id", *[to_utc_ntz(F.col(c), instant=True).alias(c) for c in ("ts", "parsed")])
 
 
 @query("SELECT * FROM lineitem")

@@ -10,13 +10,20 @@ from pyspark.sql import functions as F
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header row; quotes inside values are doubled."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV with a header row; quotes inside values are doubled, spaces around them kept."""
+    (
+        df.write.mode(mode)
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def export_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """JSON Lines."""
-    df.write.mode(mode).json(path)
+    """JSON Lines; a null field is written as null."""
+    df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
 def export_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

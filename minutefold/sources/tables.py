@@ -46,6 +46,17 @@ class Folder:
         finally:
             stream.close()
 
+    def newest(self, names: list[str]) -> list[str]:
+        """The names, those changed last at the end."""
+        changed = {n: self._fs.getFileStatus(self._sub(n)).getModificationTime() for n in names}
+        return sorted(names, key=lambda n: (changed[n], n))
+
+    def put(self, name: str, text: str) -> None:
+        """Write a file that is there with all of its text or not at all."""
+        self.write(f"_{name}.part", text)
+        if not self._fs.rename(self._sub(f"_{name}.part"), self._sub(name)):
+            raise OSError(f"cannot write {name} in {self._at}")
+
     def write(self, name: str, text: str) -> None:
         stream = self._fs.create(self._sub(name), True)
         try:
@@ -68,13 +79,21 @@ class BatchTable:
         """Add a batch. Rows of an earlier try of the same run are replaced."""
         _as(df, self.schema).write.mode("overwrite").parquet(f"{self.path}/run_id={run_id}")
 
-    def _batches(self, run_id: str | None) -> list[str]:
+    def _batches(self, run_id: str | list[str] | None) -> list[str]:
         folder = Folder(self.spark, self.path)
-        wanted = folder.names("run_id=") if run_id is None else [f"run_id={run_id}"]
+        if run_id is None:
+            wanted = folder.names("run_id=")
+        else:
+            wanted = [f"run_id={r}" for r in ([run_id] if isinstance(run_id, str) else run_id)]
         return [b for b in wanted if folder.has(f"{b}/_SUCCESS")]
 
-    def read(self, run_id: str | None = None) -> DataFrame:
-        """One batch, or all that are there; a batch is seen once it is complete."""
+    def landed(self) -> list[str]:
+        """Run ids of the complete batches, the one written last at the end."""
+        done = {f"{b}/_SUCCESS": b.split("=", 1)[1] for b in self._batches(None)}
+        return [done[n] for n in Folder(self.spark, self.path).newest(list(done))]
+
+    def read(self, run_id: str | list[str] | None = None) -> DataFrame:
+        """The named batches, or all that are there; a batch is seen once it is complete."""
         paths = [f"{self.path}/{b}" for b in self._batches(run_id)]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
@@ -121,6 +140,13 @@ class VersionedTable:
         following = max(self._versions(), default=0) + 1
         df.write.mode("overwrite").parquet(f"{self.path}/{self._name(following)}")
 
+    def withdraw(self, version: str | None) -> None:
+        """Make the given folder the current version again, or none."""
+        folder = Folder(self.spark, self.path)
+        for v in self._complete():
+            if version is None or f"{self.path}/{self._name(v)}" > version:
+                folder.drop(self._name(v))
+
     def drop_old(self, keep: int = 2) -> None:
         """Drop all but the last complete versions; readers may still be on the one before."""
         folder = Folder(self.spark, self.path)
@@ -147,6 +173,21 @@ class DayTable:
         days = [n.split("=")[1] for n in Folder(self.spark, self.path).names(f"{self.day}=")]
         return max((d for d in days if not d.startswith("__")), default=None)
 
+    def drop_below(self, name: str) -> None:
+        """Drop a folder of the given name below every day."""
+        folder = Folder(self.spark, self.path)
+        for day in folder.names(f"{self.day}="):
+            if folder.has(f"{day}/{name}"):
+                folder.drop(f"{day}/{name}")
+            if not Folder(self.spark, f"{self.path}/{day}").names():
+                folder.drop(day)
+
+    def runs_below(self, column: str) -> set[str]:
+        """Values of a partition column below the days, from folder names alone."""
+        days = Folder(self.spark, self.path).names(f"{self.day}=")
+        names = [n for d in days for n in Folder(self.spark, f"{self.path}/{d}").names(f"{column}=")]
+        return {n.split("=", 1)[1] for n in names}
+
     def exists(self) -> bool:
         return bool(Folder(self.spark, self.path).names(f"{self.day}="))
 

@@ -47,14 +47,15 @@ def above_mark_per_key(
 
 
 def replace_days(target: DataFrame, batch: DataFrame, day: str) -> DataFrame:
-    """Target with its last day and everything after it taken from the batch.
+    """Target with the days that the batch holds, from its last day on, taken from the batch.
 
-    The batch holds full days; its earlier days are ignored. On a ``DayTable`` the
-    same is a write of ``days_from(batch, day, mark)`` that touches no earlier day.
+    The batch holds full days; its earlier days are ignored, and days it lacks stay as
+    they are, as do rows without a day. On a ``DayTable`` the same is a write of
+    ``days_from(batch, day, mark)``.
     """
-    mark = target.agg(F.max(day)).scalar()
-    kept = target.where(F.col(day) < mark)
-    return kept.unionByName(days_from(batch, day, mark))
+    fresh = days_from(batch, day, target.agg(F.max(day)).scalar())
+    held = fresh.select(day).distinct()
+    return target.join(held, day, "left_anti").select(*target.columns).unionByName(fresh)
 
 
 def days_from(df: DataFrame, day: str, mark: Column | object | None) -> DataFrame:

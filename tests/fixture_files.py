@@ -7,12 +7,12 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 HEROES = """hero_id,name,alter_ego,first_appearance
-H-4,The Hulk,Bruce Banner,1962-05-01
-I-2,Iron Man,Tony Stark,1963-03-01
-I-2,,Tony Stark,1963-03-01
-S-5,SPIDER-MAN,Peter Parker,1962-08-01
-,spiderman,Peter Parker,1962-08-01
-P-9,Black Panther,T'Challa,1966-07-01
+H-4,The Lantern Moth,Orla Finch,1971-03-14
+I-2,Copper Jay,Milo Brandt,1980-06-02
+I-2,,Milo Brandt,1980-06-02
+S-5,TIDE-WALKER,Ines Okafor,1975-09-21
+,tidewalker,Ines Okafor,1975-09-21
+P-9,Night Heron,N'Dara,1969-11-30
 """
 
 
@@ -30,13 +30,13 @@ def mission(mission_id, heroes, location, timestamp, outcome, damage=None):
 
 
 MISSIONS = [
-    mission("M-001", ["H-4", "I-2"], "London", "2025-01-01T00:01:30+00:00", "Successful", (12000, 3)),
-    mission("M-002", ["S-5"], None, "2024-12-31T19:03:00-05:00", "Failure", (-40, 0)),
-    mission("M-002", ["S-5"], None, "2025-01-01T00:03:00+00:00", "Failure", (-40, 0)),
-    mission("M-003", ["I-2"], "Wakanda", "2025-01-01T05:00:00+00:00", "Successful"),
-    mission("M-004", [], "Sokovia", "2025-01-01T00:02:00+00:00", "Draw", (1, 1)),
-    mission(None, ["H-4"], "London", "2025-01-01T00:00:00+00:00", "Draw", (1, 1)),
-    mission("M-005", ["Z-99"], "London", "2025-01-01T00:01:00+00:00", "Successful", (500, 0)),
+    mission("M-001", ["H-4", "I-2"], "Port Amsel", "2025-01-01T00:01:30+00:00", "Successful", (12000, 3)),
+    mission("M-002", ["S-5"], None, "2024-12-31T19:03:00-05:00", "Lost", (-40, 0)),
+    mission("M-002", ["S-5"], None, "2025-01-01T00:03:00+00:00", "Lost", (-40, 0)),
+    mission("M-003", ["I-2"], "Vell", "2025-01-01T05:00:00+00:00", "Successful"),
+    mission("M-004", [], "Karsk", "2025-01-01T00:02:00+00:00", "Even", (1, 1)),
+    mission(None, ["H-4"], "Port Amsel", "2025-01-01T00:00:00+00:00", "Even", (1, 1)),
+    mission("M-005", ["Z-99"], "Port Amsel", "2025-01-01T00:01:00+00:00", "Successful", (500, 0)),
 ]
 
 READINGS = [

@@ -82,6 +82,12 @@ def test_replace_days(spark):
     assert [(d.day, v) for d, v in rows(replace_days(target, batch, "day"), "day")] == [
         (1, 1), (2, 9), (3, 9),
     ]
+    # Days that the batch lacks stay, the target's last one and rows without a day too.
+    unknown = spark.createDataFrame([(None, 7)], target.schema)
+    kept = replace_days(target.union(unknown), days(spark, (3, 9)), "day")
+    assert sorted(map(repr, rows(kept))) == sorted(
+        map(repr, rows(target.union(unknown).union(days(spark, (3, 9)))))
+    )
     full = days(spark, (1, 1), (2, 9), (3, 9))
     assert rows(replace_days(target, full, "day"), "day") == rows(full, "day")
 

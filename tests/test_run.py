@@ -1,5 +1,7 @@
 """The whole run on the fixtures: one batch, a second batch, retries."""
 
+import os
+
 import pytest
 from fixture_files import MISSIONS, READINGS, clock, mission, rows, write_inputs, write_readings
 from pyspark.sql import functions as F
@@ -7,7 +9,9 @@ from pyspark.sql import functions as F
 from minutefold.config import Settings
 from minutefold.operators.quality import QualityError
 from minutefold.plans import questions
-from minutefold.plans.run import Layers, build, land, run, run_arrivals
+from minutefold.plans import run as run_module
+from minutefold.plans.run import MODEL_LAYERS, Layers, build, land, run, run_arrivals
+from minutefold.sources.tables import Folder
 
 
 def settings_for(folder, inputs, run_id, **more):
@@ -29,10 +33,10 @@ def test_staging(first):
     layers, _ = first
     staged = layers.staged()
     assert rows(staged["stg_heroes"].select("hero_id", "name", "alter_ego"), "hero_id") == [
-        ("H-4", "thehulk", "Bruce Banner"),
-        ("I-2", "ironman", "Tony Stark"),
-        ("P-9", "blackpanther", "T'Challa"),
-        ("S-5", "spiderman", "Peter Parker"),
+        ("H-4", "thelanternmoth", "Orla Finch"),
+        ("I-2", "copperjay", "Milo Brandt"),
+        ("P-9", "nightheron", "N'Dara"),
+        ("S-5", "tidewalker", "Ines Okafor"),
     ]
     missions = rows(
         staged["stg_missions"].select("mission_id", "hero_id", "timestamp", "structural_damage"),
@@ -76,12 +80,12 @@ def test_wide_tables(first):
     )
     none = (None, None, None, None)
     assert by_bin == [
-        (clock("00:00"), "thehulk", "H-4", *none, 80.0, 1.5, 150.0),
-        (clock("00:01"), "thehulk", "H-4", "M-001", "London", "Successful", 12000, None, None, None),
-        (clock("00:02"), "thehulk", "H-4", *none, None, None, None),
-        (clock("00:03"), "thehulk", "H-4", *none, 90.0, 3.0, 300.0),
-        (clock("00:01"), "ironman", "I-2", "M-001", "London", "Successful", 12000, None, 4.0, 400.0),
-        (clock("00:03"), "spiderman", "S-5", "M-002", None, "Failure", -40, 70.0, 9.0, 50.0),
+        (clock("00:00"), "thelanternmoth", "H-4", *none, 80.0, 1.5, 150.0),
+        (clock("00:01"), "thelanternmoth", "H-4", "M-001", "Port Amsel", "Successful", 12000, None, None, None),
+        (clock("00:02"), "thelanternmoth", "H-4", *none, None, None, None),
+        (clock("00:03"), "thelanternmoth", "H-4", *none, 90.0, 3.0, 300.0),
+        (clock("00:01"), "copperjay", "I-2", "M-001", "Port Amsel", "Successful", 12000, None, 4.0, 400.0),
+        (clock("00:03"), "tidewalker", "S-5", "M-002", None, "Lost", -40, 70.0, 9.0, 50.0),
     ]
     by_mission = rows(
         models["obt_missions"].select(
@@ -92,10 +96,10 @@ def test_wide_tables(first):
         F.col("hero_id").desc(),
     )
     assert by_mission == [
-        (clock("00:01:30"), "ironman", "I-2", "M-001", "Successful", 12000, None, 4.0, 400.0),
-        (clock("00:01:30"), "thehulk", "H-4", "M-001", "Successful", 12000, None, None, None),
-        (clock("00:03"), "spiderman", "S-5", "M-002", "Failure", -40, 70.0, 9.0, 50.0),
-        (clock("05:00"), "ironman", "I-2", "M-003", "Successful", None, None, None, None),
+        (clock("00:01:30"), "copperjay", "I-2", "M-001", "Successful", 12000, None, 4.0, 400.0),
+        (clock("00:01:30"), "thelanternmoth", "H-4", "M-001", "Successful", 12000, None, None, None),
+        (clock("00:03"), "tidewalker", "S-5", "M-002", "Lost", -40, 70.0, 9.0, 50.0),
+        (clock("05:00"), "copperjay", "I-2", "M-003", "Successful", None, None, None, None),
         (clock("00:01"), None, None, "M-005", "Successful", 500, None, None, None),
     ]
 
@@ -117,10 +121,10 @@ def test_questions(first):
     models = first[0].models()
     by_bin, by_mission = models["obt_biometrics"], models["obt_missions"]
     q1a = questions.strongest_under_risk(by_bin, on_missions_only=True, nulls="first")
-    assert rows(q1a) == [("thehulk", None)]
-    assert rows(questions.strongest_under_risk(by_mission)) == [("ironman", 400.0)]
-    assert rows(questions.most_reliable(by_bin, nulls="first")) == [("ironman", 1, 4.0)]
-    assert rows(questions.most_reliable(by_mission)) == [("ironman", 2, 4.0)]
+    assert rows(q1a) == [("thelanternmoth", None)]
+    assert rows(questions.strongest_under_risk(by_mission)) == [("copperjay", 400.0)]
+    assert rows(questions.most_reliable(by_bin, nulls="first")) == [("copperjay", 1, 4.0)]
+    assert rows(questions.most_reliable(by_mission)) == [("copperjay", 2, 4.0)]
     assert questions.preview(by_bin, 2).count() == 2
 
 
@@ -131,7 +135,7 @@ def test_questions_as_sql(first, spark):
         "WHERE structural_damage > 10000 "
         "GROUP BY hero_name ORDER BY e DESC NULLS LAST LIMIT 1"
     )
-    assert rows(found) == [("ironman", 400.0)]
+    assert rows(found) == [("copperjay", 400.0)]
     assert spark.table("marts.fact_biometrics").count() == 6
     assert spark.table("marts.fact_biometrics").columns[:2] == ["timestamp", "hero_id"]
     assert spark.table("stg_heroes").count() == 4
@@ -168,13 +172,13 @@ def test_severity_error(spark, folder):
 
 
 SECOND_HEROES = """hero_id,name,alter_ego,first_appearance
-I-2,Iron-Man II,Tony Stark,1963-03-01
-S-5,Spider-Man,Peter Parker,1962-08-01
-A-10,Ant-Man,Scott Lang,1979-03-01
+I-2,Copper-Jay II,Milo Brandt,1980-06-02
+S-5,Tide-Walker,Ines Okafor,1975-09-21
+A-10,Dust-Mote,Pim Aldous,1990-01-08
 """
 SECOND_MISSIONS = [
-    mission("M-001", ["H-4"], "London", "2025-01-01T00:01:30+00:00", "Draw", (12000, 3)),
-    mission("M-006", ["A-10"], "Sokovia", "2025-01-02T00:04:10+00:00", "Successful", (100, 0)),
+    mission("M-001", ["H-4"], "Port Amsel", "2025-01-01T00:01:30+00:00", "Even", (12000, 3)),
+    mission("M-006", ["A-10"], "Karsk", "2025-01-02T00:04:10+00:00", "Successful", (100, 0)),
 ]
 SECOND_READINGS = [
     ("00:03:20", "H-4", 99.0, 9.0, 999),
@@ -184,8 +188,6 @@ SECOND_READINGS = [
 
 
 def second_inputs(folder):
-    import os
-
     os.makedirs(f"{folder}/second")
     return write_inputs(f"{folder}/second", SECOND_HEROES, SECOND_MISSIONS, SECOND_READINGS)
 
@@ -200,15 +202,15 @@ def test_second_run(spark, folder):
     models = layers.models()
 
     assert rows(models["dim_heroes"].select("hero_id", "name"), "hero_id") == [
-        ("A-10", "antman"),
-        ("H-4", "thehulk"),
-        ("I-2", "ironmanii"),
-        ("P-9", "blackpanther"),
-        ("S-5", "spiderman"),
+        ("A-10", "dustmote"),
+        ("H-4", "thelanternmoth"),
+        ("I-2", "copperjayii"),
+        ("P-9", "nightheron"),
+        ("S-5", "tidewalker"),
     ]
     outcomes = models["dim_missions_heroes"].where("mission_id in ('M-001', 'M-006')")
     assert rows(outcomes.select("mission_id", "hero_id", "outcome"), "mission_id", "hero_id") == [
-        ("M-001", "H-4", "Draw"),
+        ("M-001", "H-4", "Even"),
         ("M-001", "I-2", "Successful"),
         ("M-006", "A-10", "Successful"),
     ]
@@ -220,12 +222,12 @@ def test_second_run(spark, folder):
     # The mission table: the last loaded day again, later days added.
     found = models["obt_missions"].select("mission_date", "mission_id", "hero_name", "mission_outcome")
     assert [(str(d), *r) for d, *r in rows(found, "mission_id", "hero_name")] == [
-        ("2025-01-01", "M-001", "ironmanii", "Successful"),
-        ("2025-01-01", "M-001", "thehulk", "Draw"),
-        ("2025-01-01", "M-002", "spiderman", "Failure"),
-        ("2025-01-01", "M-003", "ironmanii", "Successful"),
+        ("2025-01-01", "M-001", "copperjayii", "Successful"),
+        ("2025-01-01", "M-001", "thelanternmoth", "Even"),
+        ("2025-01-01", "M-002", "tidewalker", "Lost"),
+        ("2025-01-01", "M-003", "copperjayii", "Successful"),
         ("2025-01-01", "M-005", None, "Successful"),
-        ("2025-01-02", "M-006", "antman", "Successful"),
+        ("2025-01-02", "M-006", "dustmote", "Successful"),
     ]
 
 
@@ -239,7 +241,7 @@ def test_command_line(spark, folder, capsys, monkeypatch):
     main(["--input-dir", folder, "--root", f"{folder}/lake", "--run-id", "a:b"])
     result = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert len(result["checks"]) == 18
-    assert Layers(spark, settings_for(folder, folder, "a_b")).raw_heroes.read("a_b").count() == 6
+    assert Layers(spark, settings_for(folder, folder, "a:b")).raw_heroes.read("a~3a~b").count() == 6
 
 
 def test_checks_from_the_mark_on(spark, folder):
@@ -263,8 +265,6 @@ def test_checks_from_the_mark_on(spark, folder):
 
 def test_a_batch_that_adds_nothing(spark, folder):
     """No mission, no hero, and only readings that are late: the tables stay as they are."""
-    import os
-
     write_inputs(folder)
     run(spark, settings_for(folder, folder, "one"))
     os.makedirs(f"{folder}/second")
@@ -318,6 +318,91 @@ def test_raw_left_by_a_failed_run_enters_the_next(spark, folder):
     assert Layers(spark, settings).raw_heroes.read().count() == 0
 
 
+def fail(*_, **__):
+    raise RuntimeError("the run is lost here")
+
+
+@pytest.mark.parametrize("step", ["build", "check", "commit"])
+def test_a_failed_run_and_another_id(spark, folder, monkeypatch, step):
+    """A fails somewhere, B takes the same files, and A is tried again."""
+    write_inputs(folder)
+    first = settings_for(folder, folder, "A")
+    with monkeypatch.context() as m:
+        if step == "commit":
+            m.setattr(Layers, "set_done", fail)
+        else:
+            m.setattr(run_module, step, fail)
+        with pytest.raises(RuntimeError):
+            run(spark, first)
+    run(spark, settings_for(folder, folder, "B"))
+    fact = Layers(spark, first).models()["fact_biometrics"]
+    assert (fact.count(), fact.distinct().count()) == (6, 6)
+    run(spark, first)
+    assert Layers(spark, first).models()["fact_biometrics"].count() == 6
+
+
+def test_a_day_lost_while_a_run_was_committing(spark, folder, monkeypatch):
+    """Readings of three days, of which the middle one did not get into place."""
+    write_inputs(folder)
+    late = f"{folder}/late"
+    os.makedirs(late)
+    for day in (1, 2, 3):
+        write_readings(f"{late}/{day}.parquet", READINGS, "us", day)
+    settings = settings_for(folder, folder, "A", biometrics_file="late")
+    with monkeypatch.context() as m:
+        m.setattr(Layers, "set_done", fail)
+        with pytest.raises(RuntimeError):
+            run(spark, settings)
+    layers = Layers(spark, settings)
+    assert layers.biometrics.read().select("day").distinct().count() == 3
+    Folder(spark, layers.biometrics.path).drop("day=2025-01-02")
+    run(spark, settings_for(folder, folder, "B", biometrics_file="late"))
+    whole = layers.biometrics.read()
+    assert whole.groupBy("hero_id", "timestamp").count().where("count > 1").isEmpty()
+    assert whole.select("day").distinct().count() == 3
+    assert whole.count() == layers.models()["obt_biometrics"].dropDuplicates(["hero_id", "timestamp"]).count()
+
+
+def test_the_batch_landed_last_counts(spark, folder):
+    write_inputs(folder)
+    failed = Layers(spark, settings_for(folder, folder, "z-first"))
+    failed.create_schemas()
+    land(failed, "z-first")
+    inputs = f"{folder}/second"
+    os.makedirs(inputs)
+    write_inputs(inputs, readings=[("00:00:05", "H-4", 11.0, 1.0, 100)])
+    settings = settings_for(folder, inputs, "a-second")
+    run(spark, settings)
+    fact = Layers(spark, settings).models()["fact_biometrics"].where("hero_id = 'H-4'")
+    assert rows(fact.select("heart_rate"), "timestamp") == [(11.0,), (None,), (None,), (90.0,)]
+
+
+def test_models_are_readable_after_any_number_of_runs(spark, folder):
+    write_inputs(folder)
+    for number in range(4):
+        settings = settings_for(folder, folder, f"run {number}")
+        run(spark, settings)
+        for model, layer in MODEL_LAYERS.items():
+            if layer != "staging":
+                found = spark.table(f"`{settings.layer(layer)}`.`{model}`")
+                assert found.count() == Layers(spark, settings).models()[model].count()
+    assert spark.table("analytics.obt_missions").count() == 5
+
+
+def test_failed_checks_change_nothing_that_was_current(spark, folder):
+    write_inputs(folder, missions=[MISSIONS[0]])
+    settings = settings_for(folder, folder, "one")
+    run(spark, settings)
+    before = snapshot(Layers(spark, settings))
+    inputs = second_inputs(folder)
+    write_inputs(inputs, SECOND_HEROES, MISSIONS, SECOND_READINGS)
+    with pytest.raises(QualityError):
+        run(spark, settings_for(folder, inputs, "two", severity="error"))
+    after = snapshot(Layers(spark, settings))
+    for model in ("dim_heroes", "dim_missions_heroes", "fact_biometrics", "obt_biometrics"):
+        assert after[model] == before[model]
+
+
 def snapshot(layers):
     return {
         name: sorted(map(tuple, df.collect()), key=repr) for name, df in layers.models().items()
@@ -341,8 +426,6 @@ def test_retry_gives_the_same_tables(spark, folder):
 def test_per_key_mark(spark, folder):
     write_inputs(folder)
     run(spark, settings_for(folder, folder, "one"))
-    import os
-
     os.makedirs(f"{folder}/second")
     late = [("00:02:10", "I-2", 50.0, 1.0, 10), ("00:01:10", "H-4", 50.0, 1.0, 10)]
     inputs = write_inputs(f"{folder}/second", readings=late)
@@ -355,8 +438,6 @@ def test_per_key_mark(spark, folder):
 
 def test_arrivals(spark, folder):
     """Reading files that arrive one after the other, each applied once."""
-    import os
-
     os.makedirs(f"{folder}/landing")
     settings = settings_for(folder, folder, "stream")
     layers = Layers(spark, settings)

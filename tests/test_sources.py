@@ -26,13 +26,13 @@ def test_csv_by_name_with_null_tokens_and_quotes(spark, folder):
         folder,
         "h.csv",
         'name,hero_id,first_appearance,extra,alter_ego\n'
-        '"a, ""b""",H-1,1962-05-01,x,NA\n'
+        '"a, ""b""",H-1,1971-03-14,x,NA\n'
         "null,H-2,,y,N/A\n"
         "\n"
         " None,H-3,2000,z,none\n",
     )
     assert rows(read_csv(spark, path, HEROES_FILE), "hero_id") == [
-        ("H-1", 'a, "b"', None, "1962-05-01"),
+        ("H-1", 'a, "b"', None, "1971-03-14"),
         ("H-2", None, None, None),
         ("H-3", " None", "none", "2000"),
     ]
