@@ -82,6 +82,7 @@ class Settings:
     every: str = "1 minute"
     severity: str = "warn"
     keep_raw: bool = False
+    bridge_buckets: int = 64
     per_key_mark: bool = False
     check_whole_fact: bool = True
     layer_names: dict[str, str] = field(default_factory=lambda: {n: n for n in LAYERS})
@@ -96,7 +97,8 @@ class Settings:
             text = os.environ.get(cls.ENV_PREFIX + f.name.upper())
             if f.name in values or text is None or f.name == "layer_names":
                 continue
-            values[f.name] = text.lower() in ("1", "true", "yes") if f.type == "bool" else text
+            kinds = {"bool": lambda x: x.lower() in ("1", "true", "yes"), "int": int}
+            values[f.name] = kinds.get(f.type, str)(text)
         return cls(**values)
 
     @property

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import prepare, scratch_path
+from ..config import Settings, prepare, scratch_path
 from ..functions import json_field, json_fields, normalise_text, to_date, to_int
 from ..functions import to_utc_ntz, trunc_ntz
 from ..operators import (
@@ -28,12 +28,13 @@ from ..operators import (
     top_n,
 )
 from ..operators.quality import Check, report
-from ..sources import BatchTable, DayTable, LoadMetrics, VersionedTable
+from ..sources import BatchTable, BucketTable, DayTable, LoadMetrics, VersionedTable
 from ..sources import export_csv, export_json, export_parquet, read_csv, read_json, read_parquet
 from ..streaming import above_mark, above_mark_per_key, apply_arrivals, replace_days, upsert
 from ..streaming.increments import days_from
 from . import analytics, marts, questions, staging
 from .checks import CHECKS
+from .run import Layers, append_fact, land_readings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -471,6 +472,32 @@ def upsert_persisted(t):
     return table.read()
 
 
+@query(UPSERTED_SALES)
+def upsert_buckets(t):
+    """The same on a table dealt by key, of which an upsert rewrites the touched buckets."""
+    old, new = old_and_new_sales(t)
+    table = BucketTable(t.spark, scratch_path(t.spark, "buckets"), ["o_orderkey"], 8, ["o_orderdate"])
+    for batch in (old, new):
+        table.upsert(batch)
+    table.drop_old()
+    return table.read()
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber,
+    CASE WHEN l_orderkey % 100 = 0 THEN l_quantity + 100 ELSE l_quantity END AS l_quantity, l_shipdate
+    FROM lineitem"""
+)
+def upsert_small_batch(t):
+    """One order in a hundred comes again."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    table = BucketTable(t.spark, scratch_path(t.spark, "buckets"), ["l_orderkey", "l_linenumber"], 64, ["l_shipdate"])
+    table.upsert(lines)
+    again = lines.where(F.col("l_orderkey") % 100 == 0)
+    table.upsert(again.withColumn("l_quantity", F.col("l_quantity") + 100))
+    return table.read()
+
+
 LINES = "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem"
 
 
@@ -1063,6 +1090,68 @@ def model_fact_biometrics(t):
     return marts.fact_biometrics(stg_biometrics(t), clock("2024-01-20 07:00:00"))
 
 
+@query(f"{LAYERS} SELECT * FROM stg_biometrics")
+def fact_after_failed_run(t):
+    """A run loses its fact before it commits, another takes the same readings, the first is tried again."""
+    settings = Settings(input_dir=t.folder, root=scratch_path(t.spark, "lake"), every=HOUR)
+    layers = Layers(t.spark, settings)
+
+    def load(run_id: str, commit: bool = True) -> None:
+        layers.drop_uncommitted()
+        land_readings(layers, readings(t), run_id)
+        append_fact(layers, layers.staged(pending=True)["stg_biometrics"], run_id)
+        if commit:
+            layers.set_done(run_id)
+
+    load("A", commit=False)
+    load("B")
+    load("A")
+    return layers.models()["fact_biometrics"]
+
+
+@query(
+    f"""{LAYERS} SELECT * REPLACE (CASE WHEN CAST(substr(hero_id, 3) AS BIGINT) % 3 = 0
+        THEN 'again' || name ELSE name END AS name) FROM dim_heroes"""
+)
+def model_dim_heroes_second_run(t):
+    """The dimension on disk, and a batch in which every third hero has another name."""
+    staged = staging.stg_heroes(raw_heroes(t))
+    third = staged.where(F.substring("hero_id", 3, 20).cast("bigint") % 3 == 0)
+    table = VersionedTable(t.spark, scratch_path(t.spark, "heroes"))
+    for batch in (staged, third.withColumn("name", F.concat(F.lit("again"), "name"))):
+        table.write(marts.dim_heroes(batch, table.read()))
+    return table.read()
+
+
+@query(
+    f"""{LAYERS} SELECT * REPLACE (CASE WHEN CAST(substr(mission_id, 3) AS BIGINT) % 5 = 0
+        THEN 'Redone' ELSE outcome END AS outcome) FROM dim_missions_heroes"""
+)
+def model_dim_missions_heroes_second_run(t):
+    """The bridge on disk, dealt by key, and a batch of every fifth mission."""
+    staged = landed(stg_missions(t), "missions")
+    fifth = staged.where(F.substring("mission_id", 3, 20).cast("bigint") % 5 == 0)
+    table = BucketTable(t.spark, scratch_path(t.spark, "bridge"), marts.BRIDGE_KEYS, 8, ["timestamp"])
+    for batch in (staged, fifth.withColumn("outcome", F.lit("Redone"))):
+        table.upsert(marts.dim_missions_heroes(batch))
+    return table.read()
+
+
+@query(
+    f"""{LAYERS} SELECT * REPLACE (CASE WHEN mission_date < (SELECT max(mission_date) FROM obt_missions
+        WHERE mission_date <= DATE '2024-01-20') THEN 'old' ELSE mission_outcome END AS mission_outcome)
+    FROM obt_missions"""
+)
+def model_obt_missions_second_run(t):
+    """The wide table by day on disk; a run replaces its last day and adds later ones."""
+    whole = landed(obt_missions(t), "wide")
+    known = whole.where(F.col("mission_date") <= F.lit("2024-01-20").cast("date"))
+    table = DayTable(t.spark, scratch_path(t.spark, "wide"), whole.schema, "mission_date")
+    table.replace(known.withColumn("mission_outcome", F.lit("old")))
+    table.replace(days_from(whole, "mission_date", F.lit(table.last_day()).cast("date")))
+    return table.read()
+
+
 @query(f"{LAYERS} SELECT * FROM obt_biometrics")
 def model_obt_biometrics(t):
     return obt_biometrics(t)
@@ -1135,10 +1224,13 @@ def check_sql(check: Check) -> tuple[str, str, str, str]:
     + report_sql([check_sql(c) for c in CHECKS])
 )
 def model_dq_report(t):
+    # The tables that several checks read are on disk, as they are after a run.
+    heroes, missions = landed(dim_heroes(t), "heroes"), landed(stg_missions(t), "missions")
+    fact = landed(marts.fact_biometrics(stg_biometrics(t)), "fact")
     models = {
-        "dim_heroes": dim_heroes(t),
-        "dim_missions_heroes": marts.dim_missions_heroes(stg_missions(t)),
-        "fact_biometrics": marts.fact_biometrics(stg_biometrics(t)),
-        "obt_biometrics": obt_biometrics(t),
+        "dim_heroes": heroes,
+        "dim_missions_heroes": landed(marts.dim_missions_heroes(missions), "bridge"),
+        "fact_biometrics": fact,
+        "obt_biometrics": landed(analytics.obt_biometrics(fact, missions, heroes, HOUR), "wide"),
     }
     return report(models, CHECKS)

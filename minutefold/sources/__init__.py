@@ -2,10 +2,11 @@
 
 from .files import SourceError, read_csv, read_json, read_parquet
 from .sinks import LoadMetrics, export_csv, export_json, export_parquet
-from .tables import BatchTable, DayTable, VersionedTable
+from .tables import BatchTable, BucketTable, DayTable, VersionedTable
 
 __all__ = [
     "BatchTable",
+    "BucketTable",
     "DayTable",
     "LoadMetrics",
     "SourceError",

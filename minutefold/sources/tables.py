@@ -2,11 +2,14 @@
 
 * ``BatchTable``: one folder per run; a retry replaces its own batch.
 * ``VersionedTable``: every write is a new version, visible once it is complete.
+* ``BucketTable``: dealt by a hash of the key; an upsert rewrites the buckets it touches.
 * ``DayTable``: partitioned by day; a write replaces only the partitions it has rows for.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,6 +68,12 @@ class Folder:
             stream.close()
 
 
+def upsert_rows(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Target rows whose key the batch lacks, plus the whole batch; null keys match nothing."""
+    replaced = batch.select(*keys).distinct()
+    return target.join(replaced, keys, "left_anti").unionByName(batch)
+
+
 def _as(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
@@ -154,6 +163,98 @@ class VersionedTable:
             folder.drop(self._name(version))
 
 
+class BucketTable:
+    """A keyed table whose rows are dealt into folders by a hash of their key.
+
+    ``<path>/version=<n>/bucket=<b>`` holds what write n made of bucket b, and the last
+    manifest file names the version of each bucket. A key never changes its bucket, so an
+    upsert reads and rewrites the buckets its batch touches and no others; it is seen once
+    its manifest is written, and a failed one leaves nothing but folders that are not named.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, keys: list[str], buckets: int = 64, sort_by: list[str] = ()
+    ):
+        self.spark, self.path, self.keys = spark, path, list(keys)
+        self.buckets, self.sort_by = buckets, list(sort_by)
+
+    @property
+    def _folder(self) -> Folder:
+        return Folder(self.spark, self.path)
+
+    def manifest(self) -> dict[int, int]:
+        """Version by bucket, of the last complete write."""
+        names = self._folder.names("manifest-")
+        if not names:
+            return {}
+        return {int(b): v for b, v in json.loads(self._folder.read(names[-1])).items()}
+
+    @property
+    def current(self) -> str | None:
+        """Name of the last manifest."""
+        names = self._folder.names("manifest-")
+        return names[-1] if names else None
+
+    def withdraw(self, manifest: str | None) -> None:
+        """Make the given manifest the last one again, or none."""
+        for name in self._folder.names("manifest-"):
+            if manifest is None or name > manifest:
+                self._folder.drop(name)
+
+    def selects(self, columns: list[str]) -> str:
+        """The table as SQL over its files, one scan for each version that holds any bucket."""
+        named = self.manifest()
+        parts = []
+        for version in sorted(set(named.values())):
+            held = ", ".join(str(b) for b, v in sorted(named.items()) if v == version)
+            source = f"parquet.`{self.path}/version={version}`"
+            parts.append(f"SELECT {', '.join(columns)} FROM {source} WHERE bucket IN ({held})")
+        return " UNION ALL ".join(parts)
+
+    def _paths(self, named: dict[int, int]) -> list[str]:
+        return [f"{self.path}/version={v}/bucket={b}" for b, v in sorted(named.items())]
+
+    def read(self, buckets: list[int] | None = None) -> DataFrame | None:
+        """All rows, or those of some buckets; None if there are none."""
+        named = self.manifest()
+        paths = self._paths({b: v for b, v in named.items() if buckets is None or b in buckets})
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def upsert(self, batch: DataFrame) -> list[int]:
+        """Replace the rows of the batch's keys by the batch; returns the buckets written."""
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        keyed = batch.withColumn("bucket", bucket)
+        touched = sorted(r[0] for r in keyed.select("bucket").distinct().collect())  # at most all buckets
+        if not touched:
+            return []
+        held = self.read(touched)
+        fresh = batch if held is None else upsert_rows(held, batch, self.keys)
+        version = 1 + max([int(n.split("=")[1]) for n in self._folder.names("version=")], default=0)
+        (
+            fresh.withColumn("bucket", bucket)
+            .hint("rebalance", "bucket")
+            .sortWithinPartitions("bucket", *self.sort_by)
+            .write.partitionBy("bucket")
+            .parquet(f"{self.path}/version={version}")
+        )
+        named = self.manifest() | dict.fromkeys(touched, version)
+        self._folder.put(f"manifest-{version:08d}", json.dumps(named))
+        return touched
+
+    def drop_old(self) -> None:
+        """Drop folders that the last manifest does not name, and earlier manifests."""
+        named, folder = self.manifest(), self._folder
+        for name in folder.names("version="):
+            version = int(name.split("=")[1])
+            for bucket in Folder(self.spark, f"{self.path}/{name}").names("bucket="):
+                if named.get(int(bucket.split("=")[1])) != version:
+                    folder.drop(f"{name}/{bucket}")
+            if version not in named.values():
+                folder.drop(name)
+        for old in folder.names("manifest-")[:-1]:
+            folder.drop(old)
+
+
 class DayTable:
     """A table in ``<day column>=<date>`` folders, with further partitions below if given."""
 

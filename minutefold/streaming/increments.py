@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import upsert_rows
+
 
 def upsert(target: DataFrame | None, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows whose key the batch lacks, plus the whole batch.
@@ -15,8 +17,7 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: list[str]) -> DataF
     """
     if target is None:
         return batch
-    replaced = batch.select(*keys).distinct()
-    return target.join(replaced, keys, "left_anti").unionByName(batch)
+    return upsert_rows(target, batch, keys)
 
 
 def above_mark(batch: DataFrame, ts: str, mark: Column | object | None) -> DataFrame:

@@ -149,3 +149,29 @@ def test_a_large_day_is_few_files(spark, folder, n):
     for d in range(1, n + 1):
         files = [f for f in os.listdir(f"{folder}/t/day=2025-01-0{d}") if f.endswith(".parquet")]
         assert len(files) == 1
+
+
+def test_untouched_buckets_keep_their_files(spark, folder):
+    from minutefold.sources import BucketTable
+
+    t = BucketTable(spark, f"{folder}/t", ["k"], 8)
+    assert t.read() is None
+    t.upsert(spark.range(400).selectExpr("id AS k", "0 AS v"))
+    before = t.manifest()
+    touched = t.upsert(spark.createDataFrame([(3, 1), (3, 2), (900, 1)], "k long, v int"))
+    assert 1 <= len(touched) <= 2
+    assert {b: v for b, v in t.manifest().items() if v == 1} == {b: v for b, v in before.items() if b not in touched}
+    want = [(k, 0) for k in range(400) if k != 3] + [(3, 1), (3, 2), (900, 1)]
+    assert rows(t.read(), "k", "v") == sorted(want)
+    # A write that does not get as far as its manifest is not seen.
+    name = t.current
+    t.upsert(spark.createDataFrame([(5, 7)], "k long, v int"))
+    t.withdraw(name)
+    assert rows(t.read(), "k", "v") == sorted(want)
+    t.drop_old()
+    assert rows(t.read(), "k", "v") == sorted(want)
+    assert t.upsert(spark.range(0).selectExpr("id AS k", "0 AS v")) == []
+    null = spark.createDataFrame([(None, 1)], "k long, v int")
+    t.upsert(null)
+    t.upsert(null)
+    assert t.read().where("k IS NULL").count() == 2
