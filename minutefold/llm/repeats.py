@@ -25,10 +25,13 @@ ANCHOR = 32
 #: Bytes looked at in one go; places have PLACE_BITS bits. A longer text is done in blocks.
 PLACE_BITS = 19
 BLOCK = 1 << PLACE_BITS
+#: Texts cut up at a time.
+FEW = 1_000
 #: Signs taken at a time by the expansion.
 STEP = 4
-#: Pieces that one bucket of anchors gathers, and bytes that one transform is made of.
-BUCKET_PIECES, BUCKET_BYTES = 1_000_000, 2_000_000
+#: Pieces that one bucket of anchors gathers, and bytes that one transform is made of: what
+#: a task holds at a time is some two hundred times a piece, and fifty times a byte.
+BUCKET_PIECES, BUCKET_BYTES = 250_000, 750_000
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -221,7 +224,7 @@ def _cut_pieces(least: int, buckets: int):
     """Rows ``d``, ``t``, ``raw`` to their pieces by bucket of anchors; a text once per batch."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (b.iloc[i : i + FEW] for b in batches for i in range(0, len(b), FEW)):
             batch = batch.sort_values("d", kind="stable").drop_duplicates("t")
             texts = [bytes(r) for r in batch["raw"]]
             d, t = batch["d"].to_numpy(np.int64), batch["t"].to_numpy(np.int64)
@@ -359,7 +362,7 @@ def _take_bytes(least: int, buckets: dict[int, int]):
     def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         plain = zstandard.ZstdDecompressor()
         up, down = _tables()
-        for batch in batches:
+        for batch in (b.iloc[i : i + FEW] for b in batches for i in range(0, len(b), FEW)):
             out = {kind: {k: [] for k in ("a", "d", "t", "s", "np", "body")} for kind in (COMPARE, CROWD)}
             for d, t, z, todo in zip(batch["d"], batch["t"], batch["z"], batch["todo"], strict=True):
                 raw = plain.decompress(bytes(z))
@@ -497,13 +500,14 @@ def remove_repeats(
     )
     equal = settled.filter(F.col("kind") == EQUAL).select("d", "t", "s", "n")
     ranges = scratch.land(equal.union(compared), "repeats-ranges")
-    result = (
+    result = scratch.land(
         per_text(ranges, "s", "n")
         .mapInPandas(
             _without_repeats(least, with_text),
             "d long, t long, n_removed long, n_spans long, kept_sha256 string, removed string, kept binary",
         )
-        .dropDuplicates(["d", "t"])
+        .dropDuplicates(["d", "t"]),
+        "repeats-result",
     )
 
     # Of rows with one text, the earliest has the result and the others lose every byte.

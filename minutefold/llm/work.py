@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minutefold.config import scratch_path
@@ -12,6 +15,27 @@ from minutefold.sources.tables import Folder
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: What a Python worker gets at a time. Whole texts are long rows: at Spark's default of
+#: ten thousand a batch and its copies take more memory than a task's share of an executor.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Plans made inside send rows to Python in small batches; the settings go back after."""
+    before = {key: spark.conf.get(key) for key in BATCHES}
+    try:
+        for key, value in BATCHES.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 class Scratch:
     """Tables in the cluster's shared folder; they survive the loss of an executor.
 
@@ -27,7 +51,8 @@ class Scratch:
         spark = df.sparkSession
         path = scratch_path(spark, label)
         self._paths.append((spark, path))
-        df.write.parquet(path)
+        with small_batches(spark):
+            df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
