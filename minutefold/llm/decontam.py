@@ -20,11 +20,17 @@ TERMS = 1 << 14
 PASSAGE, RANK, MORE = 32, 40, 8
 #: Lengths of the windows that are looked up, in words; a window begins every quarter of one.
 WINDOWS = (16, 32, 64)
-#: Words handled at a time.
-CHUNK = 1 << 16
+#: Words handled at a time, and candidates.
+CHUNK, MANY = 1 << 15, 1 << 12
 #: Pieces that a partial matrix is sent in.
 SLICES = 16
 
+#: No word, and the column of each word.
+NONE = 1 << 16
+COLUMN = np.append(np.arange(NONE) & (TERMS - 1), TERMS)
+#: Directions that a passage is added to.
+SIGNS = 4
+
 _LOWER = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
 )
@@ -51,43 +57,48 @@ def lcs(item: list[int], words: list[int]) -> int:
     return len(item) - row.bit_count()
 
 
-def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Words of many texts end to end, CHUNK or so at a time, and where each text begins.
+def _laid(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts end to end, each filled up with NONE to whole passages; where they begin and end."""
+    lengths = np.array([len(t) for t in texts])
+    whole = -(-lengths // PASSAGE) * PASSAGE
+    first = np.cumsum(whole) - whole
+    ids = np.full(whole.sum(), NONE, np.int32)
+    for t, at in zip(texts, first.tolist(), strict=True):
+        ids[at : at + len(t)] = t
+    return ids, first, first + lengths
 
-    A longer text comes in several chunks, cut between passages.
-    """
-    held, first, size = [], [], 0
+
+def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Many texts laid out CHUNK words or so at a time, a longer one cut between passages."""
+    held, size = [], 0
     for batch in batches:
         for raw in batch["words"]:
             words = np.frombuffer(raw, np.uint16)
             for at in range(0, len(words), CHUNK):
                 part = words[at : at + CHUNK]
                 if size + len(part) > CHUNK and held:
-                    yield np.concatenate(held), np.array(first)
-                    held, first, size = [], [], 0
-                first.append(size)
+                    yield _laid(held)
+                    held, size = [], 0
                 held.append(part)
                 size += len(part)
     if held:
-        yield np.concatenate(held), np.array(first)
+        yield _laid(held)
 
 
-def _passages(size: int, first: np.ndarray) -> np.ndarray:
-    """Where each passage begins, none reaching over into another text."""
-    marks = np.zeros(size, bool)
-    for start, end in zip(first, [*first[1:], size], strict=True):
-        marks[start:end:PASSAGE] = True
-    return np.flatnonzero(marks)
+def _sums(table: np.ndarray, column: np.ndarray, wide: int) -> np.ndarray:
+    """Rows of the table for each column, added up over runs of ``wide`` (a power of two from 4)."""
+    total = np.take(table, column[0::4], axis=0, mode="clip")
+    for i in range(1, 4):
+        total += np.take(table, column[i::4], axis=0, mode="clip")
+    while wide > 4:
+        total, wide = total[0::2] + total[1::2], wide // 2
+    return total
 
 
-def _weighed(words: np.ndarray, first: np.ndarray, idf: np.ndarray):
-    """Columns, weights, and passage of each word; a passage's squared weights add up to one."""
-    begins = _passages(len(words), first)
-    column = (words & np.uint16(TERMS - 1)).astype(np.int64)
-    weight = idf[column]
-    length = np.sqrt(np.add.reduceat(weight * weight, begins))
-    passage = np.repeat(np.arange(len(begins)), np.diff([*begins, len(words)]))
-    return column, weight / np.maximum(length, 1e-9)[passage], passage, begins
+def _scale(idf: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """Of each passage, one over the root of its words' squared weights."""
+    squares = (idf[column] ** 2).reshape(-1, PASSAGE).sum(axis=1)
+    return 1 / np.sqrt(np.maximum(squares, 1e-9))
 
 
 def _summed(parts: DataFrame) -> np.ndarray:
@@ -120,50 +131,50 @@ def fit(words: DataFrame) -> Model:
     passages a term stands. The second draws a random sign per passage and direction and adds
     up the rows under each: an orthonormal basis of the sums nearly spans the leading row
     space. The third projects every passage onto it and sums the squares, whose decomposition
-    gives directions and singular values. Tasks send matrices of a fixed size.
+    gives directions and singular values. A passage has signs in SIGNS random directions and
+    zeros in the others. Tasks send matrices of a fixed size.
     """
     drawn = RANK + MORE
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(TERMS + 1)
-        for ids, first in _chunks(batches):
-            begins = _passages(len(ids), first)
-            passage = np.repeat(np.arange(len(begins)), np.diff([*begins, len(ids)]))
-            pairs = np.sort(passage * TERMS + (ids & np.uint16(TERMS - 1)))
+        for ids, _, _ in _chunks(batches):
+            passage = np.arange(len(ids)) // PASSAGE
+            pairs = np.sort((passage * TERMS + (ids & (TERMS - 1)))[ids != NONE])
             pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])[: len(pairs)]]
             total[:TERMS] += np.bincount(pairs % TERMS, minlength=TERMS)
-            total[TERMS] += len(begins)
+            total[TERMS] += len(ids) // PASSAGE
         yield _sliced(total)
 
     counted = _summed(words.mapInPandas(count, "slice int, part binary"))
     if not len(counted) or not counted[TERMS]:
-        return Model(np.zeros(TERMS, np.float32), np.zeros((TERMS, RANK), np.float32))
+        return Model(np.zeros(TERMS + 1, np.float32), np.zeros((TERMS + 1, RANK), np.float32))
     idf = np.log((counted[TERMS] + 1) / (counted[:TERMS] + 1)).astype(np.float32) + np.float32(0.05)
+    idf = np.append(idf, np.float32(0))  # of no word
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((TERMS, drawn))
-        for ids, first in _chunks(batches):
-            column, weight, passage, begins = _weighed(ids, first, idf)
+        total = np.zeros((TERMS + 1, drawn))
+        for ids, _, _ in _chunks(batches):
+            column = COLUMN[ids]
+            weight = idf[column] * np.repeat(_scale(idf, column), PASSAGE)
             # Seeded by the words, so that a repeated task draws the same signs.
             rng = np.random.default_rng(zlib.crc32(ids.tobytes()))
-            signs = rng.integers(0, 2, (len(begins), drawn), dtype=np.int8).astype(np.float32) * 2 - 1
-            order = np.argsort(column.astype(np.uint16), kind="stable")
-            rows = signs[passage[order]] * weight[order, None]
-            starts = np.flatnonzero(np.concatenate([[True], np.diff(column[order]) != 0]))
-            total[column[order][starts]] += np.add.reduceat(rows, starts, axis=0)
+            for _ in range(SIGNS):
+                direction = np.repeat(rng.integers(0, drawn, len(ids) // PASSAGE), PASSAGE)
+                sign = np.repeat(rng.integers(0, 2, len(ids) // PASSAGE) * 2 - 1, PASSAGE)
+                np.add.at(total.reshape(-1), column * drawn + direction, weight * sign)
+        total = total[:TERMS]
         yield _sliced(total)
 
     sums = _summed(words.mapInPandas(sketch, "slice int, part binary")).reshape(TERMS, drawn)
     basis, _ = np.linalg.qr(sums)
-    weighed = (basis * idf[:, None]).astype(np.float32)
+    weighed = (np.append(basis, np.zeros((1, drawn)), axis=0) * idf[:, None]).astype(np.float32)
 
     def squares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((drawn, drawn))
-        for ids, first in _chunks(batches):
-            _, weight, _, begins = _weighed(ids, first, idf)
-            column = ids & np.uint16(TERMS - 1)
-            length = weight / np.maximum(idf[column], 1e-9)  # one over the passage's length
-            rows = np.add.reduceat(weighed[column], begins, axis=0) * length[begins, None]
+        for ids, _, _ in _chunks(batches):
+            column = COLUMN[ids]
+            rows = _sums(weighed, column, PASSAGE) * _scale(idf, column)[:, None]
             total += rows.T @ rows
         yield _sliced(total)
 
@@ -201,18 +212,6 @@ def _probes(items: list[np.ndarray]) -> dict[int, list[Probe]]:
     return found
 
 
-def _window_starts(first: np.ndarray, size: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of all windows and the text each is in; a text's last window ends with it."""
-    starts, texts = [], []
-    for i, (low, high) in enumerate(zip(first.tolist(), [*first[1:].tolist(), size], strict=True)):
-        own = np.arange(low, max(low, high - wide) + 1, wide // 4)
-        if own[-1] + wide < high:
-            own = np.append(own, high - wide)
-        starts.append(own)
-        texts.append(np.full(len(own), i))
-    return np.concatenate(starts), np.concatenate(texts)
-
-
 def contaminated(
     df: DataFrame,
     items: DataFrame,
@@ -261,36 +260,57 @@ def contaminated(
     for wide, some in probes.items():
         made = np.array([model.fold[p.words & np.uint16(TERMS - 1)].sum(axis=0) for p in some]).reshape(-1, RANK)
         embedded[wide] = (made / np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-9)).astype(np.float32)
-    #: Whether a word (or none, the last column) is in a probe.
-    member = {}
+    # Words of any item by number, 0 for all others. Per probe: the place of each among its
+    # different words (the last: not in it), and how often it has it.
+    vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint16), *item_words]))
+    numbered = np.zeros(NONE + 1, np.int16 if len(vocabulary) < 1 << 15 else np.int32)
+    numbered[vocabulary] = np.arange(1, len(vocabulary) + 1)
+    most = max([len(w) for w in item_words], default=0) + 1
+    places, times = {}, {}
     for wide, some in probes.items():
-        member[wide] = np.zeros((len(some), (1 << 16) + 1), bool)
+        places[wide] = np.full((len(some), len(vocabulary) + 1), most - 1, np.int16)
+        times[wide] = np.zeros((len(some), most), np.int16)
         for i, p in enumerate(some):
-            member[wide][i, p.words] = True
-
-    def look_up(ids: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], tuple[float, float, float]]:
-        """(text, item) to overlap, overlap of the answer, and cosine."""
-        sums = np.zeros((len(ids) + 1, RANK))
-        np.cumsum(model.fold[ids & np.uint16(TERMS - 1)], axis=0, dtype=np.float64, out=sums[1:])
-        ends = np.append(first[1:], len(ids))
-        padded = np.append(ids.astype(np.int32), 1 << 16)
-        out: dict[tuple[int, int], tuple[float, float, float]] = {}
+            own, count = np.unique(p.words, return_counts=True)
+            places[wide][i, numbered[own]] = np.arange(len(own))
+            times[wide][i, : len(own)] = count
+    sizes = {wide: np.array([len(p.words) for p in some]) for wide, some in probes.items()}
+
+    def candidates(ids: np.ndarray, first: np.ndarray) -> Iterator[tuple]:
+        """Per length of windows: start, text, probe and cosine of those that may match.
+
+        Windows begin every quarter of their length and may reach over into the next text;
+        only words of the text they begin in count later on.
+        """
+        column = COLUMN[np.append(ids, np.full(WINDOWS[-1], NONE))]
         for wide, some in probes.items():
             if not some:
                 continue
-            starts, texts = _window_starts(first, len(ids), wide)
-            window = (sums[np.minimum(starts + wide, ends[texts])] - sums[starts]).astype(np.float32)
-            window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-9)
+            quarters = _sums(model.fold, column, wide // 4)
+            window = quarters[:-3] + quarters[1:-2] + quarters[2:-1] + quarters[3:]
+            length = np.sqrt(np.einsum("ij,ij->i", window, window))
             near = window @ embedded[wide].T
-            w, p = np.nonzero(near >= cosine)
-            if not len(w):
-                continue
-            # No more words can be common than words around the window that are in the probe.
-            around = starts[w][:, None] - wide // 2 + np.arange(2 * wide)[None, :]
-            inside = (around >= first[texts[w]][:, None]) & (around < ends[texts[w]][:, None])
-            common = member[wide][p[:, None], padded[np.where(inside, around, -1)]].sum(axis=1)
-            may = common >= least * np.array([len(x.words) for x in some])[p]
-            for s, t, probe, c in zip(starts[w[may]], texts[w[may]], p[may], near[w[may], p[may]], strict=True):
+            found = np.flatnonzero(near >= np.where(length > 0, cosine * length, np.inf)[:, None].astype(np.float32))
+            # The words from half a window before each place on, twice as many as a window has.
+            filled = np.concatenate([np.zeros(wide // 2, numbered.dtype), numbered[ids], np.zeros(2 * wide, numbered.dtype)])
+            around = np.lib.stride_tricks.sliding_window_view(filled, 2 * wide)
+            for low in range(0, len(found), MANY):
+                w, p = np.divmod(found[low : low + MANY], len(some))
+                start = w * (wide // 4)
+                # No more can be in common than words that both have, as often as both do.
+                place = places[wide][p[:, None], around[start]] + (np.arange(len(p), dtype=np.int32) * most)[:, None]
+                has = np.bincount(place.ravel(), minlength=len(p) * most).reshape(-1, most)
+                may = np.minimum(has, times[wide][p]).sum(axis=1) >= least * sizes[wide][p]
+                start = start[may]
+                text = np.searchsorted(first, start, side="right") - 1
+                yield wide, start, text, p[may], near.ravel()[found[low : low + MANY]][may] / length[w[may]]
+
+    def look_up(ids: np.ndarray, first: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], tuple[float, float, float]]:
+        """(text, item) to overlap, overlap of the answer, and cosine."""
+        out: dict[tuple[int, int], tuple[float, float, float]] = {}
+        for wide, starts, texts, found_probes, near in candidates(ids, first):
+            some = probes[wide]
+            for s, t, probe, c in zip(starts.tolist(), texts.tolist(), found_probes.tolist(), near.tolist(), strict=True):
                 number, offset = some[probe].item, some[probe].offset
                 before = out.get((t, number), (0.0, 0.0, 0.0))
                 if before[0] == 1.0:
@@ -312,25 +332,26 @@ def contaminated(
         overlap = 4 * WINDOWS[-1] + max([len(w) for w in item_words], default=0)
         for batch in batches:
             best: dict[tuple[int, int], tuple[float, float, float]] = {}
-            held, rows, size = [], [], 0
+            held, numbers, size = [], [], 0
 
-            def flush(held: list, rows: list, best: dict) -> None:
+            def flush(held: list, numbers: list, best: dict) -> None:
                 if held:
-                    first = np.concatenate([[0], np.cumsum([len(h) for h in held])[:-1]])
-                    for (t, number), value in look_up(np.concatenate(held), first).items():
-                        best[rows[t], number] = max(best.get((rows[t], number), value), value)
+                    for (t, number), value in look_up(*_laid(held)).items():
+                        at = numbers[t], number
+                        best[at] = max(best.get(at, value), value)
 
             for i, raw in enumerate(batch["words"]):
-                ids = np.frombuffer(raw, np.uint16)
-                for at in range(0, len(ids), CHUNK):
-                    part = ids[at : at + CHUNK + overlap]
+                words = np.frombuffer(raw, np.uint16)
+                # Parts of a long text overlap, so that no item is cut.
+                for at in range(0, len(words), CHUNK):
+                    part = words[at : at + CHUNK + overlap]
                     if size + len(part) > CHUNK:
-                        flush(held, rows, best)
-                        held, rows, size = [], [], 0
+                        flush(held, numbers, best)
+                        held, numbers, size = [], [], 0
                     held.append(part)
-                    rows.append(i)
+                    numbers.append(i)
                     size += len(part)
-            flush(held, rows, best)
+            flush(held, numbers, best)
             hits = sorted(best)
             out = batch[keys].iloc[[i for i, _ in hits]].reset_index(drop=True)
             out["item"] = pd.Series([names[n] for _, n in hits], dtype=object)
