@@ -125,8 +125,8 @@ def test_settings_from_environment(monkeypatch):
 
 def test_run_ids_are_safe_in_paths():
     s = Settings(input_dir="/in", root="/lake", run_id="manual__2025-01-01T00:00:00+00:00")
-    assert s.run_id == "manual__2025-01-01T00_00_00_00_00"
-    assert Settings(input_dir="/in", root="/lake").run_id != ""
+    assert s.run_key == "manual__2025-01-01T00~3a~00~3a~00~2b~00~3a~00"
+    assert Settings(input_dir="/in", root="/lake").run_key != ""
 
 
 def test_layer_names_are_used_verbatim():
