@@ -1,6 +1,7 @@
 """Run the layers once: ``spark-submit`` or ``python -m minutefold --input-dir … --root …``.
 
-Other settings come from ``MINUTEFOLD_<FIELD>`` in the environment.
+Other settings come from ``MINUTEFOLD_<FIELD>`` in the environment, an object store's endpoint and
+keys from ``MINUTEFOLD_S3_ENDPOINT``, ``MINUTEFOLD_S3_ACCESS_KEY`` and ``MINUTEFOLD_S3_SECRET_KEY``.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from .config import Settings
+from .config import Settings, object_store_from_env
 from .plans.run import run
 
 
@@ -23,7 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     given = {k: v for k, v in vars(parser.parse_args(argv)).items() if v is not None}
 
     logging.basicConfig(level=logging.INFO)
-    spark = SparkSession.builder.appName("minutefold").getOrCreate()
+    spark = SparkSession.builder.appName("minutefold").config(map=object_store_from_env()).getOrCreate()
     result = run(spark, Settings.from_env(**given))
     print(json.dumps(result, default=str))
 

@@ -45,6 +45,14 @@ def object_store_settings(
     }
 
 
+def object_store_from_env() -> dict[str, str]:
+    """The same from ``MINUTEFOLD_S3_ENDPOINT``, ``_ACCESS_KEY`` and ``_SECRET_KEY``; none without an endpoint."""
+    endpoint, access, secret = (
+        os.environ.get(f"MINUTEFOLD_S3_{name}", "") for name in ("ENDPOINT", "ACCESS_KEY", "SECRET_KEY")
+    )
+    return object_store_settings(endpoint, access, secret) if endpoint else {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees, as the cluster names it.
 
@@ -83,6 +91,7 @@ class Settings:
     severity: str = "warn"
     keep_raw: bool = False
     bridge_buckets: int = 64
+    resample_partitions: int = 0
     per_key_mark: bool = False
     check_whole_fact: bool = True
     layer_names: dict[str, str] = field(default_factory=lambda: {n: n for n in LAYERS})

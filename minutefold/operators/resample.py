@@ -19,6 +19,8 @@ HERE = "__here"
 # Bins per chunk: the bound on the rows sorted together and on the rows that one
 # row unfolds into.
 CHUNK_BINS = 1024
+# Bins, filled ones included, that one task of a dense result makes.
+TASK_BINS = 500_000
 
 
 def resample_mean(
@@ -43,7 +45,8 @@ def resample_mean(
 
     A dense result needs each key's span next to its bins, which scans the input a
     second time for the key and time columns alone. Where bins are far fewer than
-    rows, pass ``work_path``: the bins are written there once and read from there.
+    rows, pass ``work_path``: the bins are written there once and read from there, and
+    the number of partitions follows from the sum of the spans unless it is given.
     """
     step = step_micros(every)
     kind = df.schema[ts].dataType
@@ -57,10 +60,18 @@ def resample_mean(
         if work_path:
             bins.write.mode("overwrite").parquet(work_path)
             bins = df.sparkSession.read.schema(bins.schema).parquet(work_path)
+            partitions = partitions or tasks_for(bins, keys, BIN)
         bins = fill_bins(bins, keys, BIN, partitions)
     return bins.select(*keys, bin_start(F.col(BIN), step, kind).alias(ts), *measures)
 
 
+def tasks_for(bins: DataFrame, keys: list[str], index: str) -> int:
+    """Tasks that a dense result takes, by the number of its bins."""
+    span = (F.max(index) - F.min(index) + 1).alias("span")
+    total = bins.groupBy(*keys).agg(span).agg(F.sum("span")).first()[0] or 0
+    return -(-total // TASK_BINS) or 1
+
+
 def fill_bins(
     bins: DataFrame, keys: list[str], index: str, partitions: int | None = None
 ) -> DataFrame:

@@ -351,3 +351,11 @@ def test_different_run_ids_stay_different():
 
     keys = {Settings("i", "r", run_id=i).run_key for i in ("a:b", "a+b", "a_b", "a~b", "a~3a~b", "é", "a.b-1")}
     assert len(keys) == 7 and "a_b" in keys and "a.b-1" in keys
+
+
+def test_partitions_follow_the_spans(spark):
+    from minutefold.operators.resample import TASK_BINS, tasks_for
+
+    bins = spark.createDataFrame([("a", 0), ("a", 3 * TASK_BINS), ("b", 7)], "k string, i long")
+    assert tasks_for(bins, ["k"], "i") == 4
+    assert tasks_for(bins.limit(0), ["k"], "i") == 1

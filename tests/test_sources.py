@@ -146,3 +146,15 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert shared_folder(spark) == named
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(named)
+
+
+def test_object_store_from_the_environment(monkeypatch):
+    from minutefold.config import object_store_from_env
+
+    monkeypatch.delenv("MINUTEFOLD_S3_ENDPOINT", raising=False)
+    assert object_store_from_env() == {}
+    for name in ("ENDPOINT", "ACCESS_KEY", "SECRET_KEY"):
+        monkeypatch.setenv(f"MINUTEFOLD_S3_{name}", name.lower())
+    found = object_store_from_env()
+    assert found["spark.hadoop.fs.s3a.endpoint"] == "endpoint"
+    assert found["spark.hadoop.fs.s3a.secret.key"] == "secret_key"
