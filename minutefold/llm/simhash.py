@@ -18,7 +18,7 @@ BITS = 64
 #: Shingles hashed at a time; bounds the memory that a long text takes.
 BLOCK = 1 << 16
 #: Fingerprints whose variants are made at a time, and variants that one bucket holds.
-SLICE, BUCKET = 1024, 2_000_000
+SLICE, BUCKET = 512, 1_000_000
 
 
 def fingerprint(text: str | None, shingle: int, seed: int = 42) -> int:
@@ -155,6 +155,7 @@ def near_duplicates(
     )
     smallest = scratch.land(rows.groupBy("fp").agg(F.min("key0").alias("least")), "simhash-fps")
     star = components.stars(links(smallest.select("fp"), radius, scratch), scratch)
+    scratch.release("simhash-links")
     rooted = smallest.join(star, smallest["fp"] == star["a"], "left").select(
         "fp", "least", F.coalesce("b", "fp").alias("root")
     )
