@@ -115,7 +115,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch()
     docs = queries.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
+        opened = len(Scratch.opened)
         docs = scratch.land(stage(spark, docs, sf_dir), f"stage-{name}")
+        Scratch.drop_opened(opened)  # what the stage landed on its way
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

@@ -49,6 +49,7 @@ def stars(edges: DataFrame, scratch: Scratch) -> DataFrame:
     while True:
         edges = scratch.land(_small_star(_large_star(edges)), "stars")
         found = _state(edges)
+        scratch.release("stars", keep=1)
         if found == known:
             return edges
         known = found

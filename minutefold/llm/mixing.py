@@ -113,6 +113,7 @@ def thresholds(sized: DataFrame, budgets: DataFrame, scratch: Scratch) -> DataFr
             ),
             "mix-bounds",
         )
+        scratch.release("mix-bounds", keep=1)
         if upto >= HASH_DIGITS or state.filter("open").isEmpty():
             break
         state = state.drop("bytes", "open")

@@ -510,6 +510,9 @@ def remove_repeats(
         "repeats-result",
     )
 
+    scratch.release("repeats-settled")
+    scratch.release("repeats-ranges")
+
     # Of rows with one text, the earliest has the result and the others lose every byte.
     least_key = rows.groupBy(F.col("h").alias("h1")).agg(F.min("d").alias("d1"))
     each = (

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Iterator
 from contextlib import contextmanager
+from typing import ClassVar
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,24 +44,49 @@ class Scratch:
 
     ``land`` writes a frame and reads it back, which cuts its lineage and makes values that
     depend on the layout of a run (partition numbers) the same for every later reader.
-    ``drop`` removes the tables once nothing reads them any more.
+    ``release`` and ``drop`` remove tables that nothing reads any more. What a lazy result
+    still reads is removed when the program ends, if its session is alive then.
     """
 
+    #: Every one that was opened, so that a caller can drop what a function has landed.
+    opened: ClassVar[list[Scratch]] = []
+
     def __init__(self):
-        self._paths: list[tuple] = []
+        self._tables: list[tuple[SparkSession, str, str]] = []
+        Scratch.opened.append(self)
 
     def land(self, df: DataFrame, label: str) -> DataFrame:
         spark = df.sparkSession
         path = scratch_path(spark, label)
-        self._paths.append((spark, path))
+        self._tables.append((spark, path, label))
         with small_batches(spark):
             df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
+    def release(self, label: str, keep: int = 0) -> None:
+        """Remove the tables of one label but the last ``keep``."""
+        own = [t for t in self._tables if t[2] == label]
+        for table in own[: len(own) - keep]:
+            Folder(table[0], table[1]).drop()
+            self._tables.remove(table)
+
     def drop(self) -> None:
-        for spark, path in self._paths:
+        for spark, path, _ in self._tables:
             Folder(spark, path).drop()
-        self._paths.clear()
+        self._tables.clear()
+
+    @classmethod
+    def drop_opened(cls, since: int = 0) -> None:
+        """Drop everything of those opened after the first ``since``."""
+        for scratch in cls.opened[since:]:
+            scratch.drop()
+        del cls.opened[since:]
+
+
+@atexit.register
+def _at_exit() -> None:
+    if SparkContext._active_spark_context is not None:
+        Scratch.drop_opened()
 
 
 def ascii_lower(text: Column) -> Column:
