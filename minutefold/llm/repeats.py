@@ -514,7 +514,10 @@ def remove_repeats(
     scratch.release("repeats-ranges")
 
     # Of rows with one text, the earliest has the result and the others lose every byte.
-    least_key = rows.groupBy(F.col("h").alias("h1")).agg(F.min("d").alias("d1"))
+    # Landed, so that the join shuffles it and Spark can split a text that many rows have.
+    least_key = scratch.land(
+        rows.groupBy(F.col("h").alias("h1")).agg(F.min("d").alias("d1")), "repeats-firsts"
+    )
     each = (
         rows.join(least_key, F.col("h") == F.col("h1"))
         .withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
