@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -100,24 +101,30 @@ def fit(labelled: DataFrame, key: str, text: str, label: str) -> TextModel:
     return TextModel(languages or ["und"], counts)
 
 
-def _normal(logs: Column) -> Column:
-    """Logarithms as probabilities that add up to one."""
-    raised = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-    total = F.aggregate(raised, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(raised, lambda x: x / total)
+def _with_normal(df: DataFrame, logs: Column, name: str, size: int) -> DataFrame:
+    """The frame with logarithms as probabilities that add up to one.
+
+    Step by step and by element, so that each step is computed once and by compiled code.
+    """
+    raised = [F.exp(F.col("__logs")[i] - F.col("__most")) for i in range(size)]
+    shares = [F.col("__raised")[i] / F.col("__total") for i in range(size)]
+    return (
+        df.withColumn("__logs", logs)
+        .withColumn("__most", F.array_max("__logs"))
+        .withColumn("__raised", F.array(*raised))
+        .withColumn("__total", reduce(Column.__add__, [F.col("__raised")[i] for i in range(size)]))
+        .withColumn(name, F.array(*shares))
+        .drop("__logs", "__most", "__raised", "__total")
+    )
 
 
 def _sums(of: str, size: int, as_: str) -> Column:
     return F.array(*[F.sum(F.col(of)[i]) for i in range(size)]).alias(as_)
 
 
-def _total(x: Column) -> Column:
-    return F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
-
-
-def _smoothed(counts: Column, towards: Column) -> Column:
-    whole = _total(counts) + SMOOTHING
-    return F.zip_with(counts, towards, lambda n, p: (n + SMOOTHING * p) / whole)
+def _smoothed(counts: list[Column], towards: list[Column]) -> list[Column]:
+    whole = reduce(Column.__add__, counts) + SMOOTHING
+    return [(n + SMOOTHING * p) / whole for n, p in zip(counts, towards, strict=True)]
 
 
 def identify(
@@ -148,51 +155,51 @@ def identify(
         return pd.Series([model.score(t.encode()).tolist() for t in texts])
 
     blank = F.lit("")
-    scored = scratch.land(
-        df.select(
-            *[F.col(f"`{c}`").alias(f"key{i}") for i, c in enumerate(key)],
-            F.coalesce(F.lower(declared), blank).alias("declared"),
-            F.coalesce(host, blank).alias("host"),
-            likelihoods(F.coalesce(text, blank)).alias("logs"),
-        )
-        .withColumn("domain", F.substring_index("host", ".", -2))
-        .withColumn("suffix", F.substring_index("host", ".", -1))
-        .withColumn("own", _normal(F.col("logs"))),
-        "langid-scored",
+    texts = df.select(
+        *[F.col(f"`{c}`").alias(f"key{i}") for i, c in enumerate(key)],
+        F.coalesce(F.lower(declared), blank).alias("declared"),
+        F.coalesce(host, blank).alias("host"),
+        likelihoods(F.coalesce(text, blank)).alias("logs"),
+    )
+    parted = texts.withColumn("domain", F.substring_index("host", ".", -2)).withColumn(
+        "suffix", F.substring_index("host", ".", -1)
     )
+    scored = scratch.land(_with_normal(parted, F.col("logs"), "own", size), "langid-scored")
     sums = scored.agg(*[F.coalesce(F.sum(F.col("own")[i]), F.lit(0.0)) for i in range(size)]).first()
     overall = [(n + SMOOTHING / size) / (sum(sums) + SMOOTHING) for n in sums]
-    prior = F.array(*[F.lit(p) for p in overall])
+    prior = [F.lit(p) for p in overall]
+
+    def elements(name: str) -> list[Column]:
+        return [F.col(name)[i] for i in range(size)]
 
     def given(column: str) -> DataFrame:
         """Per value, its logarithmic probability in each language."""
         values = scored.groupBy(F.col(column).alias(f"{column}1")).agg(_sums("own", size, "n"))
         count = scored.agg(F.approx_count_distinct(column)).first()[0]
-        whole = F.array(*[F.lit(n + count + 1.0) for n in sums])
-        return values.select(f"{column}1", F.zip_with("n", whole, lambda n, w: F.log((n + 1.0) / w)).alias(f"{column}_logs"))
+        logs = [F.log((n + 1.0) / (whole + count + 1.0)) for n, whole in zip(elements("n"), sums, strict=True)]
+        return values.select(f"{column}1", F.array(*logs).alias(f"{column}_logs"))
 
     hosts = scored.groupBy(F.col("host").alias("host1"), F.col("domain").alias("domain0")).agg(_sums("own", size, "n"))
     domains = hosts.groupBy(F.col("domain0").alias("domain1")).agg(_sums("n", size, "domain_n"))
     hosts = hosts.join(domains, F.col("domain0") == F.col("domain1")).select(
-        "host1", "n", _smoothed(F.col("domain_n"), prior).alias("towards")
+        "host1", "n", F.array(*_smoothed(elements("domain_n"), prior)).alias("towards")
     )
-    others = F.zip_with("n", "own", lambda n, o: F.greatest(n - o, F.lit(0.0)))
+    others = [F.greatest(n - own, F.lit(0.0)) for n, own in zip(elements("n"), elements("own"), strict=True)]
     fused = (
         scored.join(hosts, F.col("host") == F.col("host1"))
         .join(given("declared"), F.col("declared") == F.col("declared1"))
         .join(given("suffix"), F.col("suffix") == F.col("suffix1"))
-        .withColumn("host_prior", _smoothed(others, F.col("towards")))
-    )
-    added = F.transform(
-        F.arrays_zip("logs", "declared_logs", "suffix_logs", "host_prior"),
-        lambda x: x["logs"] + x["declared_logs"] + x["suffix_logs"] + F.log(x["host_prior"]),
+        .withColumn("others", F.array(*others))
+        .withColumn("host_prior", F.array(*_smoothed(elements("others"), elements("towards"))))
     )
+    parts = [elements(c) for c in ("logs", "declared_logs", "suffix_logs", "host_prior")]
+    added = [a + b + c + F.log(d) for a, b, c, d in zip(*parts, strict=True)]
     labels = F.array(*[F.lit(n) for n in names])
 
     def best(p: Column) -> Column:
         return F.element_at(labels, F.array_position(p, F.array_max(p)).cast("int"))
 
-    judged = fused.withColumn("p", _normal(added))
+    judged = _with_normal(fused, F.array(*added), "p", size)
     top = F.array_max("p")
     known = F.size(F.filter("logs", lambda x: x != 0)) > 0
     return judged.select(
