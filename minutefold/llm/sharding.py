@@ -51,6 +51,7 @@ def shard(
 
     # One row per partition: the bytes and rows before it.
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before_last = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -2)
     parts = placed.groupBy("__part").agg(
         F.sum("size").alias("part_bytes"), F.count("*").alias("part_rows")
     )
@@ -60,6 +61,7 @@ def shard(
             "part_bytes",
             F.coalesce(F.sum("part_bytes").over(before), F.lit(0)).alias("bytes_before"),
             F.coalesce(F.sum("part_rows").over(before), F.lit(0)).alias("rows_before"),
+            F.coalesce(F.sum("part_bytes").over(before_last), F.lit(0)).alias("bytes_before_last"),
         ),
         "shard-offsets",
     )
@@ -69,14 +71,16 @@ def shard(
         return F.expr(f"least({shards - 1}L, ({at} * {shards}L) div {max(total, 1)}L)")
 
     # Rows in front of which a cut falls: only partitions that begin in another shard than
-    # they end in have any.
+    # they end in have any, and those that begin in another than the one before them: the cut
+    # may lie inside the last row of that one.
     cut_parts = offsets.filter(
-        share("bytes_before") != share("(bytes_before + part_bytes)")
+        (share("bytes_before") != share("(bytes_before + part_bytes)"))
+        | (share("bytes_before") != share("bytes_before_last"))
     ).select("__part", "bytes_before", "rows_before")
     running = Window.partitionBy("__part").orderBy("__at")
     firsts = (
         placed.select("__part", "__at", "size")
-        .join(F.broadcast(cut_parts), "__part")  # at most one row per shard
+        .join(F.broadcast(cut_parts), "__part")  # at most two rows per shard
         .select(
             "__at",
             (F.col("rows_before") + F.row_number().over(running) - 1).alias("row"),
@@ -88,8 +92,9 @@ def shard(
         .orderBy("at")
         .collect()  # one row per shard
     )
-    # Partitions without a cut lie wholly in the shard that began last before them.
-    cuts = [(0, 0, 0)] + [(f["shard"], f["at"], f["row"]) for f in firsts if f["row"] > 0]
+    # Partitions without a cut lie wholly in the shard that began last before them. The first
+    # shard begins with the first row, whose partition need not be among those looked at.
+    cuts = [(0, 0, 0)] + [(f["shard"], f["at"], f["row"]) for f in firsts if f["shard"] > 0]
     shard_no = first_row = F.lit(0).cast("long")
     for number, at, row in cuts:
         here = F.col("__at") >= F.lit(at)

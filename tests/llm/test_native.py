@@ -142,6 +142,21 @@ def test_shards_cut_at_equal_prefix_sums(spark, folder, texts):
         assert got == sorted(want)
 
 
+@pytest.mark.parametrize("sizes", [[9] * 60, [1 + i * 37 % 90 for i in range(300)], [5] * 200 + [4000] + [5] * 200 + [900]])
+def test_cuts_inside_the_last_row_of_a_partition(spark, sizes):
+    held = {"spark.sql.shuffle.partitions": "100", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    df = spark.createDataFrame(list(enumerate(sizes)), "id long, n long")
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = sharding.shard(df, Scratch(), F.col("n"), ["id"], 24).select("id", "n", F.lit(0), "shard", "slot").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, found)) == by_prefix_sums([(i, n, 0) for i, n in enumerate(sizes)], 24)
+
+
 def test_shard_replaces_clashing_columns(spark):
     df = spark.createDataFrame([(1, "a", 9, 9), (2, "b", 9, 9)], "id long, text string, Shard int, `slot` int")
     out = sharding.shard(df, Scratch(), sharding.doc_bytes(df["text"]), ["id"], 2)
