@@ -96,6 +96,24 @@ def test_pii_added_kinds_need_their_checksum(spark):
     assert spans == {1: [("iban", 5, 32)], 2: [], 3: [("iban", 0, 22)], 4: [("ssn", 4, 15)], 5: []}
 
 
+def test_account_codes_end_at_their_length(spark):
+    texts = {
+        "AT611904300234573201 Wien": (0, 20),
+        "ES91 2100 0418 4502 0005 1332 BIC CAIX": (0, 29),
+        "BE68 5390 0754 7034 2024 ": (0, 19),
+        "bank BE68 5390 0754 7034 AT611904300234573201": (5, 24),
+        "NO93 8601 1117 947 MT84MALT011000012345MTLCAST001S": (0, 18),
+        "LC55 HEMM 0001 0001 0012 0012 0002 3015 NEXT": (0, 39),
+        "ES91 2100 0418 4502 0005 1333 BIC": None,
+        "ES91 2100 0418 4502 0005 1332BIC": None,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = {r.text: [(s.s, s.e) for s in r.spans if s.kind == "iban"] for r in pii.find_pii(df, ["text"]).collect()}
+    assert {t: s[0] if s else None for t, s in found.items()} == texts
+    assert len(found["bank BE68 5390 0754 7034 AT611904300234573201"]) == 2
+    assert len(found["NO93 8601 1117 947 MT84MALT011000012345MTLCAST001S"]) == 2
+
+
 def test_context_words_raise_the_score(spark):
     df = spark.createDataFrame([("call +49 30 1234567",), ("x +49 30 1234567",)], "text string")
     scores = [r.spans[0].score for r in pii.find_pii(df, ["text"]).collect()]
