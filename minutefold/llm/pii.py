@@ -7,6 +7,7 @@ matches are taken by ``regexp_extract_all``; the lengths of both, added up, are
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 CHUNK = 256
 #: Code points looked at before and after a span.
 BEFORE, AFTER = 48, 24
+#: Code points of the blocks that surroundings are taken from; no fewer than BEFORE.
+BLOCK = 128
 
 
 def _digits(x: Column) -> Column:
@@ -172,21 +175,16 @@ ADDED = (
     ),
 )
 
-_SPAN = "array<struct<s:int,e:int,m:string,near:string>>"
+_SPAN = "array<struct<s:int,e:int,m:string>>"
 
 
 def _spans(matches: Column, pieces: Column) -> Column:
-    """Start, end (exclusive), match and surroundings of each match, in code points."""
+    """Start, end (exclusive) and match of each match, in code points."""
 
     def one(i: Column) -> Column:
         # pieces has one entry more than matches
-        before, match, after = F.get(pieces, i), F.get(matches, i), F.get(pieces, i + 1)
-        return F.struct(
-            F.length(before).alias("gap"),
-            F.length(match).alias("len"),
-            match.alias("m"),
-            F.concat(F.right(before, F.lit(BEFORE)), F.lit(" "), F.left(after, F.lit(AFTER))).alias("near"),
-        )
+        before, match = F.get(pieces, i), F.get(matches, i)
+        return F.struct(F.length(before).alias("gap"), F.length(match).alias("len"), match.alias("m"))
 
     def chunk(c: Column) -> Column:
         numbers = F.sequence(c * CHUNK, F.least((c + 1) * CHUNK, F.size(matches)) - 1)
@@ -201,7 +199,6 @@ def _spans(matches: Column, pieces: Column) -> Column:
                         (acc["at"] + x["gap"]).alias("s"),
                         (acc["at"] + x["gap"] + x["len"]).alias("e"),
                         x["m"].alias("m"),
-                        x["near"].alias("near"),
                     ),
                 ).alias("out"),
             ),
@@ -211,7 +208,7 @@ def _spans(matches: Column, pieces: Column) -> Column:
         shifted = F.transform(
             part["out"],
             lambda x: F.struct(
-                (x["s"] + acc["at"]).alias("s"), (x["e"] + acc["at"]).alias("e"), x["m"].alias("m"), x["near"].alias("near")
+                (x["s"] + acc["at"]).alias("s"), (x["e"] + acc["at"]).alias("e"), x["m"].alias("m")
             ),
         )
         return F.struct((acc["at"] + part["at"]).alias("at"), F.concat(acc["out"], shifted).alias("out"))
@@ -225,6 +222,18 @@ def _spans(matches: Column, pieces: Column) -> Column:
     )
 
 
+def _near(s: Column, e: Column) -> Column:
+    """Surroundings of a span, from the blocks they lie in: a text is not walked for each span."""
+
+    def part(low: Column, length: Column) -> Column:
+        block = F.floor(low / BLOCK).cast("int")
+        two = F.concat(F.coalesce(F.get("blocks", block), F.lit("")), F.coalesce(F.get("blocks", block + 1), F.lit("")))
+        return F.substring(two, low - block * BLOCK + 1, length)
+
+    low = F.greatest(s - BEFORE, F.lit(0))
+    return F.concat(part(low, s - low), F.lit(" "), part(e, F.lit(AFTER)))
+
+
 def _judged(kind: Kind, number: int) -> Column:
     """The spans of one kind that pass its check and reach its least score."""
     spans = F.when(
@@ -234,7 +243,7 @@ def _judged(kind: Kind, number: int) -> Column:
         spans = F.filter(spans, lambda x: kind.valid(x["m"]))
 
     def scored(x: Column) -> Column:
-        backed = F.regexp_like(x["near"], F.lit(rf"(?i)\b(?:{kind.words})\b"))
+        backed = F.regexp_like(_near(x["s"], x["e"]), F.lit(rf"(?i)\b(?:{kind.words})\b"))
         return F.struct(
             F.lit(kind.name).alias("kind"),
             F.lit(number).alias("place"),
@@ -270,6 +279,9 @@ def find_pii(
     for number, kind in enumerate(kinds):
         some = F.size(f"m{number}") > 0
         rows = rows.withColumn(f"p{number}", F.when(some, F.split("text", kind.pattern, -1)).otherwise(none))
+    any_match = reduce(Column.__or__, [F.size(f"m{number}") > 0 for number in range(len(kinds))], F.lit(False))
+    cut = F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    rows = rows.withColumn("blocks", F.when(any_match, cut).otherwise(none))
     found = [_judged(kind, number) for number, kind in enumerate(kinds)]
     every = F.array_sort(
         F.concat(*found),
