@@ -223,6 +223,7 @@ def contaminated(
     cosine: float = 0.5,
     least: float = 0.7,
     answer: float = 0.6,
+    sure: float = 0.9,
 ) -> DataFrame:
     """``key``, ``item``, ``overlap``, ``answer_overlap`` and ``cosine``, a row per text and item in it.
 
@@ -230,7 +231,8 @@ def contaminated(
     its length; windows with a cosine of at least ``cosine`` are candidates. A candidate is
     contaminated if the longest common subsequence of the item's words and the text around
     the window has at least ``least`` of the item, and that of the item's answer - its last
-    sentence, or its last five words if it has one sentence - at least ``answer`` of the answer.
+    sentences, as many as have five words, or its last five words if it has one sentence - at
+    least ``answer`` of the answer. At least ``sure`` of the item needs no answer.
 
     ``items`` is the benchmark, of a size that fits a task. A null or wordless text or item
     matches nothing. Repeated rows give repeated results, as do items of equal texts; an
@@ -323,7 +325,7 @@ def contaminated(
                 if share >= least and share > before[0]:
                     last = answers[number].tolist()
                     kept = lcs(last, words) / len(last)
-                    if kept >= answer:
+                    if kept >= answer or share >= sure:
                         out[t, number] = (share, kept, float(c))
         return out
 
@@ -372,6 +374,11 @@ def contaminated(
 
 
 def _answer(text: str) -> np.ndarray:
-    """Words of the last sentence, or the last five words of a text of one sentence."""
+    """Words of the last sentences, as many as have five words; the last five of a text of one."""
     sentences = [w for w in (word_ids(s) for s in text.replace("!", ".").replace("?", ".").split(".")) if len(w)]
-    return sentences[-1] if len(sentences) > 1 else sentences[0][-5:]
+    if len(sentences) == 1:
+        return sentences[0][-5:]
+    words = sentences.pop()
+    while sentences and len(words) < 5:
+        words = np.concatenate([sentences.pop(), words])
+    return words

@@ -68,6 +68,33 @@ def test_paraphrases_long_texts_and_odd_rows(spark):
     assert got == sorted(want)
 
 
+def test_a_short_last_sentence_does_not_veto_a_copy(spark):
+    rng = random.Random(6)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in ("n", "r", "st", "l", "")]
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = {i: text(n) for i, n in enumerate([17, 25, 40, 59])}
+    # The last sentence has one word, or two; a full sentence of six words stands before it.
+    ends = {i: 1 + i % 2 for i in items}
+    written = {i: " ".join(w[: -6 - ends[i]]) + ". " + " ".join(w[-6 - ends[i] : -ends[i]]) + ". " + " ".join(w[-ends[i] :]) + "." for i, w in items.items()}
+    docs = [(1000 + i, " ".join(text(rng.randint(1, 300)))) for i in range(150)]
+    for i, words in items.items():
+        docs.append((i, " ".join(text(40) + words[:-1] + ["changed"] + text(50))))
+        docs.append((10 + i, " ".join(text(40) + words[: -ends[i]])))
+        docs.append((20 + i, " ".join(text(9) + altered(rng, words[:-8], 0.1) + words[-8:-1] + ["changed"] + text(9))))
+        docs.append((30 + i, " ".join(text(9) + words[: len(words) * 3 // 4] + altered(rng, words[len(words) * 3 // 4 :], 1) + text(9))))
+    found = decontam.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(list(written.items()), "item_id long, text string"),
+        Scratch(),
+        ["doc_id"],
+    ).collect()
+    # A changed answer of a whole sentence still speaks against a copy.
+    want = [(base + i, i) for i in items for base in (0, 10, 20)]
+    assert [r for r in want if r not in {(f.doc_id, f.item) for f in found}] == []
+    assert not {f.doc_id for f in found if f.doc_id >= 30}
+    assert [len(decontam._answer(t)) for t in ("a b. c d e. f g.", "a b c d e f", "a. b", "a b c d e f g. h i j k l m")] == [5, 5, 2, 6]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
