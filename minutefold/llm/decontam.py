@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,9 +20,12 @@ TERMS = 1 << 14
 #: Words of a passage, a row of the matrix; latent dimensions, and directions drawn beyond them.
 PASSAGE, RANK, MORE = 32, 40, 8
 #: Lengths of the windows that are looked up, in words; a window begins every quarter of one.
-WINDOWS = (16, 32, 64)
-#: Words handled at a time, and candidates.
-CHUNK, MANY = 1 << 15, 1 << 12
+WINDOWS = (4, 8, 16, 32, 64)
+#: Words of the shortest stretch that a long item ends in, and of the shortest item that its
+#: cosine alone finds: shorter ones are looked up as they stand, too.
+SHORT = 16
+#: Words handled at a time, candidates, and cosines.
+CHUNK, MANY, COSINES = 1 << 15, 1 << 12, 1 << 21
 #: Pieces that a partial matrix is sent in.
 SLICES = 16
 
@@ -35,11 +39,27 @@ _LOWER = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
 )
 
+#: Signs of scripts that put no spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, Tai,
+#: Balinese, Javanese, Yi, kana, Bopomofo, Chinese. And the stops written with them.
+_UNSPACED = re.compile(
+    "[\u0e01-\u0e3a\u0e40-\u0e4e\u0e50-\u0e59\u0e80-\u0eff\u0f00\u0f18-\u0fff\u1000-\u1049\u1050-\u109f"
+    "\u1780-\u17d3\u17d7-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u1b00-\u1b7f\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3031-\u3035"
+    "\u3041-\u309f\u30a1-\u30fa\u30fc-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf\ua980-\ua9df"
+    "\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U000323af]"
+)
+_STOPS = re.compile("[\u0e2f\u0e5a\u0e5b\u0f01-\u0f17\u104a-\u104f\u17d4-\u17d6\u3000-\u3004\u3008-\u3020\u30a0\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
+_SENTENCE_ENDS = re.compile("[.!?\u3002\uff01\uff0e\uff1f\uff61\u0f0d\u104b\u17d4]")
+#: First bytes of the signs above in UTF-8; few texts in other scripts hold any.
+_MAY_BE_UNSPACED = re.compile(b"[\xe0\xe1\xe3-\xea\xef\xf0]|\xe2[\xba-\xbf]")
+
 
 def word_ids(text: str | None) -> np.ndarray:
     """The text's words, hashed to 16 bits: runs of ASCII letters and digits, A-Z in lower
-    case, and of other signs beyond ASCII."""
-    words = (text or "").encode().translate(_LOWER).split()
+    case, and of other signs beyond ASCII; each sign of a script without spaces is a word."""
+    raw = (text or "").encode()
+    if not raw.isascii() and _MAY_BE_UNSPACED.search(raw):
+        raw = _UNSPACED.sub(r" \g<0> ", _STOPS.sub(" ", text)).encode()
+    words = raw.translate(_LOWER).split()
     return np.fromiter(map(zlib.crc32, words), np.uint32, len(words)).astype(np.uint16)
 
 
@@ -86,15 +106,25 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.nd
 
 
 def _sums(table: np.ndarray, column: np.ndarray, wide: int) -> np.ndarray:
-    """Rows of the table for each column, added up over runs of ``wide`` (a power of two from 4)."""
-    total = np.take(table, column[0::4], axis=0, mode="clip")
-    for i in range(1, 4):
-        total += np.take(table, column[i::4], axis=0, mode="clip")
+    """Rows of the table for each column, added up over runs of ``wide`` (a power of two)."""
+    step = min(wide, 4)
+    total = np.take(table, column[0::step], axis=0, mode="clip")
+    for i in range(1, step):
+        total += np.take(table, column[i::step], axis=0, mode="clip")
     while wide > 4:
         total, wide = total[0::2] + total[1::2], wide // 2
     return total
 
 
+def _rolled(ids: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` words from each place on."""
+    count = max(0, len(ids) - size + 1)
+    code = np.zeros(count, np.uint64)
+    for i in range(size):
+        code = code * np.uint64(0x9E3779B97F4A7C15) + ids[i : i + count].astype(np.uint64)
+    return code
+
+
 def _scale(idf: np.ndarray, column: np.ndarray) -> np.ndarray:
     """Of each passage, one over the root of its words' squared weights."""
     squares = (idf[column] ** 2).reshape(-1, PASSAGE).sum(axis=1)
@@ -205,7 +235,7 @@ def _probes(items: list[np.ndarray]) -> dict[int, list[Probe]]:
         stretch = len(words) if len(words) <= longest * 3 // 2 else longest
         for at in range(0, len(words), max(1, stretch)):
             part = words[at : at + stretch]
-            if at and len(part) < WINDOWS[0]:
+            if at and len(part) < SHORT:
                 continue  # the end of a long item is covered by the check of the whole
             wide = min(WINDOWS, key=lambda w: abs(np.log(w / len(part))))
             found[wide].append(Probe(number, at, part))
@@ -232,7 +262,9 @@ def contaminated(
     contaminated if the longest common subsequence of the item's words and the text around
     the window has at least ``least`` of the item, and that of the item's answer - its last
     sentences, as many as have five words, or its last five words if it has one sentence - at
-    least ``answer`` of the answer. At least ``sure`` of the item needs no answer.
+    least ``answer`` of the answer. At least ``sure`` of the item needs no answer. An item of
+    fewer than SHORT words that stands in a text word by word is found whatever its cosine,
+    which is then given as that of the words themselves, 1.
 
     ``items`` is the benchmark, of a size that fits a task. A null or wordless text or item
     matches nothing. Repeated rows give repeated results, as do items of equal texts; an
@@ -291,25 +323,54 @@ def contaminated(
             quarters = _sums(model.fold, column, wide // 4)
             window = quarters[:-3] + quarters[1:-2] + quarters[2:-1] + quarters[3:]
             length = np.sqrt(np.einsum("ij,ij->i", window, window))
-            near = window @ embedded[wide].T
-            found = np.flatnonzero(near >= np.where(length > 0, cosine * length, np.inf)[:, None].astype(np.float32))
             # The words from half a window before each place on, twice as many as a window has.
             filled = np.concatenate([np.zeros(wide // 2, numbered.dtype), numbered[ids], np.zeros(2 * wide, numbered.dtype)])
             around = np.lib.stride_tricks.sliding_window_view(filled, 2 * wide)
-            for low in range(0, len(found), MANY):
-                w, p = np.divmod(found[low : low + MANY], len(some))
-                start = w * (wide // 4)
-                # No more can be in common than words that both have, as often as both do.
-                place = places[wide][p[:, None], around[start]] + (np.arange(len(p), dtype=np.int32) * most)[:, None]
-                has = np.bincount(place.ravel(), minlength=len(p) * most).reshape(-1, most)
-                may = np.minimum(has, times[wide][p]).sum(axis=1) >= least * sizes[wide][p]
-                start = start[may]
-                text = np.searchsorted(first, start, side="right") - 1
-                yield wide, start, text, p[may], near.ravel()[found[low : low + MANY]][may] / length[w[may]]
+            step = max(1, COSINES // len(some))
+            for first_window in range(0, len(window), step):
+                near = window[first_window : first_window + step] @ embedded[wide].T
+                norm = length[first_window : first_window + step]
+                found = np.flatnonzero(near >= np.where(norm > 0, cosine * norm, np.inf)[:, None].astype(np.float32))
+                for low in range(0, len(found), MANY):
+                    w, p = np.divmod(found[low : low + MANY], len(some))
+                    start = (first_window + w) * (wide // 4)
+                    value = near.ravel()[found[low : low + MANY]]
+                    # No more can be in common than words that both have, as often as both do.
+                    place = places[wide][p[:, None], around[start]] + (np.arange(len(p), dtype=np.int32) * most)[:, None]
+                    has = np.bincount(place.ravel(), minlength=len(p) * most).reshape(-1, most)
+                    may = np.minimum(has, times[wide][p]).sum(axis=1) >= least * sizes[wide][p]
+                    start = start[may]
+                    text = np.searchsorted(first, start, side="right") - 1
+                    yield wide, start, text, p[may], value[may] / norm[w[may]]
+
+    # Items of few words as they stand: per length, their distinct rows of words in the order of
+    # a hash, and which items have them.
+    standing: dict[int, tuple[np.ndarray, np.ndarray, list[list[int]]]] = {}
+    for size in sorted({len(w) for w in item_words if len(w) < SHORT}):
+        having: dict[tuple, list[int]] = {}
+        for number, words in enumerate(item_words):
+            if len(words) == size:
+                having.setdefault(tuple(words.tolist()), []).append(number)
+        table = np.array(list(having), np.int32)
+        codes = _rolled(table.ravel(), size)[::size]
+        order = np.argsort(codes, kind="stable")
+        standing[size] = codes[order], table[order], [list(having.values())[i] for i in order.tolist()]
+
+    def verbatim(ids: np.ndarray, first: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(text, item) of items of few words that stand in a text word by word."""
+        for size, (codes, table, having) in standing.items():
+            code = _rolled(ids, size)
+            at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            start = np.flatnonzero(codes[at] == code)
+            text = np.searchsorted(first, start, side="right") - 1
+            same = (ids[start[:, None] + np.arange(size)] == table[at[start]]).all(axis=1) & (start + size <= ends[text])
+            for pair in np.unique(text[same] * len(table) + at[start[same]]).tolist():
+                for number in having[pair % len(table)]:
+                    yield pair // len(table), number
 
     def look_up(ids: np.ndarray, first: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], tuple[float, float, float]]:
         """(text, item) to overlap, overlap of the answer, and cosine."""
-        out: dict[tuple[int, int], tuple[float, float, float]] = {}
+        out: dict[tuple[int, int], tuple[float, float, float]] = dict.fromkeys(verbatim(ids, first, ends), (1.0, 1.0, 1.0))
         for wide, starts, texts, found_probes, near in candidates(ids, first):
             some = probes[wide]
             for s, t, probe, c in zip(starts.tolist(), texts.tolist(), found_probes.tolist(), near.tolist(), strict=True):
@@ -375,7 +436,7 @@ def contaminated(
 
 def _answer(text: str) -> np.ndarray:
     """Words of the last sentences, as many as have five words; the last five of a text of one."""
-    sentences = [w for w in (word_ids(s) for s in text.replace("!", ".").replace("?", ".").split(".")) if len(w)]
+    sentences = [w for w in (word_ids(s) for s in _SENTENCE_ENDS.split(text)) if len(w)]
     if len(sentences) == 1:
         return sentences[0][-5:]
     words = sentences.pop()

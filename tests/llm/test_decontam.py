@@ -95,6 +95,42 @@ def test_a_short_last_sentence_does_not_veto_a_copy(spark):
     assert [len(decontam._answer(t)) for t in ("a b. c d e. f g.", "a b c d e f", "a. b", "a b c d e f g. h i j k l m")] == [5, 5, 2, 6]
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    rng = random.Random(7)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in ("n", "r", "st", "l", "")]
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    signs = lambda n: "".join(chr(rng.randint(0x4E00, 0x4FFF)) for _ in range(n))
+    bench = {i: " ".join(["zo", "qua", *text(i)][:i]) for i in range(1, 16)}
+    bench |= {40: signs(9) + "。" + signs(8) + "？", 41: "ประเทศไทยมีเมืองหลวงชื่ออะไร", 42: "日本の首都はどこですか。", 43: "𠮷野家"}
+    docs = [(1000 + i, " ".join(text(rng.randint(1, 300)))) for i in range(100)] + [(2000 + i, signs(200)) for i in range(30)]
+    for i, t in bench.items():
+        near = (lambda n: " ".join(text(n))) if i < 40 else signs
+        docs.append((i, near(90) + " " * (i < 40) + t + " " * (i < 40) + near(90)))
+    docs.append((100, " ".join(text(40) + bench[10].split()[:4] + ["other"] + bench[10].split()[5:] + text(40))))
+    found = decontam.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([*bench.items(), (50, bench[7])], "item_id long, text string"),
+        Scratch(),
+        ["doc_id"],
+    ).collect()
+    got = {(r.doc_id, r.item) for r in found}
+    # The item of one word is the first word of the others.
+    want = {(i, i) for i in bench} | {(7, 50), (100, 10)} | {(i, 1) for i in [*range(1, 16), 100]} | {(i, 2) for i in [*range(2, 16), 100]}
+    assert want <= got and got - want == set()
+    assert len(decontam.word_ids("東京 Tokyo、ไทย!")) == 6
+
+
+def test_a_short_item_does_not_reach_over_into_the_next_text(spark):
+    docs = [(1, " ".join(["x"] * 30 + ["alpha", "beta"])), (2, "gamma delta " + " ".join(["y"] * 40))]
+    found = decontam.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string").coalesce(1),
+        spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string"),
+        Scratch(),
+        ["doc_id"],
+    )
+    assert found.count() == 0
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
