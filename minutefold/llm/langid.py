@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,8 +15,10 @@ from minutefold.llm.work import Scratch
 #: Hashed byte trigrams that the text model tells apart.
 FEATURE_BITS = 15
 FEATURES = 1 << FEATURE_BITS
-#: Labelled rows per language that the text model is fitted on, at most; and languages.
-FIT_ROWS, LANGUAGES = 2_000, 64
+#: Labelled rows per language that the text model is fitted on, at most.
+FIT_ROWS = 2_000
+#: Languages that a model can hold in memory; a table with more is refused, none is left out.
+LANGUAGES = 512
 #: Trigrams that a text counts for at most: its trigrams depend on each other.
 WEIGHT = 64.0
 #: Rows that a prior counts as, when the level below it is smoothed towards it.
@@ -45,7 +46,8 @@ def _counts(raw: bytes) -> np.ndarray:
 class TextModel:
     """Multinomial likelihoods of hashed trigrams by language, add-one-half smoothed."""
 
-    def __init__(self, languages: list[str], counts: np.ndarray):
+    def __init__(self, languages: list[str], counts: np.ndarray, taught: bool = True):
+        self.taught = taught
         smooth = counts + 0.5
         self.languages = languages
         self.logs = np.log(smooth / smooth.sum(axis=1, keepdims=True)).T.copy()
@@ -64,19 +66,25 @@ class TextModel:
 def fit(labelled: DataFrame, key: str, text: str, label: str) -> TextModel:
     """The text model of at most FIT_ROWS labelled rows per language, those of least hash.
 
-    Null labels and texts are no examples; the LANGUAGES most frequent labels are learned.
+    Null labels and texts are no examples. Every label is learned; more than LANGUAGES of them
+    raise an error. Without any example the model is not ``taught`` and has the class ``und``.
     """
     rows = labelled.select(
         F.col(f"`{label}`").alias("label"), F.col(f"`{text}`").alias("text"),
         F.pmod(F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`")), F.lit(1 << 30)).alias("draw"),
     ).filter(F.col("label").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("label").count().orderBy(F.col("count").desc(), "label").limit(LANGUAGES).collect()
+    sizes = rows.groupBy("label").count().limit(LANGUAGES + 1).collect()
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} labels in column {label}: the text model holds no more")
     # Twice as many as are wanted pass a threshold on the hash; copies share one.
-    share = F.lit(0)
-    for s in sizes:
-        limit = math.ceil(min(1.0, 2 * FIT_ROWS / s["count"]) * (1 << 30))
-        share = F.when(F.col("label") == s["label"], F.lit(limit)).otherwise(share)
-    drawn = rows.filter(F.col("draw") < share).dropDuplicates(["label", "draw"])
+    limits = [(s["label"], math.ceil(min(1.0, 2 * FIT_ROWS / s["count"]) * (1 << 30))) for s in sizes]
+    shares = rows.sparkSession.createDataFrame(limits, "of string, share long")
+    drawn = (
+        rows.join(F.broadcast(shares), F.col("label") == F.col("of"))
+        .filter(F.col("draw") < F.col("share"))
+        .drop("of", "share")
+        .dropDuplicates(["label", "draw"])
+    )
     least = F.slice(F.array_sort(F.collect_list("draw")), 1, FIT_ROWS)
     last = drawn.groupBy(F.col("label").alias("of")).agg(F.element_at(least, -1).alias("last"))
     chosen = drawn.join(F.broadcast(last), F.col("label") == F.col("of")).filter("draw <= last")
@@ -87,9 +95,11 @@ def fit(labelled: DataFrame, key: str, text: str, label: str) -> TextModel:
             total += _counts(t.encode())
         return pd.DataFrame({"label": [group["label"].iloc[0]], "counts": [total.tobytes()]})
 
-    # At most FIT_ROWS texts of a language in ten parts; what comes back is of fixed size.
+    # At most FIT_ROWS texts of a language in ten parts, of many languages in fewer; what comes
+    # back is of fixed size.
+    parts_each = max(1, 640 // max(64, len(sizes)))
     parts = (
-        chosen.select("label", "text", (F.col("draw") % 10).alias("part"))
+        chosen.select("label", "text", (F.col("draw") % parts_each).alias("part"))
         .groupBy("label", "part")
         .applyInPandas(count, "label string, counts binary")
         .collect()
@@ -98,7 +108,14 @@ def fit(labelled: DataFrame, key: str, text: str, label: str) -> TextModel:
     counts = np.zeros((max(1, len(languages)), FEATURES))
     for p in parts:
         counts[languages.index(p["label"])] += np.frombuffer(p["counts"], np.int64)
-    return TextModel(languages or ["und"], counts)
+    return TextModel(languages or ["und"], counts, bool(languages))
+
+
+def _added(parts: list[Column]) -> Column:
+    """The sum by halves, so that many parts are no deep expression."""
+    if len(parts) == 1:
+        return parts[0]
+    return _added(parts[: len(parts) // 2]) + _added(parts[len(parts) // 2 :])
 
 
 def _with_normal(df: DataFrame, logs: Column, name: str, size: int) -> DataFrame:
@@ -112,7 +129,7 @@ def _with_normal(df: DataFrame, logs: Column, name: str, size: int) -> DataFrame
         df.withColumn("__logs", logs)
         .withColumn("__most", F.array_max("__logs"))
         .withColumn("__raised", F.array(*raised))
-        .withColumn("__total", reduce(Column.__add__, [F.col("__raised")[i] for i in range(size)]))
+        .withColumn("__total", _added([F.col("__raised")[i] for i in range(size)]))
         .withColumn(name, F.array(*shares))
         .drop("__logs", "__most", "__raised", "__total")
     )
@@ -122,9 +139,9 @@ def _sums(of: str, size: int, as_: str) -> Column:
     return F.array(*[F.sum(F.col(of)[i]) for i in range(size)]).alias(as_)
 
 
-def _smoothed(counts: list[Column], towards: list[Column]) -> list[Column]:
-    whole = reduce(Column.__add__, counts) + SMOOTHING
-    return [(n + SMOOTHING * p) / whole for n, p in zip(counts, towards, strict=True)]
+def _smoothed(counts: list[Column], whole: str, towards: list[Column]) -> list[Column]:
+    """``whole`` names the column of the counts' sum, which is computed once."""
+    return [(n + SMOOTHING * p) / (F.col(whole) + SMOOTHING) for n, p in zip(counts, towards, strict=True)]
 
 
 def identify(
@@ -181,8 +198,10 @@ def identify(
 
     hosts = scored.groupBy(F.col("host").alias("host1"), F.col("domain").alias("domain0")).agg(_sums("own", size, "n"))
     domains = hosts.groupBy(F.col("domain0").alias("domain1")).agg(_sums("n", size, "domain_n"))
-    hosts = hosts.join(domains, F.col("domain0") == F.col("domain1")).select(
-        "host1", "n", F.array(*_smoothed(elements("domain_n"), prior)).alias("towards")
+    hosts = (
+        hosts.join(domains, F.col("domain0") == F.col("domain1"))
+        .withColumn("whole", _added(elements("domain_n")))
+        .select("host1", "n", F.array(*_smoothed(elements("domain_n"), "whole", prior)).alias("towards"))
     )
     others = [F.greatest(n - own, F.lit(0.0)) for n, own in zip(elements("n"), elements("own"), strict=True)]
     fused = (
@@ -190,7 +209,8 @@ def identify(
         .join(given("declared"), F.col("declared") == F.col("declared1"))
         .join(given("suffix"), F.col("suffix") == F.col("suffix1"))
         .withColumn("others", F.array(*others))
-        .withColumn("host_prior", F.array(*_smoothed(elements("others"), elements("towards"))))
+        .withColumn("whole", _added(elements("others")))
+        .withColumn("host_prior", F.array(*_smoothed(elements("others"), "whole", elements("towards"))))
     )
     parts = [elements(c) for c in ("logs", "declared_logs", "suffix_logs", "host_prior")]
     added = [a + b + c + F.log(d) for a, b, c, d in zip(*parts, strict=True)]

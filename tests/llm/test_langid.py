@@ -50,6 +50,31 @@ def test_markup_is_no_text(spark):
     assert (rows[1].text, rows[2].text, rows[2].declared) == (None, "plain", "")
 
 
+def many_languages(count, rows):
+    """Rows of invented languages, each with its own words; the first have more rows."""
+    words = [[f"{chr(97 + i % 26)}{chr(97 + i * 7 % 26)}{chr(97 + j)}{i}{chr(97 + j * 5 % 26)}" for j in range(12)] for i in range(count)]
+    return [
+        (1000 * i + r, " ".join(words[i][(r * 5 + k * k) % 12] for k in range(30)), f"l{i:03}", "s")
+        for i in range(count)
+        for r in range(rows + (i < 64))
+    ]
+
+
+def test_every_label_is_learned(spark):
+    df = spark.createDataFrame(many_languages(70, 3), "id long, text string, lang string, source string")
+    model = langid.fit(df, "id", "text", "lang")
+    assert len(model.languages) == 70
+    out = langid.identify(df, model, Scratch(), ["id"], F.col("text"), F.col("lang"), F.col("source")).collect()
+    assert [r.id for r in out if r.lang != f"l{r.id // 1000:03}"] == []
+
+
+def test_too_many_labels_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 3)
+    df = spark.createDataFrame(many_languages(4, 2), "id long, text string, lang string, source string")
+    with pytest.raises(ValueError, match="more than 3 labels"):
+        langid.fit(df, "id", "text", "lang")
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "id long, text string, lang string")
     model = langid.fit(none, "id", "text", "lang")
