@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,6 +14,9 @@ from minutefold.llm.work import Scratch
 
 #: Vectors that one graph holds, and queries that one task takes to one graph.
 SHARD, QUERY_BLOCK = 16_384, 8_192
+#: Vectors of one graph are at most so many times as long as one another: lifted to one length,
+#: much shorter ones would differ by less than single precision tells.
+BAND = 32.0
 #: Queries walked side by side; bounds the memory for marks of visited nodes.
 SIDE = 256
 #: Neighbours per node above the ground level, twice as many on it; beams of building and search.
@@ -184,10 +188,17 @@ def search(graph: Graph, queries: np.ndarray, beam: int = SEARCH_BEAM) -> np.nda
     return out
 
 
-def _lifted(x: np.ndarray, longest: float) -> np.ndarray:
-    """Vectors of one length, with one more component, so that the largest inner product is nearest."""
-    rest = np.sqrt(np.maximum(longest * longest - (x * x).sum(axis=1), 0))
-    return np.concatenate([x, rest[:, None]], axis=1).astype(np.float32)
+def _norms(x: np.ndarray) -> np.ndarray:
+    """Lengths as a column, of vectors whose squares may be out of range, too."""
+    most = np.abs(x).max(axis=1, keepdims=True)
+    return most * np.sqrt(((x / most) ** 2).sum(axis=1, keepdims=True))
+
+
+def _lifted(x: np.ndarray) -> np.ndarray:
+    """Vectors of length one, with one more component, so that the largest inner product is nearest."""
+    scaled = x / _norms(x).max()
+    rest = np.sqrt(np.maximum(1 - (scaled * scaled).sum(axis=1), 0))
+    return np.concatenate([scaled, rest[:, None]], axis=1).astype(np.float32)
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -208,11 +219,11 @@ def nearest(
 
     Queries are the rows whose key is divisible by ``every``; every other row is a candidate.
     Nearness is the inner product of the original vectors, in double precision; ties go to
-    the smaller key. Each shard of at most about ``SHARD`` vectors has its own graph, every
-    vector is in one, and each block of queries is walked through each graph; the shards'
+    the smaller key. Each shard of at most about ``SHARD`` vectors, of lengths within a factor
+    of ``BAND``, has its own graph, every vector is in one, and each block of queries is walked through each graph; the shards'
     findings are merged. Vectors that are null, zero, or hold null or non-finite components
-    take no part, nor do null keys, or vectors of another length than the first key's. Of
-    Rows equal in key are each in the
+    take no part, nor do null keys, or vectors of another size than the most frequent one, the
+    smallest of several. Rows equal in key are each in the
     result, but none is its own query's neighbour. Only the named columns are read.
     """
     item = F.col(f"`{vector}`").cast("array<double>")
@@ -221,12 +232,23 @@ def nearest(
         df.select(F.col(f"`{key}`").cast("long").alias("id"), item.alias("v"))
         .filter(F.col("id").isNotNull() & F.col("v").isNotNull())
         .filter(usable & F.exists("v", lambda x: x != 0))
-        .withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))),
+        .withColumn("most", F.array_max(F.transform("v", F.abs)))
+        .withColumn(
+            "norm",
+            F.col("most") * F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / F.col("most")) * (x / F.col("most")))),
+        )
+        .drop("most"),
         "ann-rows",
     )
-    facts = rows.agg(F.count("*"), F.max("norm"), F.min_by(F.size("v"), "id")).first()
-    count, longest, dims = facts[0], facts[1] or 0.0, facts[2] or 0
-    rows = rows.filter(F.size("v") == dims).drop("norm")
+    usual = rows.groupBy(F.size("v").alias("dims")).count().orderBy(F.col("count").desc(), "dims").first()
+    dims = usual[0] if usual else 0
+    rows = rows.filter(F.size("v") == dims)
+    longest = rows.agg(F.max("norm")).first()[0] or 1.0
+    # Bands hang on the longest vector, so that lengths that are nearly equal share one.
+    band = F.floor((F.lit(math.log(longest)) - F.log("norm")) / math.log(BAND) + 1e-9).cast("int")
+    rows = rows.withColumn("band", F.greatest(band, F.lit(0))).drop("norm")
+    bands = sorted(tuple(r) for r in rows.groupBy("band").count().collect())
+    count = sum(n for _, n in bands)
     # Equal vectors are one node with its smallest keys; a query can need one more than the
     # top, itself. Counted in parts first, so that a common vector is no group in one task.
     mine = Window.partitionBy("h", "v", "salt").orderBy("id")
@@ -235,10 +257,16 @@ def nearest(
         .withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(64)))
         .withColumn("n", F.row_number().over(mine))
         .filter(F.col("n") <= top + 1)
-        .groupBy("h", "v")
+        .groupBy("h", "v", "band")
         .agg(F.slice(F.array_sort(F.collect_list("id")), 1, top + 1).alias("ids"))
     )
-    shards = max(1, -(-count // SHARD))
+    # Number of the first shard of each band, and how many it has.
+    shards, first_shard, own_shards = 0, F.lit(0), F.lit(1)
+    for b, n in bands:
+        here, own = F.col("band") == b, -(-n // SHARD)
+        first_shard, own_shards = F.when(here, shards).otherwise(first_shard), F.when(here, own).otherwise(own_shards)
+        shards += own
+    shards = max(1, shards)
     blocks = max(1, -(-count // (every * QUERY_BLOCK)))
 
     def build_index(group: pd.DataFrame) -> pd.DataFrame:
@@ -247,7 +275,7 @@ def nearest(
         ids = np.full((len(group), width), -1, np.int64)
         for i, own in enumerate(group["ids"]):
             ids[i, : len(own)] = own
-        graph = build(_lifted(_matrix(group["v"]), longest))
+        graph = build(_lifted(_matrix(group["v"])))
         return pd.DataFrame(
             {
                 "shard": [int(group["shard"].iloc[0])],
@@ -259,7 +287,7 @@ def nearest(
         )
 
     index = scratch.land(
-        few.withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
+        few.withColumn("shard", (first_shard + F.pmod("h", own_shards)).cast("int"))
         .groupBy("shard")
         .applyInPandas(
             build_index, "shard int, ids binary, vectors binary, nodes array<binary>, links array<binary>"
@@ -273,7 +301,7 @@ def nearest(
             row = left.iloc[0]
             exact = np.frombuffer(row["vectors"], np.float64).reshape(-1, dims)
             ids = np.frombuffer(row["ids"], np.int64).reshape(len(exact), -1)
-            lifted = _lifted(exact, longest)
+            lifted = _lifted(exact)
             padded = np.concatenate([lifted, np.zeros((1, dims + 1), np.float32)])
             nodes = [np.frombuffer(n, np.int32).astype(np.int64) for n in row["nodes"]]
             links = [np.frombuffer(t, np.int32).astype(np.int64) for t in row["links"]]
@@ -281,7 +309,7 @@ def nearest(
             for low in range(0, len(right), SIDE):
                 part = right.iloc[low : low + SIDE]
                 asked, query = part["id"].to_numpy(np.int64), _matrix(part["v"])
-                flat = np.concatenate([query, np.zeros((len(query), 1))], axis=1).astype(np.float32)
+                flat = np.concatenate([query / _norms(query), np.zeros((len(query), 1))], axis=1).astype(np.float32)
                 found = search(graph, flat, max(SEARCH_BEAM, 4 * top))
                 score = np.einsum("qd,qkd->qk", query, exact[found])
                 score[found < 0] = -np.inf

@@ -49,6 +49,20 @@ def test_recall_over_several_shards(spark, monkeypatch, unequal):
             assert s == pytest.approx(float(np.array(rows[q][1]) @ np.array(rows[j][1])), rel=1e-12)
 
 
+@pytest.mark.parametrize("longest", [1e4, 1e36])
+def test_one_long_vector_and_one_of_another_size(spark, longest):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(2000, 24))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[7] *= longest
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(vectors)]
+    rows[0] = (0, [1.0, 2.0, 3.0])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    want, got = exact(rows[1:]), found(ann.nearest(df, Scratch()))
+    assert set(got) == set(want)
+    assert recall(got, want) >= 0.9
+
+
 def test_equal_vectors_go_by_key_and_odd_ones_stay_out(spark):
     good = [(i, [1.0, 0.0]) for i in range(60)] + [(100, [0.0, 1.0]), (101, [-1.0, 0.0])]
     odd = [(200, None), (220, [0.0, 0.0]), (240, [None, 1.0]), (260, [float("nan"), 1.0]), (280, [float("inf"), 1.0]), (300, [1.0]), (None, [1.0, 1.0])]
