@@ -38,10 +38,14 @@ def less(docs: DataFrame, gone: DataFrame) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled rows teach; undecided and wordless ones go.
 
-    The ``lang`` column is the declaration and the source stands for the host.
+    The ``lang`` column is the declaration and the source stands for the host. Where no row is
+    labelled nothing can be decided, so all documents that have words stay: the rows with a
+    trigram that is not all white space.
     """
     scratch = Scratch()
     model = langid.fit(docs, "doc_id", "text", "lang")
+    if not model.taught:
+        return docs.filter((F.octet_length("text") >= 3) & F.regexp_like("text", F.lit(r"[^\s]")))
     judged = langid.identify(
         identified(docs), model, scratch, [ROW], F.col("text"), F.col("lang"), F.col("source")
     )

@@ -67,6 +67,14 @@ def test_odd_rows_and_empty_tables(spark, folder):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_documents_without_labels_stay(spark):
+    rows = [(i, f"the of and {i} thing that", None, "a", 1) for i in range(5)]
+    gone = [(10, None, None, "a", 0), (11, "", None, "a", 0), (12, " \n \n", None, "a", 0)]
+    docs = spark.createDataFrame([*rows, *gone], DOCS)
+    assert rows_of(cp.identify_language(spark, docs, SF)) == Counter(rows)
+    assert cp.identify_language(spark, docs.limit(0), SF).count() == 0
+
+
 def test_only_leaks_go(spark, folder):
     bench = [(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omikron pi")]
     spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
