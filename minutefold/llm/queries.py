@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutefold.llm import ann, chat, decontam, langid, mixing, pii, repeats, sharding, simhash, urlfilter
+from minutefold.llm import ann, chat, decontam, fim, langid, minhash, mixing, negatives, pii, repeats, sharding, simhash
+from minutefold.llm import urlfilter
 from minutefold.llm.work import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +100,34 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), ["page_id"])
 
 
+def op11_fast_similarity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"], Scratch())
+    kept = F.col("doc_id").eqNullSafe(F.col("component"))
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), kept.alias("kept"))
+
+
+def op12_repeated_capture_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return Scratch().land(
+        made.select(
+            "doc_id",
+            F.col("n_units").alias("n"),
+            "form",
+            "prefix_chars",
+            "middle_chars",
+            F.sha2("output", 256).alias("output_sha256"),
+            F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+        ),
+        "fim-digests",
+    )
+
+
+def op13_secondary_sort_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.select("vec_id", "embedding", moved.alias("label")), Scratch())
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_perspective_rotation": op2_perspective_rotation,
@@ -110,6 +139,9 @@ QUERIES: dict[str, Query] = {
     "op8_hash_threshold_mix": op8_hash_threshold_mix,
     "op9_language_evidence": op9_language_evidence,
     "op10_url_filter": op10_url_filter,
+    "op11_fast_similarity_sketch": op11_fast_similarity_sketch,
+    "op12_repeated_capture_fim": op12_repeated_capture_fim,
+    "op13_secondary_sort_negatives": op13_secondary_sort_negatives,
 }
 
 #: Fixed value of the contracts: a word.
@@ -199,5 +231,77 @@ SELECT page_id, host, path, rule,
               OR host || path LIKE '%.zip' OR (host LIKE '%.onion' AND starts_with(path, '/')) THEN 'block'
             ELSE 'allow' END AS verdict
 FROM ruled
+""",
+    "op11_fast_similarity_sketch": r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+sets AS (
+  SELECT r, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS items
+  FROM docs),
+distinct_sets AS (
+  SELECT min(r) AS s, list_sort(items) AS items, len(any_value(items)) AS n FROM sets WHERE len(items) > 0 GROUP BY 2),
+items AS (SELECT s, n, unnest(items) AS item FROM distinct_sets),
+pairs AS (
+  SELECT a.s AS x, b.s AS y FROM items a JOIN items b ON a.item = b.item AND a.s < b.s
+  GROUP BY a.s, b.s, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+edges AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs UNION ALL SELECT s, s FROM distinct_sets),
+reach AS (SELECT s AS x, s AS y FROM distinct_sets UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x),
+members AS (SELECT t.r, t.doc_id, d.s FROM sets t JOIN distinct_sets d ON list_sort(t.items) = d.items),
+least AS (SELECT s, min(doc_id) AS doc_id FROM members GROUP BY s),
+classes AS (SELECT x AS s, min(l.doc_id) AS component FROM reach JOIN least l ON reach.y = l.s GROUP BY x)
+SELECT t.doc_id, CAST(len(t.items) AS BIGINT) AS n_shingles,
+       CASE WHEN len(t.items) > 0 THEN c.component ELSE t.doc_id END AS component_id,
+       t.doc_id IS NOT DISTINCT FROM CASE WHEN len(t.items) > 0 THEN c.component ELSE t.doc_id END AS kept
+FROM sets t LEFT JOIN members m ON t.r = m.r LEFT JOIN classes c ON m.s = c.s
+""",
+    "op12_repeated_capture_fim": r"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT *, len(units) AS n, list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(h, i, 8))::BIGINT) AS hs FROM hashed),
+placed AS (
+  SELECT *, least(hs[1] % (n + 1), hs[2] % (n + 1)) AS first, greatest(hs[1] % (n + 1), hs[2] % (n + 1)) AS second,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR hs[3] % 100 >= 100
+           THEN 'plain' WHEN hs[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+cut AS (
+  SELECT *, array_to_string(units[1:first], '') AS prefix, array_to_string(units[first + 1:second], '') AS middle,
+         array_to_string(units[second + 1:], '') AS suffix
+  FROM placed)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(prefix || middle || suffix) AS restored_sha256
+FROM cut
+""",
+    "op13_secondary_sort_negatives": """
+WITH usable AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score, b.r
+  FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, r) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY n.score DESC, n.vec_id, n.r) AS rank
+  FROM positives p JOIN scored n ON p.anchor = n.anchor AND NOT n.same
+    AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 5
 """,
 }

@@ -103,3 +103,12 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """The frame less the columns that an operator is about to add, in any case of letters."""
     taken = {n.lower() for n in names}
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in taken])
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as no column of the frame has."""
+    taken = {c.lower() for c in df.columns}
+    name = f"__{name}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
