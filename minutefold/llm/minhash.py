@@ -19,6 +19,11 @@ BINS, ROWS = 128, 4
 AGREE = 0.5
 #: Shingles sketched side by side, and words whose hashes a task remembers.
 BLOCK, WORDS = 1 << 20, 1 << 20
+#: Texts of a bucket whose pairs are listed; fuller buckets are compared in blocks, of at most so
+#: many texts and shingles on average.
+FEW, CROWD, CROWD_SHINGLES = 4, 1_024, 1 << 21
+#: Texts that one text of a block is compared with at a time, the likeliest first.
+STEP = 64
 
 _BIN_BITS = BINS.bit_length() - 1
 _EMPTY = np.uint64(2**64 - 1)
@@ -121,33 +126,63 @@ def similar(a: bytes, b: bytes, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
+def connecting(
+    roots: np.ndarray, bands: np.ndarray, coords: np.ndarray, items: list[np.ndarray], sides: np.ndarray, percent: int
+) -> list[tuple[int, int]]:
+    """Pairs of places in the arrays that link and connect components no pair before did.
+
+    Candidates share a band, agree in enough coordinates, and are of different components.
+    Only texts outside the largest one look for partners. ``sides`` numbers the block of each
+    text: of two blocks, only pairs across are looked at.
+    """
+    sizes, across = np.array([len(i) for i in items]), len(np.unique(sides)) > 1
+    _, label = np.unique(roots, return_inverse=True)
+    open_to = np.ones(len(label), bool)
+    found = []
+    for at in np.flatnonzero(label != np.bincount(label).argmax()).tolist():
+        open_to[at] = False  # its pairs are looked at now, not once more from the other side
+        mates = open_to & (label != label[at])
+        if across:
+            mates &= sides != sides[at]
+        mates &= 100 * np.minimum(sizes, sizes[at]) >= percent * np.maximum(sizes, sizes[at])
+        mates = np.flatnonzero(mates)
+        mates = mates[(bands[mates] == bands[at]).any(axis=1)]
+        equal = (coords[mates] == coords[at]).sum(axis=1)
+        mates = mates[np.argsort(-equal, kind="stable")][: (equal >= AGREE * BINS).sum()]
+        while len(mates):
+            now, mates = mates[:STEP], mates[STEP:]
+            others = np.concatenate([items[m] for m in now.tolist()])
+            place = np.minimum(np.searchsorted(items[at], others), sizes[at] - 1)
+            starts = np.cumsum(sizes[now]) - sizes[now]
+            both = np.add.reduceat((items[at][place] == others).astype(np.int64), starts)
+            for m in now[100 * both >= percent * (sizes[at] + sizes[now] - both)].tolist():
+                if label[m] != label[at]:
+                    found.append((at, m))
+                    label[label == label[m]] = label[at]
+            mates = mates[label[mates] != label[at]]
+    return found
+
+
 def _drawn(rep: str) -> Column:
     """The order in which texts become centres: at random, but the same in every bucket."""
     return F.struct(F.xxhash64(rep).alias("drawn"), F.col(rep).alias("rep"))
 
 
-def _aimed(pairs: DataFrame) -> DataFrame:
-    """Pairs ``x``, ``y`` once each, as ``member`` and ``centre``, the one that is drawn first."""
-    first = _drawn("x") < _drawn("y")
-    return pairs.select(
-        F.when(first, F.col("y")).otherwise(F.col("x")).alias("member"),
-        F.when(first, F.col("x")).otherwise(F.col("y")).alias("centre"),
-    ).distinct()
-
-
 class _Links:
-    """The search for links among texts that share a bucket, round by round."""
+    """The search for links among texts that share a bucket.
+
+    ``slim`` has ``rep``, ``n``, ``coords``, ``bands`` of each text, ``sets`` its ``items``.
+    """
 
     def __init__(self, slim: DataFrame, sets: DataFrame, percent: int, scratch: Scratch):
         self.slim, self.sets, self.percent, self.scratch = slim, sets, percent, scratch
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """Edges ``a``, ``b`` of those pairs that link, by their full sets.
+        """Edges ``a``, ``b`` of the pairs ``member``, ``centre`` that link, by their full sets.
 
         The centre is joined first, while rows are narrow: it may be that of many pairs, and
         Spark splits such a partition of a sort-merge join.
         """
-
         percent = self.percent
 
         @F.pandas_udf("boolean")
@@ -159,15 +194,13 @@ class _Links:
         def confirmed(a: pd.Series, b: pd.Series) -> pd.Series:
             return pd.Series([similar(x, y, percent) for x, y in zip(a, b, strict=True)], dtype=bool)
 
-        def of(table: DataFrame, side: str) -> DataFrame:
-            return table.withColumnsRenamed({c: f"{side}_{c}" for c in table.columns})
-
         def with_both(frame: DataFrame, table: DataFrame) -> DataFrame:
             for side in ("centre", "member"):
-                frame = frame.join(of(table, side), F.col(side) == F.col(f"{side}_rep"))
+                named = table.withColumnsRenamed({c: f"{side}_{c}" for c in table.columns})
+                frame = frame.join(named, F.col(side) == F.col(f"{side}_rep"))
             return frame
 
-        sized = with_both(pairs, self.slim).filter(
+        sized = with_both(pairs, self.slim.select("rep", "n", "coords")).filter(
             100 * F.least("centre_n", "member_n") >= percent * F.greatest("centre_n", "member_n")
         )
         near = self.scratch.land(
@@ -176,15 +209,58 @@ class _Links:
         links = with_both(near, self.sets).filter(confirmed("centre_items", "member_items"))
         return self.scratch.land(links.select(F.col("member").alias("a"), F.col("centre").alias("b")), "minhash-links")
 
+    def crowded(self, crowd: DataFrame) -> DataFrame:
+        """Edges that connect what the links of crowded buckets connect.
+
+        ``crowd`` has ``bucket``, ``rep`` and ``root``. Texts that buckets connect are a
+        cluster; each is in one cluster, however many buckets it is in, and so is every pair of
+        a bucket. Clusters are dealt into blocks of bounded size, and every pair of blocks is
+        one group, so that no cluster is held by one task and no pair is a row.
+        """
+        percent, scratch = self.percent, self.scratch
+        least = crowd.groupBy(F.col("bucket").alias("of")).agg(F.min("rep").alias("b"))
+        edges = crowd.join(least, F.col("bucket") == F.col("of")).filter("rep != b")
+        of_cluster = components.stars(edges.select(F.col("rep").alias("a"), "b").distinct(), Scratch())
+        texts = crowd.select("rep", "root").distinct().join(of_cluster, F.col("rep") == F.col("a"), "left")
+        texts = texts.select("rep", "root", F.coalesce("b", "rep").alias("cluster"))
+        texts = scratch.land(texts.join(self.slim.select("rep", "n", "coords", "bands"), "rep"), "minhash-crowd")
+        blocks = F.ceil(F.greatest(F.count("*") / CROWD, F.sum("n") / CROWD_SHINGLES)).cast("int")
+        sized = texts.groupBy(F.col("cluster").alias("of")).agg(blocks.alias("blocks"))
+        dealt = (
+            texts.join(sized, F.col("cluster") == F.col("of"))
+            .withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+            .join(self.sets.withColumnRenamed("rep", "of_rep"), F.col("rep") == F.col("of_rep"))
+            .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(
+                "cluster", F.least("side", "with").alias("low"), F.greatest("side", "with").alias("high"),
+                "side", "rep", "root", "coords", "bands", "items",
+            )
+        )
+
+        def link(group: pd.DataFrame) -> pd.DataFrame:
+            rep = group["rep"].to_numpy(np.int64)
+            pairs = connecting(
+                group["root"].to_numpy(np.int64),
+                np.stack(group["bands"].to_numpy()),
+                np.frombuffer(b"".join(group["coords"]), np.uint8).reshape(-1, BINS),
+                [np.frombuffer(i, np.uint64) for i in group["items"]],
+                group["side"].to_numpy(np.int64),
+                percent,
+            )
+            return pd.DataFrame({"a": [rep[i] for i, _ in pairs], "b": [rep[j] for _, j in pairs]}, dtype="int64")
+
+        groups = dealt.groupBy("cluster", "low", "high")
+        return scratch.land(groups.applyInPandas(link, "a long, b long"), "minhash-crowd-links")
+
     def roots(self, members: DataFrame) -> DataFrame:
         """``a``, ``b``: the root of every text linked to another; roots have no row.
 
         ``members`` has a row per bucket and text, of buckets with two texts or more. First
         every text is compared with that one of its bucket mates which is drawn first, so a
-        group of near copies becomes a star, not all of its pairs. Then, in buckets that still
-        hold several components, texts outside the largest of them are compared with the texts
-        of other components: some of them, four times as many each round, until every pair of
-        a bucket is either in one component or compared.
+        group of near copies becomes a star, not all of its pairs. What then is left are
+        buckets that hold several components: their pairs across components are listed where
+        a bucket has FEW texts, and compared in blocks where it has more. In the end every
+        pair of a bucket is either in one component or was compared.
         """
         scratch = self.scratch
         centres = members.groupBy(F.col("bucket").alias("of")).agg(F.min(_drawn("rep")).alias("first"))
@@ -195,36 +271,30 @@ class _Links:
             .agg(F.min("first").alias("first"))
         )
         tried = scratch.land(mates.select("member", F.col("first.rep").alias("centre")), "minhash-tried")
-        star = components.stars(self.verified(tried), scratch)
-        share, live = 1, members
-        while True:
-            placed = live.join(star, F.col("rep") == F.col("a"), "left").select(
-                "bucket", "rep", F.coalesce("b", "rep").alias("root")
-            )
-            held = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-            most = (
-                held.groupBy(F.col("bucket").alias("of"))
-                .agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("all"), F.count("*").alias("roots"))
-                .filter("roots > 1")
-                .select("of", F.col("most.root").alias("largest"), (F.col("all") - F.col("most.n")).alias("others"))
-            )
-            mixed = scratch.land(
-                placed.join(most, F.col("bucket") == F.col("of")).drop("of"), "minhash-mixed"
-            )
-            if mixed.isEmpty():
-                return star
-            turn = (F.col("root") != F.col("largest")) & (
-                F.pmod(F.xxhash64("rep", "bucket"), F.col("others")) < share
-            )
-            now = mixed.filter(turn).select(
-                F.col("bucket").alias("of"), F.col("rep").alias("y"), F.col("root").alias("of_root")
-            )
-            met = mixed.join(now, (F.col("bucket") == F.col("of")) & (F.col("root") != F.col("of_root")))
-            fresh = _aimed(met.select(F.col("rep").alias("x"), "y")).join(tried, ["member", "centre"], "left_anti")
-            fresh = scratch.land(fresh, "minhash-fresh")
-            star = components.stars(star.select("a", "b").union(self.verified(fresh)), scratch)
-            tried, live = tried.union(fresh), mixed.filter(~turn).select("bucket", "rep")
-            share *= 4
+        star = components.stars(self.verified(tried), Scratch())  # a scratch each: stars clears its own
+        placed = members.join(star, F.col("rep") == F.col("a"), "left").select(
+            "bucket", "rep", F.coalesce("b", "rep").alias("root")
+        )
+        several = (
+            placed.groupBy(F.col("bucket").alias("of"))
+            .agg(F.count("*").alias("texts"), F.min("root").alias("x"), F.max("root").alias("y"))
+            .filter("x < y")
+            .select("of", "texts")
+        )
+        mixed = scratch.land(placed.join(several, F.col("bucket") == F.col("of")).drop("of"), "minhash-mixed")
+        some = mixed.filter(F.col("texts") <= FEW)
+        other = some.select(F.col("bucket").alias("of"), F.col("rep").alias("y"), F.col("root").alias("y_root"))
+        met = some.join(other, (F.col("bucket") == F.col("of")) & (F.col("root") < F.col("y_root")))
+        # A pair points to the one drawn first, as those that were tried do.
+        first = _drawn("rep") < _drawn("y")
+        listed = met.select(
+            F.when(first, F.col("y")).otherwise(F.col("rep")).alias("member"),
+            F.when(first, F.col("rep")).otherwise(F.col("y")).alias("centre"),
+        ).distinct()
+        fresh = scratch.land(listed.join(tried, ["member", "centre"], "left_anti"), "minhash-listed")
+        crowd = mixed.filter(F.col("texts") > FEW).select("bucket", "rep", "root")
+        edges = star.unionByName(self.verified(fresh)).unionByName(self.crowded(crowd))
+        return components.stars(edges, Scratch())
 
 
 def near_duplicates(
@@ -288,14 +358,14 @@ def near_duplicates(
     members = scratch.land(dealt.join(shared, F.col("bucket") == F.col("of"), "left_semi"), "minhash-members")
     # Full sets of the texts that share a bucket, from a second scan of the texts.
     wanted = chosen.join(members.select(F.col("rep").alias("of")).distinct(), F.col("rid") == F.col("of"))
-    slim = scratch.land(wanted.select(F.col("rid").alias("rep"), "n", "coords", "name", "name2"), "minhash-slim")
+    slim = scratch.land(wanted.select(F.col("rid").alias("rep"), "n", "coords", "bands", "name", "name2"), "minhash-slim")
     named = slim.select("name", "name2", "rep").distinct()
     texts = df.select(whole.alias("t"), *names).join(named, ["name", "name2"])
     sets = scratch.land(
         texts.select("rep", shingles("t").alias("items")).groupBy("rep").agg(F.first("items").alias("items")),
         "minhash-sets",
     )
-    star = _Links(slim.select("rep", "n", "coords"), sets, percent, scratch).roots(members)
+    star = _Links(slim, sets, percent, scratch).roots(members)
     rooted = classes.join(star, F.col("rep") == F.col("a"), "left").select(
         "ident", "least", F.coalesce("b", "rep").alias("root")
     )
