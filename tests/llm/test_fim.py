@@ -1,0 +1,81 @@
+"""Fill-in-the-middle against a plain rendering, and exact round trips."""
+
+import hashlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from minutefold.llm import fim, queries
+
+DOCS = "doc_id long, text string"
+
+
+
+def plain(doc_id, text, seed=7, rate=100, spm=50):
+    text = text or ""
+    units = [u + "\n" for u in text.split("\n")[:-1]] + [u for u in text.split("\n")[-1:] if u]
+    digits = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digits[8 * i : 8 * i + 8], 16) for i in range(4)]
+    n = len(units)
+    if not text or any(s in text for s in ("<P>", "<S>", "<M>")) or h[2] % 100 >= rate:
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h[3] % 100 < spm:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab\n\r <P>SM😀é "), max_size=40), st.integers(0, 50))
+def test_transformed(text, doc_id):
+    assert fim.transformed(text, doc_id, 7, 100, 50) == plain(doc_id, text)
+    assert fim.transformed(text, doc_id, 3, 40, 20) == plain(doc_id, text, 3, 40, 20)
+
+
+def test_units_of_long_texts():
+    assert fim.unit_ends("ab\n" * 200_000 + "end")[-2:] == [600_000, 600_003]
+    assert fim.unit_ends("x" * 3_000_000) == [3_000_000]
+    assert fim.unit_ends("\n" * 100_000)[:3] == [1, 2, 3]
+
+
+def test_other_units():
+    assert fim.unit_ends("aab", r".") == [1, 2, 3]
+    with pytest.raises(ValueError, match="units"):
+        fim.unit_ends("aab", r"a")
+
+
+TEXTS = [None, "", "\n", "one line", "a\nb\nc", "a\n\n\nb\n", "has <P> in it\nx", "<S\n>", "<\nP>", "🙂\né\n", "a\r\nb\x0bc\n", "l\n" * 9_000]
+
+
+def test_query_and_round_trip(spark, folder):
+    rows = [(i * 37, t) for i, t in enumerate(TEXTS * 6)] + [(None, "null\nkey"), (7, "a\nb"), (7, "a\nb"), (-5, "x\ny\nz")]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{folder}/documents.parquet")
+    got = queries.op12_repeated_capture_fim(spark, folder).collect()
+
+    def sha(t):
+        return hashlib.sha256(t.encode()).hexdigest()
+
+    want = [(i, *plain(i, t)[:4], sha(plain(i, t)[4]), sha(t or "")) for i, t in rows]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert {g.form for g in got} == {"plain", "psm", "spm"}
+
+
+def test_outputs_restore(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS * 4)], DOCS)
+    made = fim.transform(df, "doc_id", rate=70, spm=30)
+    off = made.filter(fim.restored(F.col("output"), F.col("form")) != F.coalesce("text", F.lit("")))
+    assert off.count() == 0
+
+
+def test_clashing_columns_and_empty_table(spark):
+    df = spark.createDataFrame([(1, "a\nb", "mine", "old")], "doc_id long, text string, __fim string, Output string")
+    made = fim.transform(df, "doc_id")
+    assert made.columns == ["doc_id", "text", "__fim", "n_units", "form", "prefix_chars", "middle_chars", "output"]
+    assert made.first()["__fim"] == "mine"
+    assert made.first()["output"] == plain(1, "a\nb")[4]
+    assert fim.transform(df.limit(0), "doc_id").count() == 0
+    texts = spark.createDataFrame([("k", "a\nb")], "doc_id string, text string")
+    assert fim.transform(texts, "doc_id").first()["output"] == plain("k", "a\nb")[4]

@@ -1,0 +1,136 @@
+"""Similarity sketches, and near duplicates against all pairs of small tables."""
+
+import re
+
+import numpy as np
+import pytest
+
+from minutefold.llm import minhash, queries
+from minutefold.llm.work import Scratch
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def plain_set(text, shingle=4):
+    lower = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    if len(words) < shingle:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + shingle]) for i in range(len(words) - shingle + 1)}
+
+
+def plain_classes(sets, percent=80):
+    """Smallest place reachable over all linked pairs."""
+    found = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            both, either = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if sets[i] and sets[j] and 100 * both >= percent * either and found[i] != found[j]:
+                a, b = sorted((found[i], found[j]))
+                found = [a if f == b else f for f in found]
+    return found
+
+
+def want_rows(rows):
+    sets = [plain_set(r[1]) for r in rows]
+    classes = plain_classes(sets)
+    ids = {}
+    for c, r in zip(classes, rows, strict=True):
+        ids.setdefault(c, []).append(r[0])
+    least = {c: min([i for i in found if i is not None], default=None) for c, found in ids.items()}
+    return [
+        (r[0], len(s), least[c] if s else r[0], (least[c] if s else r[0]) == r[0])
+        for r, s, c in zip(rows, sets, classes, strict=True)
+    ]
+
+
+def check(spark, folder, rows):
+    spark.createDataFrame(rows, DOCS).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    got = queries.op11_fast_similarity_sketch(spark, folder).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want_rows(rows)))
+
+
+@pytest.mark.parametrize("text", [None, "", " \t\n", "One", "one two\x0bTHREE", "a b c d", "Ünï ü É a b c a b c a b c", "x y z " * 50_000])
+def test_shingle_set_has_as_many_as_there_are(text):
+    found = minhash.shingle_set(text, 4, minhash._WordHashes())
+    assert len(found) == len(plain_set(text))
+    assert (np.diff(found.astype(object)) > 0).all()
+
+
+def test_sketches_fill_and_do_not_depend_on_company():
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for n in (1, 2, 3, 50, 127, 128, 700, 5000, 0, 1)]
+    together = minhash.sketch(sets)
+    for i, s in enumerate(sets):
+        if len(s):
+            assert (together[i] != minhash._EMPTY).all()
+            assert (minhash.sketch([s])[0] == together[i]).all()
+
+
+@pytest.mark.parametrize("size", [2, 10, 60, 400, 3000])
+def test_agreement_is_concentrated_around_the_similarity(size):
+    rng = np.random.default_rng(size)
+    off = []
+    for _ in range(40):
+        both = rng.integers(0, 2**64, size, dtype=np.uint64)
+        a, b = (np.unique(np.append(both, rng.integers(0, 2**64, size // 4, dtype=np.uint64))) for _ in "ab")
+        x, y = minhash.sketch([a, b])
+        off.append((x == y).mean() - size / (len(a) + len(b) - size))
+    assert abs(np.mean(off)) < 0.02 + 1 / np.sqrt(minhash.BINS * 40) * 3
+    assert np.abs(off).max() < 5 * 0.5 / np.sqrt(minhash.BINS)
+
+
+def test_no_pair_at_the_threshold_is_without_a_band():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        both = rng.integers(0, 2**64, 80, dtype=np.uint64)
+        a, b = (np.unique(np.append(both, rng.integers(0, 2**64, 10, dtype=np.uint64))) for _ in "ab")
+        bands = minhash.bands(minhash.sketch([a, b]))
+        assert (bands[0] == bands[1]).any()
+
+
+def edited(rng, words, text, share):
+    parts = text.split(" ")
+    for at in rng.choice(len(parts), int(len(parts) * share), replace=False):
+        parts[at] = str(rng.choice(words))
+    return " ".join(parts)
+
+
+def test_query_on_odd_rows(spark, folder):
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(400)]
+    base = [" ".join(rng.choice(words, 120)) for _ in range(6)]
+    texts = base + [b.replace(" ", "\n", 3).upper() for b in base] + [b + " one more end" for b in base]
+    texts += [edited(rng, words, b, s) for b in base for s in (0.01, 0.02, 0.03, 0.05, 0.08)]
+    texts += [None, "", " ", "w1", "W1", "w1 w2", "a b c d", "a b c d e", "a b c d e f", "a b c d e f g", base[0] + " " + "tail " * 40_000]
+    rows = [(1000 - i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    rows += [(None, "w1", "en", "s", 0), (None, "alone here", "en", "s", 0), (None, None, "", "", 0), (3, base[0], "", "", 1), (3, "other", "", "", 1)]
+    check(spark, folder, rows)
+
+
+def test_a_crowd_of_near_copies_in_blocks(spark, folder, monkeypatch):
+    monkeypatch.setattr(minhash, "CROWD", 40)
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(5000)]
+    base = " ".join(rng.choice(words, 150))
+    crowd = [edited(rng, words, base, s) for s in rng.uniform(0.0, 0.06, 220)]
+    chain = [" ".join(rng.choice(words, 150))]
+    for _ in range(40):  # each a near copy of the one before, the ends far apart
+        chain.append(edited(rng, words, chain[-1], 0.02))
+    texts = crowd + chain + [" ".join(rng.choice(words, 150)) for _ in range(30)]
+    check(spark, folder, [(i, t, "en", "s", 0) for i, t in enumerate(texts)])
+
+
+def test_columns_of_other_names_and_clashing_ones(spark):
+    names = "rep long, text string, ident string, bands string, component long, rid string, key0 string"
+    text = "a b c d e f g h i j k"
+    rows = [(5, text, "x", "y", 7, "z", "k"), (4, text, "x", "y", 7, "z", "k"), (9, "q", None, None, None, None, None)]
+    scratch = Scratch()
+    found = minhash.near_duplicates(spark.createDataFrame(rows, names), ["rep", "component"], scratch)
+    assert found.columns == ["rep", "component", "n_shingles", "component"]
+    assert sorted(map(tuple, found.collect()), key=str) == [(4, 7, 8, 4), (5, 7, 8, 4), (9, None, 1, 9)]
+
+
+def test_empty_table(spark, folder):
+    spark.createDataFrame([], DOCS).write.parquet(f"{folder}/documents.parquet")
+    assert queries.op11_fast_similarity_sketch(spark, folder).count() == 0
