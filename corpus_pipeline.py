@@ -49,10 +49,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     judged = langid.identify(
         identified(docs), model, scratch, [ROW], F.col("text"), F.col("lang"), F.col("source")
     )
-    rejected = scratch.land(
-        judged.filter((F.col("lang") == "und") | (F.col("text_lang") == "und")).select(ROW).distinct(), "stage-rejected"
-    )
-    return less(docs, rejected)
+    # Landed before it is filtered: Spark would write the whole formula of a posterior into the
+    # filter, several times, which takes a driver seconds and hundreds of megabytes.
+    judged = scratch.land(judged.select(ROW, "lang", "text_lang"), "stage-judged")
+    rejected = judged.filter((F.col("lang") == "und") | (F.col("text_lang") == "und")).select(ROW).distinct()
+    return less(docs, scratch.land(rejected, "stage-rejected"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
