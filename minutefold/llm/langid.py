@@ -95,13 +95,19 @@ def fit(labelled: DataFrame, key: str, text: str, label: str) -> TextModel:
             total += _counts(t.encode())
         return pd.DataFrame({"label": [group["label"].iloc[0]], "counts": [total.tobytes()]})
 
-    # At most FIT_ROWS texts of a language in ten parts, of many languages in fewer; what comes
-    # back is of fixed size.
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(c, np.int64) for c in group["counts"])
+        return pd.DataFrame({"label": [group["label"].iloc[0]], "counts": [total.tobytes()]})
+
+    # At most FIT_ROWS texts of a language in ten parts, of many languages in fewer. They are
+    # added up before they come back: one array of fixed size for each language.
     parts_each = max(1, 640 // max(64, len(sizes)))
     parts = (
         chosen.select("label", "text", (F.col("draw") % parts_each).alias("part"))
         .groupBy("label", "part")
         .applyInPandas(count, "label string, counts binary")
+        .groupBy("label")
+        .applyInPandas(add, "label string, counts binary")
         .collect()
     )
     languages = sorted(s["label"] for s in sizes)
@@ -194,15 +200,19 @@ def identify(
         values = scored.groupBy(F.col(column).alias(f"{column}1")).agg(_sums("own", size, "n"))
         count = scored.agg(F.approx_count_distinct(column)).first()[0]
         logs = [F.log((n + 1.0) / (whole + count + 1.0)) for n, whole in zip(elements("n"), sums, strict=True)]
-        return values.select(f"{column}1", F.array(*logs).alias(f"{column}_logs"))
+        return scratch.land(values.select(f"{column}1", F.array(*logs).alias(f"{column}_logs")), f"langid-{column}")
 
+    # Each table of evidence is landed on its own: one plan of all of them takes a driver more
+    # memory than the rest of a run.
     hosts = scored.groupBy(F.col("host").alias("host1"), F.col("domain").alias("domain0")).agg(_sums("own", size, "n"))
+    hosts = scratch.land(hosts, "langid-hosts")
     domains = hosts.groupBy(F.col("domain0").alias("domain1")).agg(_sums("n", size, "domain_n"))
     hosts = (
         hosts.join(domains, F.col("domain0") == F.col("domain1"))
         .withColumn("whole", _added(elements("domain_n")))
         .select("host1", "n", F.array(*_smoothed(elements("domain_n"), "whole", prior)).alias("towards"))
     )
+    hosts = scratch.land(hosts, "langid-host-priors")
     others = [F.greatest(n - own, F.lit(0.0)) for n, own in zip(elements("n"), elements("own"), strict=True)]
     fused = (
         scored.join(hosts, F.col("host") == F.col("host1"))
