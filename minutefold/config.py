@@ -90,7 +90,8 @@ class Settings:
     every: str = "1 minute"
     severity: str = "warn"
     keep_raw: bool = False
-    bridge_buckets: int = 64
+    lease_seconds: int = 600
+    lease_wait: int = 0
     resample_partitions: int = 0
     per_key_mark: bool = False
     check_whole_fact: bool = True

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import LAYERS as LAYER_NAMES
 from ..config import Settings, prepare, scratch_path
 from ..functions import json_field, json_fields, normalise_text, to_date, to_int
 from ..functions import to_utc_ntz, trunc_ntz
@@ -28,7 +29,7 @@ from ..operators import (
     top_n,
 )
 from ..operators.quality import Check, report
-from ..sources import BatchTable, BucketTable, DayTable, LoadMetrics, VersionedTable
+from ..sources import BatchTable, BucketTable, DayTable, LoadMetrics, PartTable, RunInProgress, VersionedTable
 from ..sources import export_csv, export_json, export_parquet, read_csv, read_json, read_parquet
 from ..streaming import above_mark, above_mark_per_key, apply_arrivals, replace_days, upsert
 from ..streaming.increments import days_from
@@ -498,6 +499,37 @@ def upsert_small_batch(t):
     return table.read()
 
 
+@query(
+    """WITH again AS (SELECT l_orderkey, l_linenumber, l_quantity + 100 AS l_quantity, l_shipdate FROM lineitem
+        WHERE l_orderkey % 10 = 0 AND date_trunc('month', l_shipdate) = DATE '1995-03-01')
+    SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem l WHERE NOT EXISTS (
+        SELECT 1 FROM again a WHERE a.l_orderkey = l.l_orderkey AND a.l_linenumber = l.l_linenumber)
+    UNION ALL SELECT * FROM again"""
+)
+def upsert_one_part(t):
+    """Lines in parts by month; one in ten of a month comes again, and that month is rewritten."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    month = F.to_date(F.date_trunc("month", "l_shipdate"))
+    table = PartTable(t.spark, scratch_path(t.spark, "months"), month, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    table.upsert(lines)
+    again = lines.where((F.col("l_orderkey") % 10 == 0) & (month == F.lit("1995-03-01").cast("date")))
+    table.upsert(again.withColumn("l_quantity", F.col("l_quantity") + 100))
+    return table.read()
+
+
+@query(
+    """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0
+        THEN CAST(o_orderdate AS DATE) + 400 ELSE CAST(o_orderdate AS DATE) END AS day FROM orders"""
+)
+def upsert_moving_parts(t):
+    """Orders in parts by year; one in seven comes again with a date over a year later."""
+    orders = t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    table = PartTable(t.spark, scratch_path(t.spark, "years"), F.year("day"), ["o_orderkey"], ["day"])
+    table.upsert(orders)
+    table.upsert(orders.where(F.col("o_orderkey") % 7 == 0).withColumn("day", F.date_add("day", 400)))
+    return table.read()
+
+
 LINES = "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem"
 
 
@@ -1097,11 +1129,12 @@ def fact_after_failed_run(t):
     layers = Layers(t.spark, settings)
 
     def load(run_id: str, commit: bool = True) -> None:
-        layers.drop_uncommitted()
-        land_readings(layers, readings(t), run_id)
-        append_fact(layers, layers.staged(pending=True)["stg_biometrics"], run_id)
-        if commit:
-            layers.set_done(run_id)
+        with layers.lease(run_id) as lease:
+            layers.drop_uncommitted()
+            land_readings(layers, readings(t), run_id)
+            append_fact(layers, layers.staged(pending=True)["stg_biometrics"], run_id)
+            if commit:
+                layers.commit(lease)
 
     load("A", commit=False)
     load("B")
@@ -1109,6 +1142,64 @@ def fact_after_failed_run(t):
     return layers.models()["fact_biometrics"]
 
 
+def lake(t: Tables, label: str) -> Layers:
+    """The layers below a new folder, in schemas of their own."""
+    root = scratch_path(t.spark, label)
+    names = {n: f"{n}_{root[-32:]}" for n in LAYER_NAMES}
+    return Layers(t.spark, Settings(input_dir=t.folder, root=root, every=HOUR, layer_names=names))
+
+
+def append_readings(layers: Layers, df: DataFrame, run_id: str) -> None:
+    land_readings(layers, df, run_id)
+    append_fact(layers, layers.staged(run_id)["stg_biometrics"], run_id)
+
+
+@query(f"{LAYERS} SELECT * FROM stg_biometrics")
+def fact_after_overlapping_runs(t):
+    """Another run begins between a run's append and its commit: it is refused, and comes again."""
+    layers = lake(t, "overlap")
+
+    def load(run_id: str, meanwhile=None) -> None:
+        with layers.lease(run_id) as lease:
+            layers.drop_uncommitted()
+            append_readings(layers, readings(t), run_id)
+            if meanwhile:
+                meanwhile()
+            layers.commit(lease)
+
+    def intrude() -> None:
+        try:
+            load("intruder")
+        except RunInProgress:
+            return
+        raise AssertionError("two runs wrote at a time")
+
+    load("first", intrude)
+    load("intruder")
+    return layers.models()["fact_biometrics"]
+
+
+EARLY_READINGS = READING_SQL + " WHERE ts < TIMESTAMP '2024-01-16 12:00:00'"
+
+
+@query(
+    f"""WITH {dense_sql('hero_id', 'hour', EARLY_READINGS, staging.MEASURES)}
+    SELECT ts AS timestamp, hero_id, heart_rate, stress_level, energy_output FROM dense"""
+)
+def fact_view_of_committed_runs(t):
+    """The fact's SQL view, defined after one run, while a second has appended and not committed."""
+    layers = lake(t, "views")
+    layers.create_schemas()
+    early = readings(t).where(F.col("timestamp") < clock("2024-01-16 12:00:00"))
+    with layers.lease("early") as lease:
+        append_readings(layers, early, "early")
+        layers.commit(lease)
+    layers.publish()
+    with layers.lease("all"):  # and it is given up
+        append_readings(layers, readings(t), "all")
+    return t.spark.table(f"{layers.settings.layer('marts')}.fact_biometrics")
+
+
 @query(
     f"""{LAYERS} SELECT * REPLACE (CASE WHEN CAST(substr(hero_id, 3) AS BIGINT) % 3 = 0
         THEN 'again' || name ELSE name END AS name) FROM dim_heroes"""
@@ -1152,6 +1243,25 @@ def model_obt_missions_second_run(t):
     return table.read()
 
 
+@query(f"{LAYERS} SELECT * FROM obt_missions")
+def obt_missions_staged_replace(t):
+    """A run that writes days beside the table and fails leaves them unseen; the next one switches."""
+    layers, whole = lake(t, "staged"), landed(obt_missions(t), "wide")
+    spoiled = whole.withColumn("mission_outcome", F.lit("spoiled"))
+    last = "2024-01-20"
+    with layers.lease("first") as lease:
+        known = whole.where(F.col("mission_date") <= F.lit(last).cast("date"))
+        layers.commit(lease, {"obt_missions": layers.wide_missions.replace(known, "")})
+    held = layers.log.last()["tables"]["obt_missions"]
+    with layers.lease("failed"):
+        layers.wide_missions.replace(spoiled, held)
+    with layers.lease("second") as lease:
+        since = F.lit(layers.marks()["mission_day"]).cast("date")
+        fresh = layers.wide_missions.replace(days_from(whole, "mission_date", since), held)
+        layers.commit(lease, {"obt_missions": fresh})
+    return layers.models()["obt_missions"]
+
+
 @query(f"{LAYERS} SELECT * FROM obt_biometrics")
 def model_obt_biometrics(t):
     return obt_biometrics(t)

@@ -2,13 +2,18 @@
 
 from .files import SourceError, read_csv, read_json, read_parquet
 from .sinks import LoadMetrics, export_csv, export_json, export_parquet
-from .tables import BatchTable, BucketTable, DayTable, VersionedTable
+from .runs import LeaseLost, RunInProgress, RunLog
+from .tables import BatchTable, BucketTable, DayTable, PartTable, VersionedTable
 
 __all__ = [
     "BatchTable",
     "BucketTable",
     "DayTable",
+    "LeaseLost",
     "LoadMetrics",
+    "PartTable",
+    "RunInProgress",
+    "RunLog",
     "SourceError",
     "VersionedTable",
     "export_csv",

@@ -1,0 +1,132 @@
+"""Tables in parts: what an upsert finds, and what it leaves alone."""
+
+import os
+
+import pytest
+from fixture_files import rows
+from pyspark.sql import functions as F
+
+from minutefold.sources import BucketTable, PartTable
+
+ROWS = "mission long, hero string, day string, v int"
+
+
+def frame(spark, *values):
+    return spark.createDataFrame(list(values), ROWS)
+
+
+def month(spark, per_day=400):
+    return spark.range(31 * per_day).selectExpr(
+        "id AS mission", f"concat('h', id % 7) AS hero", f"date_add(DATE '2025-01-01', CAST(id % 31 AS INT)) AS day", "0 AS v"
+    )
+
+
+def table(spark, folder, **how):
+    return PartTable(spark, f"{folder}/t", F.col("day"), ["mission", "hero"], ["hero"], **how)
+
+
+def test_a_batch_of_one_day_rewrites_few_parts(spark, folder):
+    t = table(spark, folder)
+    t.upsert(month(spark))
+    before = t.manifest()
+    assert len(before) == 31
+    batch = month(spark).where("day = DATE '2025-01-09' AND mission % 5 = 0").withColumn("v", F.lit(1))
+    touched = t.upsert(batch)
+    assert "2025-01-09" in touched
+    assert len(touched) < 4
+    assert {p: v for p, v in t.manifest().items() if p not in touched} == {p: v for p, v in before.items() if p not in touched}
+    changed = batch.select("mission").distinct().count()
+    assert t.read().where("v = 1").count() == changed > 50
+    assert t.read().count() == 31 * 400
+    assert t.read().select("mission", "hero").distinct().count() == 31 * 400
+
+
+def test_rows_that_move_between_parts_are_found(spark, folder):
+    """Every key comes again on another day: nothing of the old rows may stay."""
+    t = table(spark, folder)
+    t.upsert(month(spark, 20))
+    moved = month(spark, 20).where("mission % 2 = 0").withColumn("day", F.date_add("day", 40)).withColumn("v", F.lit(2))
+    t.upsert(moved)
+    assert t.read().count() == 31 * 20
+    assert t.read().groupBy("mission").count().where("count > 1").isEmpty()
+    assert t.read().where("v = 2").count() == moved.count()
+    t.upsert(month(spark, 20).withColumn("day", F.lit("2026-01-01").cast("date")))
+    assert list(t.manifest()) == ["2026-01-01"]  # parts left without rows are gone
+    assert t.read().count() == 31 * 20
+
+
+def test_filters_of_several_sizes_miss_no_key(spark, folder, monkeypatch):
+    from minutefold.sources import tables
+
+    monkeypatch.setattr(tables, "BLOCK_KEYS", 50)
+    t = table(spark, folder)
+    sizes = {"2025-01-01": 10, "2025-01-02": 120, "2025-01-03": 900, "2025-01-04": 2500}
+    whole = [(1000 * d + i, "h", day, 0) for d, (day, n) in enumerate(sizes.items()) for i in range(n)]
+    whole = [(10_000 * int(day[-2:]) + i, "h", day, 0) for day, n in sizes.items() for i in range(n)]
+    t.upsert(frame(spark, *whole))
+    blocks = {v: e["blocks"] for v, e in t._entries().items()}
+    assert blocks == {"2025-01-01": 1, "2025-01-02": 4, "2025-01-03": 32, "2025-01-04": 64}
+    for day, n in sizes.items():
+        own = [(m, h, d, v) for m, h, d, v in whole if d == day]
+        assert t._may_hold(frame(spark, *own[:: max(1, n // 40)]), t._entries()) >= {day}
+        for one in own[:: max(1, n // 3)]:
+            assert day in t._may_hold(frame(spark, one), t._entries())
+    strangers = [(-i - 1, "x", "2025-01-01", 0) for i in range(200)]
+    assert len(t._may_hold(frame(spark, *strangers[:3]), t._entries())) <= 1
+
+
+def test_null_keys_null_parts_and_equal_keys(spark, folder):
+    t = table(spark, folder)
+    t.upsert(frame(spark, (1, "a", None, 0), (None, "a", "2025-01-01", 0), (2, "b", "2025-01-01", 0)))
+    assert sorted(t.manifest()) == ["2025-01-01", "none"]
+    t.upsert(frame(spark, (1, "a", "2025-01-02", 1), (1, "a", "2025-01-02", 2), (None, "a", "2025-01-01", 1)))
+    found = [(1, "a", "2025-01-02", 1), (1, "a", "2025-01-02", 2), (2, "b", "2025-01-01", 0)]
+    assert rows(t.read().where("mission IS NOT NULL"), "mission", "v") == found
+    assert t.read().where("mission IS NULL").count() == 2
+    assert sorted(t.manifest()) == ["2025-01-01", "2025-01-02"]
+
+
+def test_a_write_without_its_manifest_and_old_manifests(spark, folder):
+    t = table(spark, folder)
+    t.upsert(frame(spark, (1, "a", "2025-01-01", 0), (2, "a", "2025-01-02", 0)))
+    first = t.current
+    second, touched = t.upsert_onto(first, frame(spark, (1, "a", "2025-01-01", 9)))
+    assert (t.current, touched) == (second, ["2025-01-01"])
+    assert rows(t.read(first), "mission") == [(1, "a", "2025-01-01", 0), (2, "a", "2025-01-02", 0)]
+    assert rows(t.read(), "mission") == [(1, "a", "2025-01-01", 9), (2, "a", "2025-01-02", 0)]
+    # Onto the first again, as a run does after one that failed.
+    third, _ = t.upsert_onto(first, frame(spark, (3, "a", "2025-01-02", 3)))
+    want = [(1, "a", "2025-01-01", 0), (2, "a", "2025-01-02", 0), (3, "a", "2025-01-02", 3)]
+    assert rows(t.read(third), "mission") == want
+    assert rows(spark.sql(t.selects(t.read().columns, third)), "mission") == want
+    t.drop_old([third, first])
+    assert rows(t.read(third), "mission") == want
+    assert rows(t.read(first), "mission") == want[:2]
+    t.drop_old([third])
+    assert rows(t.read(third), "mission") == want
+    assert rows(spark.sql(t.selects(t.read().columns)), "mission") == want
+    assert t.upsert_onto(third, frame(spark)) == (third, [])
+
+
+def test_replace_parts(spark, folder):
+    t = PartTable(spark, f"{folder}/t", "day")
+    assert t.read() is None
+    first = t.replace(frame(spark, (1, "a", "2025-01-01", 0), (2, "a", "2025-01-02", 0)))
+    files = sorted(os.listdir(f"{folder}/t/data/version=1/in_part=2025-01-01"))
+    t.replace(frame(spark, (3, "a", "2025-01-02", 1), (4, "a", "2025-01-03", 1)))
+    assert [r[0] for r in rows(t.read(), "mission")] == [1, 3, 4]
+    assert sorted(os.listdir(f"{folder}/t/data/version=1/in_part=2025-01-01")) == files
+    assert [r[0] for r in rows(t.read(first), "mission")] == [1, 2]
+    t.replace(frame(spark))
+    assert [r[0] for r in rows(t.read(), "mission")] == [1, 3, 4]
+
+
+@pytest.mark.parametrize(("first", "later"), [(4, 8), (8, 4), (1, 64)])
+def test_another_number_of_buckets_loses_no_row(spark, folder, first, later):
+    fifty = spark.range(50).selectExpr("id AS k", "0 AS v")
+    BucketTable(spark, f"{folder}/t", ["k"], first).upsert(fifty)
+    t = BucketTable(spark, f"{folder}/t", ["k"], later)
+    t.upsert(spark.createDataFrame([(7, 1), (60, 1)], "k long, v int"))
+    want = [(k, 1 if k == 7 else 0) for k in range(50)] + [(60, 1)]
+    assert rows(t.read(), "k") == want
+    assert t.buckets == first
