@@ -92,6 +92,21 @@ class Folder:
             stream.close()
 
 
+def claimed(folder: Folder, number: int) -> int:
+    """The number, or the next one that no other writer has claimed, one given up as lost neither."""
+    folder.make()
+    while not folder.create(f"taken-{number:08d}", ""):
+        number += 1
+    return number
+
+
+def drop_claims(folder: Folder, upto: int) -> None:
+    """Forget claims below the number; those of later writers stay."""
+    for name in folder.names("taken-"):
+        if int(name.split("-")[1]) < upto:
+            folder.drop(name)
+
+
 def upsert_rows(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows whose key the batch lacks, plus the whole batch; null keys match nothing."""
     replaced = batch.select(*keys).distinct()
@@ -173,9 +188,9 @@ class VersionedTable:
 
     def write(self, df: DataFrame) -> str:
         """Write a version; returns its folder."""
-        following = f"{self.path}/{self._name(max(self._versions(), default=0) + 1)}"
-        df.write.mode("overwrite").parquet(following)
-        return following
+        number = claimed(Folder(self.spark, self.path), max(self._versions(), default=0) + 1)
+        df.write.parquet(f"{self.path}/{self._name(number)}")
+        return f"{self.path}/{self._name(number)}"
 
     def drop_old(self, keep: list[str] | int = 2) -> None:
         """Drop all but the last complete versions, or but the named ones; readers may still be
@@ -185,6 +200,7 @@ class VersionedTable:
         kept = names[-keep:] if isinstance(keep, int) else [k.rsplit("/", 1)[1] for k in keep if k]
         for name in set(names) - set(kept):
             folder.drop(name)
+        drop_claims(folder, max(self._versions(), default=0))
 
 
 #: Partition column of a table in parts: none of the model's own.
@@ -278,7 +294,7 @@ class PartTable:
     def _new_version(self) -> int:
         """Above those of all writes, failed ones too, whose folders may still be there."""
         held = Folder(self.spark, f"{self.path}/data").names("version=")
-        return 1 + max([int(n.split("=")[1]) for n in held], default=0)
+        return claimed(self._folder, 1 + max([int(n.split("=")[1]) for n in held], default=0))
 
     def _written(self, df: DataFrame, version: int) -> list[str]:
         """Write the parts of a version; returns their values."""
@@ -404,6 +420,7 @@ class PartTable:
         for old in folder.names("manifest-"):
             if old not in names:
                 folder.drop(old)
+        drop_claims(folder, max([v for v, _ in named], default=0))
 
 
 class BucketTable(PartTable):
