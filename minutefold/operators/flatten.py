@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json_text import STRICT, checked_json, is_json
+from ..functions.json_text import not_json, sealed_json
 
 
 def explode_json_array(df: DataFrame, col: str, out: str, on_bad: str = "error") -> DataFrame:
@@ -17,11 +17,10 @@ def explode_json_array(df: DataFrame, col: str, out: str, on_bad: str = "error")
     if on_bad not in ("error", "null"):
         raise ValueError(f"on_bad is 'error' or 'null', not {on_bad!r}")
     mode = {"error": "FAILFAST", "null": "PERMISSIVE"}[on_bad]
-    text = F.col(col)
-    if on_bad == "error":
-        text = checked_json(text)
-    else:
-        text = F.when(is_json(text, mode), text)
-    parsed = F.from_json(text, "array<string>", STRICT | {"mode": mode})
+    kind = "array<string>"
+    bad = not_json(F.col(col), kind) if on_bad == "error" else F.lit(None).cast(kind)
+    parsed = sealed_json(
+        F.col(col), kind, lambda own: F.concat(F.lit('["'), own, F.lit('"]')), lambda last: F.get(last, F.lit(0)), mode, bad
+    )
     kept = [F.explode(parsed).alias(out) if c == col else F.col(c) for c in df.columns]
     return df.select(*kept)
