@@ -10,49 +10,49 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minutefold.llm import decontam, langid, mixing, queries, simhash
-from minutefold.llm.work import Scratch, without
+from minutefold.llm.work import Scratch, unused
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-ROW = "__row"
+def identified(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with their rows' identity, and the name of that column, which no other has."""
+    name = unused(docs, "row")
+    return docs.withColumn(name, mixing.row_hash(F.col("doc_id"), F.col("text"))), name
 
 
-def row() -> Column:
-    """A row's identity."""
-    return mixing.row_hash(F.col("doc_id"), F.col("text"))
-
-
-def identified(docs: DataFrame) -> DataFrame:
-    return without(docs, ROW).withColumn(ROW, row())
+def less(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents without the rows whose identity is listed in the only column of ``gone``."""
+    own, name = identified(docs)
+    return own.join(gone.toDF(name).distinct(), name, "left_anti").select(*named(docs))
 
 
-def less(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents without the rows whose identity is listed."""
-    return identified(docs).join(gone.select(ROW).distinct(), ROW, "left_anti").select(*docs.columns)
+def named(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled rows teach; undecided and wordless ones go.
 
-    The ``lang`` column is the declaration and the source stands for the host. Where no row is
-    labelled nothing can be decided, so all documents that have words stay: the rows with a
-    trigram that is not all white space.
+    Text and source, which stands for the host, are the evidence. The ``lang`` column is what the
+    model is fitted on, so it is no declaration as well: a wrong label would vouch for itself.
+    Where no row is labelled nothing can be decided, so all documents that have words stay: the
+    rows with a trigram that is not all white space. Other columns may have any name.
     """
     scratch = Scratch()
     model = langid.fit(docs, "doc_id", "text", "lang")
     if not model.taught:
         return docs.filter((F.octet_length("text") >= 3) & F.regexp_like("text", F.lit(r"[^\s]")))
-    judged = langid.identify(
-        identified(docs), model, scratch, [ROW], F.col("text"), F.col("lang"), F.col("source")
-    )
+    own, row = identified(docs)
+    nothing = F.lit(None).cast("string")
+    judged = langid.identify(own, model, scratch, [row], F.col("text"), nothing, F.col("source"))
     # Landed before it is filtered: Spark would write the whole formula of a posterior into the
     # filter, several times, which takes a driver seconds and hundreds of megabytes.
-    judged = scratch.land(judged.select(ROW, "lang", "text_lang"), "stage-judged")
-    rejected = judged.filter((F.col("lang") == "und") | (F.col("text_lang") == "und")).select(ROW).distinct()
+    judged = scratch.land(judged.select(row, "lang", "text_lang"), "stage-judged")
+    rejected = judged.filter((F.col("lang") == "und") | (F.col("text_lang") == "und")).select(row).distinct()
     return less(docs, scratch.land(rejected, "stage-rejected"))
 
 
@@ -60,44 +60,49 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each class of near duplicates: the one of smallest number.
 
     A null number comes last. Of equal numbers the least identity stays, of equal rows one.
+    Other columns may have any name.
     """
     scratch = Scratch()
-    found = simhash.near_duplicates(identified(docs), [ROW, "doc_id"], scratch)
-    ranked = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)
+    own, row = identified(docs)
+    found = simhash.near_duplicates(own, [row, "doc_id"], scratch).toDF("row", "doc_id", "fp", "component")
+    ranked = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     kept = scratch.land(
-        found.groupBy("component").agg(F.min(ranked).alias("first")).select(F.col(f"first.{ROW}").alias("kept")),
+        found.groupBy("component").agg(F.min(ranked).alias("first")).select(F.col("first.row").alias(row)),
         "stage-kept",
     )
-    own = identified(docs)
-    # Joined by identity, rows of one identity lie together: all but one of them go.
-    again = Window.partitionBy(ROW).orderBy(ROW)
-    return (
-        own.join(kept, own[ROW] == kept["kept"])
-        .withColumn("__again", F.row_number().over(again))
-        .filter("__again = 1")
-        .select(*docs.columns)
-    )
+    # Rows of one identity collapse before they are shuffled, so that copies of a text, be they
+    # a third of all rows, come together as one row of each task.
+    return own.dropDuplicates([row]).join(kept, row, "left_semi").select(*named(docs))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     scratch = Scratch()
     benchmark = queries.table(spark, sf_dir, "benchmark")
-    found = decontam.contaminated(identified(docs), benchmark, scratch, [ROW])
-    return less(docs, scratch.land(found.select(ROW).distinct(), "stage-leaks"))
+    own, row = identified(docs)
+    found = decontam.contaminated(own, benchmark, scratch, [row])
+    return less(docs, scratch.land(found.select(row).distinct(), "stage-leaks"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents the mix takes, each as often as it takes it."""
+    """The documents the mix takes, each as often as it takes it.
+
+    Rows of one identity and source share their decision; in another source it may be another.
+    Other columns may have any name.
+    """
     scratch = Scratch()
-    taken = mixing.mix(docs, scratch, ["doc_id"]).select(F.col("hash").alias(ROW), "times")
-    # Rows of one identity and source share their decision; of several sources, the first's holds.
-    decided = scratch.land(taken.groupBy(ROW).agg(F.max("times").alias("__times")).filter("__times > 0"), "stage-mix")
+    row, source, times = (unused(docs, n) for n in ("row", "source", "times"))
+    taken = mixing.mix(docs, scratch, ["doc_id"]).select(
+        F.col("hash").alias(row), F.col("source").alias(source), F.col("times").alias(times)
+    )
+    decided = scratch.land(
+        taken.groupBy(row, source).agg(F.max(times).alias(times)).filter(F.col(times) > 0), "stage-mix"
+    )
+    identity = mixing.row_hash(F.col("doc_id"), F.col("text"))
     return (
-        identified(docs)
-        .join(decided, ROW)
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))))
-        .select(*docs.columns)
+        docs.join(decided, (identity == F.col(row)) & F.col("source").eqNullSafe(F.col(source)))
+        .withColumn(unused(docs, "copy"), F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
+        .select(*named(docs))
     )
 
 
