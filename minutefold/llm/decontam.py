@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from minutefold.llm.work import Scratch
 
-#: Hashed words: 16 bits as they are compared, TERMS of them as columns of the matrix.
+#: Hashed words: 16 bits as they are looked up, TERMS of them as columns of the matrix. What is
+#: found is verified on the words themselves.
 TERMS = 1 << 14
 #: Words of a passage, a row of the matrix; latent dimensions, and directions drawn beyond them.
 PASSAGE, RANK, MORE = 32, 40, 8
@@ -53,19 +54,24 @@ _SENTENCE_ENDS = re.compile("[.!?\u3002\uff01\uff0e\uff1f\uff61\u0f0d\u104b\u17d
 _MAY_BE_UNSPACED = re.compile(b"[\xe0\xe1\xe3-\xea\xef\xf0]|\xe2[\xba-\xbf]")
 
 
-def word_ids(text: str | None) -> np.ndarray:
-    """The text's words, hashed to 16 bits: runs of ASCII letters and digits, A-Z in lower
-    case, and of other signs beyond ASCII; each sign of a script without spaces is a word."""
+def split_words(text: str | None) -> list[bytes]:
+    """The text's words: runs of ASCII letters and digits, A-Z in lower case, and of other signs
+    beyond ASCII; each sign of a script without spaces is a word."""
     raw = (text or "").encode()
     if not raw.isascii() and _MAY_BE_UNSPACED.search(raw):
         raw = _UNSPACED.sub(r" \g<0> ", _STOPS.sub(" ", text)).encode()
-    words = raw.translate(_LOWER).split()
+    return raw.translate(_LOWER).split()
+
+
+def word_ids(text: str | None) -> np.ndarray:
+    """The words hashed to 16 bits."""
+    words = split_words(text)
     return np.fromiter(map(zlib.crc32, words), np.uint32, len(words)).astype(np.uint16)
 
 
-def lcs(item: list[int], words: list[int]) -> int:
+def lcs(item: list, words: list) -> int:
     """Length of the longest common subsequence, a whole row of the table per word."""
-    places: dict[int, int] = {}
+    places: dict = {}
     for i, w in enumerate(item):
         places[w] = places.get(w, 0) | 1 << i
     full = row = (1 << len(item)) - 1
@@ -77,6 +83,11 @@ def lcs(item: list[int], words: list[int]) -> int:
     return len(item) - row.bit_count()
 
 
+def shares(item: list, answer: list, words: list) -> tuple[float, float]:
+    """Of item and answer, how much is in the words in order."""
+    return lcs(item, words) / len(item), lcs(answer, words) / len(answer)
+
+
 def _laid(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Texts end to end, each filled up with NONE to whole passages; where they begin and end."""
     lengths = np.array([len(t) for t in texts])
@@ -264,7 +275,8 @@ def contaminated(
     sentences, as many as have five words, or its last five words if it has one sentence - at
     least ``answer`` of the answer. At least ``sure`` of the item needs no answer. An item of
     fewer than SHORT words that stands in a text word by word is found whatever its cosine,
-    which is then given as that of the words themselves, 1.
+    which is then given as that of the words themselves, 1. All of this is looked up with
+    hashed words; then every place that was found is checked on the words of text and item.
 
     ``items`` is the benchmark, of a size that fits a task. A null or wordless text or item
     matches nothing. Repeated rows give repeated results, as do items of equal texts; an
@@ -274,17 +286,20 @@ def contaminated(
     found = sorted(listed.collect(), key=lambda r: (str(r["k"]), r["t"]))
     item_words = [word_ids(r["t"]) for r in found]
     found, item_words = [f for f, w in zip(found, item_words, strict=True) if len(w)], [w for w in item_words if len(w)]
-    answers = [_answer(r["t"]) for r in found]
-    names = [None if r["k"] is None else str(r["k"]) for r in found]
+    true_words, true_answers = [split_words(r["t"]) for r in found], [_answer(r["t"]) for r in found]
+    answers = [np.fromiter(map(zlib.crc32, a), np.uint32, len(a)).astype(np.uint16) for a in true_answers]
+    names_of = [None if r["k"] is None else str(r["k"]) for r in found]
 
     @F.pandas_udf("binary")
     def hashed(texts: pd.Series) -> pd.Series:
         return pd.Series([word_ids(t).tobytes() for t in texts], dtype=object)
 
+    # A text's own name: two hashes, 96 bits.
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    own_name = [F.xxhash64(whole).alias("name"), F.hash(whole).alias("name2")]
     rows = scratch.land(
         df.select(
-            *[F.col(f"`{c}`").alias(f"key{i}") for i, c in enumerate(key)],
-            hashed(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("words"),
+            *[F.col(f"`{c}`").alias(f"key{i}") for i, c in enumerate(key)], *own_name, hashed(whole).alias("words")
         ),
         "decontam-words",
     )
@@ -368,40 +383,38 @@ def contaminated(
                 for number in having[pair % len(table)]:
                     yield pair // len(table), number
 
-    def look_up(ids: np.ndarray, first: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], tuple[float, float, float]]:
-        """(text, item) to overlap, overlap of the answer, and cosine."""
-        out: dict[tuple[int, int], tuple[float, float, float]] = dict.fromkeys(verbatim(ids, first, ends), (1.0, 1.0, 1.0))
+    def look_up(ids: np.ndarray, first: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], list[tuple]]:
+        """(text, item) to the places where the item may be: first word, end, cosine; and whether
+        it stands there word by word, wherever that is."""
+        out: dict[tuple[int, int], list[tuple]] = {pair: [(-1, -1, 1.0)] for pair in verbatim(ids, first, ends)}
+        whole_ones = set()
         for wide, starts, texts, found_probes, near in candidates(ids, first):
             some = probes[wide]
             for s, t, probe, c in zip(starts.tolist(), texts.tolist(), found_probes.tolist(), near.tolist(), strict=True):
                 number, offset = some[probe].item, some[probe].offset
-                before = out.get((t, number), (0.0, 0.0, 0.0))
-                if before[0] == 1.0:
+                if (t, number) in whole_ones:
                     continue
                 low = max(first[t], s - offset - wide // 2)
                 high = min(ends[t], s - offset + max(wide, len(item_words[number])) + wide // 2)
-                words = ids[low:high].tolist()
-                item = item_words[number].tolist()
-                share = lcs(item, words) / len(item)
-                if share >= least and share > before[0]:
-                    last = answers[number].tolist()
-                    kept = lcs(last, words) / len(last)
-                    if kept >= answer or share >= sure:
-                        out[t, number] = (share, kept, float(c))
+                share, kept = shares(item_words[number].tolist(), answers[number].tolist(), ids[low:high].tolist())
+                if share >= least and (kept >= answer or share >= sure):
+                    out.setdefault((t, number), []).append((int(low - first[t]), int(high - first[t]), float(c)))
+                    if share == 1.0 and len(item_words[number]) >= 4:
+                        whole_ones.add((t, number))  # 64 bits and more are equal: no other place is better
         return out
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys = [f"key{i}" for i in range(len(key))]
         overlap = 4 * WINDOWS[-1] + max([len(w) for w in item_words], default=0)
         for batch in batches:
-            best: dict[tuple[int, int], tuple[float, float, float]] = {}
-            held, numbers, size = [], [], 0
+            places: dict[tuple[int, int], list[tuple]] = {}
+            held, parts, size = [], [], 0
 
-            def flush(held: list, numbers: list, best: dict) -> None:
+            def flush(held: list, parts: list, places: dict) -> None:
                 if held:
-                    for (t, number), value in look_up(*_laid(held)).items():
-                        at = numbers[t], number
-                        best[at] = max(best.get(at, value), value)
+                    for (t, number), found in look_up(*_laid(held)).items():
+                        row, at = parts[t]
+                        moved = [(low, high, c) if low < 0 else (low + at, high + at, c) for low, high, c in found]
+                        places.setdefault((row, number), []).extend(moved)
 
             for i, raw in enumerate(batch["words"]):
                 words = np.frombuffer(raw, np.uint16)
@@ -409,37 +422,67 @@ def contaminated(
                 for at in range(0, len(words), CHUNK):
                     part = words[at : at + CHUNK + overlap]
                     if size + len(part) > CHUNK:
-                        flush(held, numbers, best)
-                        held, numbers, size = [], [], 0
+                        flush(held, parts, places)
+                        held, parts, size = [], [], 0
                     held.append(part)
-                    numbers.append(i)
+                    parts.append((i, at))
                     size += len(part)
-            flush(held, numbers, best)
-            hits = sorted(best)
-            out = batch[keys].iloc[[i for i, _ in hits]].reset_index(drop=True)
-            out["item"] = pd.Series([names[n] for _, n in hits], dtype=object)
-            for j, name in enumerate(("overlap", "answer_overlap", "cosine")):
-                out[name] = pd.Series([best[h][j] for h in hits], dtype=float)
+            flush(held, parts, places)
+            hits = sorted(places)
+            out = batch[carried].iloc[[i for i, _ in hits]].reset_index(drop=True)
+            out["item"] = pd.Series([names_of[n] for _, n in hits], dtype=object)
+            out["number"] = pd.Series([n for _, n in hits], dtype="int32")
+            out["places"] = pd.Series([[[float(x) for x in p] for p in sorted(set(places[h]))] for h in hits], dtype=object)
             yield out
 
+    def verified(text: str, number: int, places: list) -> tuple[float, float, float] | None:
+        """The best of the places by the words themselves."""
+        words, item, own = split_words(text), true_words[number], true_answers[number]
+        best = None
+        for low, high, c in places:
+            if low < 0:
+                joined = b" ".join([b"", *words, b""])
+                found = (1.0, 1.0, 1.0) if b" ".join([b"", *item, b""]) in joined else (0.0, 0.0, 0.0)
+            else:
+                found = (*shares(item, own, words[int(low) : int(high)]), c)
+            if found[0] >= least and (found[1] >= answer or found[0] >= sure):
+                best = max(best or found, found)
+        return best
+
+    @F.pandas_udf("array<double>")
+    def check(texts: pd.Series, numbers: pd.Series, places: pd.Series) -> pd.Series:
+        return pd.Series([verified(t, n, p) for t, n, p in zip(texts, numbers, places, strict=True)], dtype=object)
+
     types = dict(rows.dtypes)
-    fields = [f"key{i} {types[f'key{i}']}" for i in range(len(key))]
-    hits = rows.mapInPandas(search, ", ".join([*fields, "item string, overlap double, answer_overlap double, cosine double"]))
-    return hits.select(
+    carried = [*[f"key{i}" for i in range(len(key))], "name", "name2"]
+    fields = [f"{c} {types[c]}" for c in carried]
+    hits = scratch.land(
+        rows.mapInPandas(search, ", ".join([*fields, "item string, number int, places array<array<double>>"])), "decontam-hits"
+    )
+    # Each different text that was hit comes once, from a second scan.
+    names = hits.select("name", "name2").distinct()
+    texts = df.select(whole.alias("t"), *own_name).join(names, ["name", "name2"]).dropDuplicates(["name", "name2"])
+    found = (
+        hits.join(texts, ["name", "name2"])
+        .withColumn("found", check("t", "number", "places"))
+        .select(*carried, "item", "found")
+    )
+    kept = scratch.land(found.filter("found IS NOT NULL"), "decontam-found")
+    return kept.select(
         *[F.col(f"key{i}").alias(c) for i, c in enumerate(key)],
         F.col("item").cast(items.schema[item_key].dataType if item_key in items.columns else T.StringType()).alias("item"),
-        "overlap",
-        "answer_overlap",
-        "cosine",
+        F.col("found")[0].alias("overlap"),
+        F.col("found")[1].alias("answer_overlap"),
+        F.col("found")[2].alias("cosine"),
     )
 
 
-def _answer(text: str) -> np.ndarray:
+def _answer(text: str) -> list[bytes]:
     """Words of the last sentences, as many as have five words; the last five of a text of one."""
-    sentences = [w for w in (word_ids(s) for s in _SENTENCE_ENDS.split(text)) if len(w)]
+    sentences = [w for w in (split_words(s) for s in _SENTENCE_ENDS.split(text)) if w]
     if len(sentences) == 1:
         return sentences[0][-5:]
     words = sentences.pop()
     while sentences and len(words) < 5:
-        words = np.concatenate([sentences.pop(), words])
+        words = sentences.pop() + words
     return words

@@ -152,3 +152,32 @@ def test_decomposition_spans_the_leading_directions(spark):
     same = embed(rng.choice(topics[0], 400)) @ embed(rng.choice(topics[0], 400))
     other = embed(rng.choice(topics[0], 400)) @ embed(rng.choice(topics[1], 400))
     assert same > 0.9 and abs(other) < 0.5
+
+
+def test_words_of_equal_hashes_are_told_apart(spark):
+    """Of 16-bit hashes many words share one; none of these texts holds an item."""
+    by_hash, pairs = {}, []
+    for i in range(200_000):
+        code = int(decontam.word_ids(f"w{i}")[0])
+        if code in by_hash and len(pairs) < 60:
+            pairs.append((by_hash.pop(code), f"w{i}"))
+        else:
+            by_hash.setdefault(code, f"w{i}")
+    a, b = [p[0] for p in pairs], [p[1] for p in pairs]
+    assert ("w94", "w6800") in pairs
+    items = [(1, a[0]), (2, " ".join(a[:3])), (3, " ".join(a[:20])), (4, " ".join(a))]
+    texts = [b[0], " ".join(b[:3]), " ".join(b[:20]), " ".join(b), "x w6800 y", " ".join(a), f"x {a[0]} y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = decontam.contaminated(docs, spark.createDataFrame(items, "item_id long, text string"), Scratch(), ["doc_id"])
+    assert {(r.doc_id, r.item) for r in found.collect()} == {(5, 1), (5, 2), (5, 3), (5, 4), (6, 1)}
+
+
+def test_an_item_behind_a_false_place_is_found(spark):
+    """A place that only hashes agree on does not hide the true one further on."""
+    rng = random.Random(9)
+    words = [f"v{rng.randrange(10**6)}" for _ in range(24)]
+    text = ["lead"] * 50 + words[:12] + ["gap"] * 400 + words + ["tail"] * 70_000
+    docs = spark.createDataFrame([(1, " ".join(text)), (2, " ".join(text[:60]))], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    found = decontam.contaminated(docs, items, Scratch(), ["doc_id"]).collect()
+    assert [(r.doc_id, r.item, r.overlap) for r in found] == [(1, 7, 1.0)]
