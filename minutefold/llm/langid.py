@@ -243,15 +243,30 @@ def identify(
     )
 
 
-#: Markup without a reading: scripts, styles, comments, tags, character references.
-_MARKUP = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;"
+def _cut(text: Column, opens: str, closes: str) -> Column:
+    """The text less every stretch from an opening pattern to the next closing one.
+
+    Split at the ends, so that each piece is looked at once: a pattern over the whole stretch
+    reads to the end of the text from every beginning that has no end.
+    """
+    pieces = F.split(text, closes)
+    count = F.size(pieces)
+    kept = F.transform(F.slice(pieces, 1, F.greatest(count - 1, F.lit(0))), lambda p: F.regexp_replace(p, f"(?s){opens}.*", " "))
+    return F.concat(F.array_join(kept, " "), F.when(count > 1, F.lit(" ")).otherwise(F.lit("")), F.element_at(pieces, -1))
+
+
+def _readable(markup: Column) -> Column:
+    """Markup less scripts, styles, comments, tags and character references, in linear time."""
+    for name in ("script", "style"):
+        markup = _cut(markup, rf"(?i)<{name}\b[^<>]*>", rf"(?i)</{name}\s*+>")
+    return F.regexp_replace(_cut(markup, "<!--", "-->"), r"<[^<>]*+>|&#?+\w++;", " ")
 
 
 def page_evidence(html: str = "html", url: str = "url") -> dict[str, Column]:
     """Text, declared language and host of a raw page, as arguments of ``identify``."""
     markup = F.col(f"`{html}`")
     return {
-        "text": F.regexp_replace(markup, _MARKUP, " "),
-        "declared": F.regexp_extract(markup, r"""(?is)<html\b[^>]*?\slang\s*=\s*["']?([a-z]{2,3})""", 1),
+        "text": _readable(markup),
+        "declared": F.regexp_extract(markup, r"""(?is)<html\b[^<>]*?\slang\s*+=\s*+["']?([a-z]{2,3})""", 1),
         "host": host_of(F.col(f"`{url}`")),
     }

@@ -86,3 +86,34 @@ def test_empty_tables(spark):
 def test_very_long_text(spark, model):
     text = "the of and thing that ation " * 100_000
     assert model.languages[int(model.score(text.encode()).argmax())] == "en"
+
+
+def test_broken_markup_takes_linear_time(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    mega = 1 << 20
+    bad = ["<" * mega, "<!--" * (mega // 4), "<script>" * (mega // 8), "<style " * (mega // 7), "<html " * (mega // 6)]
+    bad += ["&" * mega, "&a" * (mega // 2), "</script " + " " * mega, "<html lang" + " " * mega, "-->" * (mega // 3)]
+    pages = spark.createDataFrame([(i, t, "http://a.b/") for i, t in enumerate(bad)], "page_id long, html string, url string")
+    read = langid.page_evidence()
+    start = time.time()
+    assert pages.select(*[c.alias(n) for n, c in read.items()]).agg(F.sum(F.length("text")), F.max("declared")).count() == 1
+    pages.select(*[c.alias(n) for n, c in read.items()]).write.format("noop").mode("overwrite").save()
+    assert time.time() - start < 20
+
+
+def test_readable_text(spark):
+    pages = {
+        "a<b>c</b>d": "a c d",
+        "x<script>var a = '<p>';</script>y<SCRIPT src=1>z</Script >w": "x y w",
+        "a<!-- <p> -- > -->b<!--c-->d-->e": "a b d e",
+        "<style>p{}</style>k &amp; l&#39;m <p": "k l m <p",
+        "no end <script>kept": "no end kept",
+        "1 < 2 and <!-- no end": "1 < 2 and <!-- no end",
+        "": "",
+    }
+    df = spark.createDataFrame([(h, "http://a.b/") for h in pages], "html string, url string")
+    got = {r[0]: " ".join(r[1].split()) for r in df.select("html", langid.page_evidence()["text"]).collect()}
+    assert got == pages
