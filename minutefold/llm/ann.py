@@ -223,8 +223,8 @@ def nearest(
     of ``BAND``, has its own graph, every vector is in one, and each block of queries is walked through each graph; the shards'
     findings are merged. Vectors that are null, zero, or hold null or non-finite components
     take no part, nor do null keys, or vectors of another size than the most frequent one, the
-    smallest of several. Rows equal in key are each in the
-    result, but none is its own query's neighbour. Only the named columns are read.
+    smallest of several. Of rows equal in key each is a query of its own, with its own neighbours,
+    and none is a neighbour of another. Only the named columns are read.
     """
     item = F.col(f"`{vector}`").cast("array<double>")
     usable = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -237,7 +237,8 @@ def nearest(
             "norm",
             F.col("most") * F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / F.col("most")) * (x / F.col("most")))),
         )
-        .drop("most"),
+        .drop("most")
+        .withColumn("row", F.monotonically_increasing_id()),
         "ann-rows",
     )
     usual = rows.groupBy(F.size("v").alias("dims")).count().orderBy(F.col("count").desc(), "dims").first()
@@ -296,7 +297,7 @@ def nearest(
     )
 
     def walk(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        columns = {"query_id": [], "vec_id": [], "score": []}
+        columns = {"query_row": [], "query_id": [], "vec_id": [], "score": []}
         if len(left) and len(right):
             row = left.iloc[0]
             exact = np.frombuffer(row["vectors"], np.float64).reshape(-1, dims)
@@ -320,6 +321,7 @@ def nearest(
                 score = np.take_along_axis(score, order, axis=1)
                 hits = np.take_along_axis(hits, order, axis=1)
                 real = score > -np.inf
+                columns["query_row"].append(np.repeat(part["row"].to_numpy(np.int64), real.sum(axis=1)))
                 columns["query_id"].append(np.repeat(asked, real.sum(axis=1)))
                 columns["vec_id"].append(hits[real])
                 columns["score"].append(score[real])
@@ -336,9 +338,9 @@ def nearest(
         index.withColumn("block", every_block)
         .groupBy("shard", "block")
         .cogroup(asked.groupBy("shard", "block"))
-        .applyInPandas(walk, "query_id long, vec_id long, score double")
+        .applyInPandas(walk, "query_row long, query_id long, vec_id long, score double")
     )
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= top)

@@ -78,3 +78,23 @@ def test_few_rows(spark, folder, rows):
     spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int" if not rows else "vec_id long, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
     got = queries.op6_hnsw_shards(spark, folder).collect()
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == ([(0, 1, 7, 4.0)] if len(rows) == 2 else [])
+
+
+def test_queries_of_one_key_keep_their_own_neighbours(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(1, 200)]
+    twins = [(20, rng.normal(size=8).tolist()), (20, rng.normal(size=8).tolist())]
+    rows = [r for r in rows if r[0] != 20] + twins + [(40, rows[39][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, Scratch()).collect():
+        got.setdefault((r.query_id, r.rank), []).append((r.vec_id, round(r.score, 9)))
+    for query in (20, 40):
+        own = [v for i, v in rows if i == query]
+        lists = []
+        for v in own:
+            scored = sorted((-float(np.dot(v, w)), i) for i, w in rows if i != query)
+            lists.append([(i, round(-s, 9)) for s, i in scored[:20]])
+        for rank in range(1, 21):
+            assert sorted(got[query, rank]) == sorted(found[rank - 1] for found in lists)
+        assert (query, 21) not in got

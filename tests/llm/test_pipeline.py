@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
 from minutefold.llm import decontam, queries, simhash
 from minutefold.llm.work import Scratch
@@ -83,3 +85,39 @@ def test_only_leaks_go(spark, folder):
     docs = spark.createDataFrame([*rows, leak, leak, (None, leak[1], "en", "s", 1)], DOCS)
     assert rows_of(cp.decontaminate(spark, docs, folder)) == Counter(rows)
     assert len(decontam.word_ids(bench[0][1])) == 16
+
+
+def test_one_identity_in_two_sources_is_mixed_by_source(spark):
+    """Copies of a row under two sources are taken as often as each source says."""
+    small = [(i, f"w{i} x y z", "en", "s3", 1) for i in range(4)]
+    large = [(100 + i, f"v{i} x y z", "en", "s1", 1) for i in range(40)]
+    rows = [*small, *large, (7, "both of them here", "en", "s1", 1), (7, "both of them here", "en", "s3", 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    mixed = queries.mixing.mix(docs, Scratch(), ["doc_id"]).select("doc_id", "source", "times").distinct().collect()
+    want = Counter({(r.doc_id, r.source): r.times for r in mixed if r.times})
+    out = cp.mix_sources(spark, docs, SF)
+    assert Counter((r.doc_id, r.source) for r in out.collect()) == want
+    assert want[7, "s1"] != want[7, "s3"]
+
+
+CLASHING = ("kept", "__times", "__row", "row", "times", "hash", "threshold", "component", "__copy", "fp", "first")
+
+
+def test_columns_of_any_name_pass_through(spark):
+    """Every stage but the last returns the columns it got, whatever they are called."""
+    docs = queries.table(spark, SF, "documents").limit(60)
+    for name in CLASHING:
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    docs = Scratch().land(docs, "clashing")
+    for name, stage in cp.STAGES[:-1]:
+        docs = Scratch().land(stage(spark, docs, SF), name)
+        assert docs.count() > 0
+        for c in CLASHING:
+            assert docs.filter(F.col(f"`{c}`") != F.concat(F.lit(c), F.col("doc_id").cast("string"))).isEmpty()
+    assert cp.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_copies_of_one_row_leave_one(spark):
+    rows = [(5, "many copies of a text", "en", "s", 1)] * 400 + [(9, "another one that is alone", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(8)
+    assert sorted(r.doc_id for r in cp.drop_near_duplicates(spark, docs, SF).collect()) == [5, 9]
