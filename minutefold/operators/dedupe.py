@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -21,10 +22,17 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def heal_by_key(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+def heal_by_key(df: DataFrame, keys: list[str], cols: list[str], collation: str | None = None) -> DataFrame:
     """One row per key with the greatest value of each column on its own.
 
     Nulls are skipped, so a value missing in one duplicate is healed from another;
-    the columns of a result row may come from different input rows.
+    the columns of a result row may come from different input rows. Text is compared by
+    its bytes, or in the order of a collation such as ``UNICODE`` or ``de``.
     """
-    return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols])
+
+    def greatest(c: str) -> Column:
+        if not collation or not isinstance(df.schema[c].dataType, T.StringType):
+            return F.max(c)
+        return F.max(F.collate(F.col(c), collation)).cast("string")
+
+    return df.groupBy(*keys).agg(*[greatest(c).alias(c) for c in cols])

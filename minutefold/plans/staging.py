@@ -24,10 +24,10 @@ def raw_biometrics(
     )
 
 
-def stg_heroes(raw: DataFrame) -> DataFrame:
-    """One row per hero, the name reduced to letters and digits."""
+def stg_heroes(raw: DataFrame, collation: str | None = None) -> DataFrame:
+    """One row per hero, the name reduced to letters and digits; see ``heal_by_key``."""
     named = drop_null_keys(raw, ["hero_id"]).withColumn("name", normalise_text(F.col("name")))
-    return heal_by_key(named, ["hero_id"], ["name", "alter_ego", "first_appearance"])
+    return heal_by_key(named, ["hero_id"], ["name", "alter_ego", "first_appearance"], collation)
 
 
 def stg_missions(raw: DataFrame, on_bad: str = "error") -> DataFrame:

@@ -332,6 +332,17 @@ def heal_keys(t):
     return heal_by_key(dirty, ["o_custkey"], ["priority", "status", "price"])
 
 
+@query(
+    """WITH mixed AS (SELECT p_brand, p_size, CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) ELSE p_name END AS name FROM part)
+    SELECT p_brand, max({'folded': lower(name), 'capital': name = upper(name), 'name': name}).name AS name,
+           max(p_size) AS p_size FROM mixed GROUP BY p_brand"""
+)
+def heal_keys_in_locale_order(t):
+    """Names of small letters and capitals: in a locale the case decides between equal words only."""
+    name = F.when(F.col("p_partkey") % 2 == 0, F.upper("p_name")).otherwise(F.col("p_name"))
+    return heal_by_key(t.part.withColumn("name", name), ["p_brand"], ["name", "p_size"], collation="UNICODE")
+
+
 @query("SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
 def distinct_lines(t):
     return distinct_rows(t.lineitem.select("l_orderkey", "l_linenumber"))

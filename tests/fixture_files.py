@@ -7,12 +7,14 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 HEROES = """hero_id,name,alter_ego,first_appearance
-H-4,The Lantern Moth,Orla Finch,1971-03-14
-I-2,Copper Jay,Milo Brandt,1980-06-02
-I-2,,Milo Brandt,1980-06-02
-S-5,TIDE-WALKER,Ines Okafor,1975-09-21
-,tidewalker,Ines Okafor,1975-09-21
-P-9,Night Heron,N'Dara,1969-11-30
+,grey otter,Sanna Virtala,2003-05-05
+kx12,Grey-Otter!,Sanna Virtala,
+kx07,MR. PAPERWEIGHT,"Jo ""Stapler"" Lund",1998-10-01
+kx31,Ökonom,,2010-02-28
+kx44,Ninety 9,N/A,1986-07-07
+kx12,,,2003-05-05
+kx31,Ökonom,Ruth Abara,2011-02-28
+kx31,,Ruth Abara,2011-02-28
 """
 
 
@@ -30,22 +32,24 @@ def mission(mission_id, heroes, location, timestamp, outcome, damage=None):
 
 
 MISSIONS = [
-    mission("M-001", ["H-4", "I-2"], "Port Amsel", "2025-01-01T00:01:30+00:00", "Successful", (12000, 3)),
-    mission("M-002", ["S-5"], None, "2024-12-31T19:03:00-05:00", "Lost", (-40, 0)),
-    mission("M-002", ["S-5"], None, "2025-01-01T00:03:00+00:00", "Lost", (-40, 0)),
-    mission("M-003", ["I-2"], "Vell", "2025-01-01T05:00:00+00:00", "Successful"),
-    mission("M-004", [], "Karsk", "2025-01-01T00:02:00+00:00", "Even", (1, 1)),
-    mission(None, ["H-4"], "Port Amsel", "2025-01-01T00:00:00+00:00", "Even", (1, 1)),
-    mission("M-005", ["Z-99"], "Port Amsel", "2025-01-01T00:01:00+00:00", "Successful", (500, 0)),
+    mission(None, ["kx07", "kx12"], None, "2025-01-01T00:00:00Z", "Successful", (9, 9)),
+    mission("op-20", ["kx07"], "Harbour 9", "2025-01-01T01:04:10+01:00", "Compromised", (10000, 2)),
+    mission("op-21", ["kx44", "kx07", "ghost"], "Ring Road", "2025-01-01T00:03:59.500Z", "Successful", (31000, 0)),
+    mission("op-22", None, "Quarry", "2025-01-01T00:01:00+00:00", "Failed", (1, 1)),
+    mission("op-23", ["kx31"], None, "2025-01-01T05:47:00+05:45", "Abandoned", (-7, 3)),
+    mission("op-24", ["kx12"], "Ring Road", "2025-01-01T09:30:00+00:00", "Successful"),
+    mission("op-23", ["kx31"], None, "2024-12-31T18:02:00-06:00", "Abandoned", (-7, 3)),
+    mission("op-25", ["kx44"], "Mill", "2025-01-01T00:05:30+00:00", "Failed", (12500, 1)),
 ]
 
 READINGS = [
-    ("00:00:05", "H-4", 80.0, 1.0, 100),
-    ("00:00:50", "H-4", None, 2.0, 200),
-    ("00:03:10", "H-4", 90.0, 3.0, 300),
-    ("00:01:00", "I-2", None, 4.0, 400),
-    ("00:03:59", "S-5", 70.0, 9.0, 50),
-    ("00:01:30", None, 70.0, 5.0, 500),
+    ("00:02:00", "kx07", None, 2.5, 40),
+    ("00:02:20", "kx07", 64.0, 3.5, 60),
+    ("00:02:41", "kx31", 71.0, 8.0, 90),
+    ("00:02:59", None, 70.0, 5.0, 500),
+    ("00:04:59", "kx07", 66.0, 1.0, 30),
+    ("00:05:00", "kx44", None, 6.0, 700),
+    ("00:06:30", "kx07", 61.0, 4.0, 10),
 ]
 
 
@@ -73,7 +77,7 @@ def write_readings(path, rows, unit="ns", day=1):
 
 
 def write_inputs(folder, heroes=HEROES, missions=MISSIONS, readings=READINGS, unit="ns", day=1):
-    with open(f"{folder}/heroes.csv", "w") as f:
+    with open(f"{folder}/heroes.csv", "w", encoding="utf-8") as f:
         f.write(heroes)
     with open(f"{folder}/mission_logs.json", "w") as f:
         json.dump(missions, f, indent=4)

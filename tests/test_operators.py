@@ -141,7 +141,7 @@ def one(spark, value, column, kind="string"):
 
 @pytest.mark.parametrize(
     ("text", "want"),
-    [("The Lantern Moth", "thelanternmoth"), ("N'Dara-1 é", "ndara1é"), ("***", ""), (None, None)],
+    [("Mr. Paper-Weight", "mrpaperweight"), ("Ö'Konom_1 é", "ökonom1é"), ("***", ""), (None, None)],
 )
 def test_normalise_text(spark, text, want):
     assert one(spark, text, normalise_text) == want
@@ -359,3 +359,12 @@ def test_partitions_follow_the_spans(spark):
     bins = spark.createDataFrame([("a", 0), ("a", 3 * TASK_BINS), ("b", 7)], "k string, i long")
     assert tasks_for(bins, ["k"], "i") == 4
     assert tasks_for(bins.limit(0), ["k"], "i") == 1
+
+
+def test_heal_by_key_in_locale_order(spark):
+    """Byte order puts every capital before every small letter; a locale does not."""
+    df = spark.createDataFrame([(1, "Zeta", 2), (1, "alpha", 3), (2, None, 1), (2, "é", 9), (2, "f", 4)], "k int, t string, n int")
+    assert rows(heal_by_key(df, ["k"], ["t", "n"]), "k") == [(1, "alpha", 3), (2, "é", 9)]
+    healed = heal_by_key(df, ["k"], ["t", "n"], collation="UNICODE")
+    assert rows(healed, "k") == [(1, "Zeta", 3), (2, "f", 9)]
+    assert healed.dtypes == df.select("k", "t", "n").dtypes

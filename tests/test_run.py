@@ -32,32 +32,36 @@ def first(request, spark):
 def test_staging(first):
     layers, _ = first
     staged = layers.staged()
-    assert rows(staged["stg_heroes"].select("hero_id", "name", "alter_ego"), "hero_id") == [
-        ("H-4", "thelanternmoth", "Orla Finch"),
-        ("I-2", "copperjay", "Milo Brandt"),
-        ("P-9", "nightheron", "N'Dara"),
-        ("S-5", "tidewalker", "Ines Okafor"),
+    assert rows(staged["stg_heroes"].select("hero_id", "name", "alter_ego", "first_appearance"), "hero_id") == [
+        ("kx07", "mrpaperweight", 'Jo "Stapler" Lund', "1998-10-01"),
+        ("kx12", "greyotter", "Sanna Virtala", "2003-05-05"),
+        ("kx31", "ökonom", "Ruth Abara", "2011-02-28"),
+        ("kx44", "ninety9", None, "1986-07-07"),
     ]
     missions = rows(
         staged["stg_missions"].select("mission_id", "hero_id", "timestamp", "structural_damage"),
         "mission_id",
         "hero_id",
     )
+    risky = clock("00:03:59").replace(microsecond=500_000)
     assert missions == [
-        ("M-001", "H-4", clock("00:01:30"), "12000"),
-        ("M-001", "I-2", clock("00:01:30"), "12000"),
-        ("M-002", "S-5", clock("00:03"), "-40"),
-        ("M-003", "I-2", clock("05:00"), None),
-        ("M-005", "Z-99", clock("00:01"), "500"),
+        ("op-20", "kx07", clock("00:04:10"), "10000"),
+        ("op-21", "ghost", risky, "31000"),
+        ("op-21", "kx07", risky, "31000"),
+        ("op-21", "kx44", risky, "31000"),
+        ("op-23", "kx31", clock("00:02"), "-7"),
+        ("op-24", "kx12", clock("09:30"), None),
+        ("op-25", "kx44", clock("00:05:30"), "12500"),
     ]
     biometrics = rows(staged["stg_biometrics"], "hero_id", "timestamp")
     assert biometrics == [
-        (clock("00:00"), "H-4", 80.0, 1.5, 150.0),
-        (clock("00:01"), "H-4", None, None, None),
-        (clock("00:02"), "H-4", None, None, None),
-        (clock("00:03"), "H-4", 90.0, 3.0, 300.0),
-        (clock("00:01"), "I-2", None, 4.0, 400.0),
-        (clock("00:03"), "S-5", 70.0, 9.0, 50.0),
+        (clock("00:02"), "kx07", 64.0, 3.0, 50.0),
+        (clock("00:03"), "kx07", None, None, None),
+        (clock("00:04"), "kx07", 66.0, 1.0, 30.0),
+        (clock("00:05"), "kx07", None, None, None),
+        (clock("00:06"), "kx07", 61.0, 4.0, 10.0),
+        (clock("00:02"), "kx31", 71.0, 8.0, 90.0),
+        (clock("00:05"), "kx44", None, 6.0, 700.0),
     ]
 
 
@@ -65,7 +69,7 @@ def test_marts(first):
     models = first[0].models()
     assert models["dim_heroes"].schema["first_appearance"].dataType.simpleString() == "date"
     assert models["dim_missions_heroes"].schema["structural_damage"].dataType.simpleString() == "int"
-    assert models["fact_biometrics"].count() == 6
+    assert models["fact_biometrics"].count() == 7
 
 
 def test_wide_tables(first):
@@ -80,12 +84,13 @@ def test_wide_tables(first):
     )
     none = (None, None, None, None)
     assert by_bin == [
-        (clock("00:00"), "thelanternmoth", "H-4", *none, 80.0, 1.5, 150.0),
-        (clock("00:01"), "thelanternmoth", "H-4", "M-001", "Port Amsel", "Successful", 12000, None, None, None),
-        (clock("00:02"), "thelanternmoth", "H-4", *none, None, None, None),
-        (clock("00:03"), "thelanternmoth", "H-4", *none, 90.0, 3.0, 300.0),
-        (clock("00:01"), "copperjay", "I-2", "M-001", "Port Amsel", "Successful", 12000, None, 4.0, 400.0),
-        (clock("00:03"), "tidewalker", "S-5", "M-002", None, "Lost", -40, 70.0, 9.0, 50.0),
+        (clock("00:02"), "mrpaperweight", "kx07", *none, 64.0, 3.0, 50.0),
+        (clock("00:03"), "mrpaperweight", "kx07", "op-21", "Ring Road", "Successful", 31000, None, None, None),
+        (clock("00:04"), "mrpaperweight", "kx07", "op-20", "Harbour 9", "Compromised", 10000, 66.0, 1.0, 30.0),
+        (clock("00:05"), "mrpaperweight", "kx07", *none, None, None, None),
+        (clock("00:06"), "mrpaperweight", "kx07", *none, 61.0, 4.0, 10.0),
+        (clock("00:02"), "ökonom", "kx31", "op-23", None, "Abandoned", -7, 71.0, 8.0, 90.0),
+        (clock("00:05"), "ninety9", "kx44", "op-25", "Mill", "Failed", 12500, None, 6.0, 700.0),
     ]
     by_mission = rows(
         models["obt_missions"].select(
@@ -95,12 +100,15 @@ def test_wide_tables(first):
         "mission_id",
         F.col("hero_id").desc(),
     )
+    risky = clock("00:03:59").replace(microsecond=500_000)
     assert by_mission == [
-        (clock("00:01:30"), "copperjay", "I-2", "M-001", "Successful", 12000, None, 4.0, 400.0),
-        (clock("00:01:30"), "thelanternmoth", "H-4", "M-001", "Successful", 12000, None, None, None),
-        (clock("00:03"), "tidewalker", "S-5", "M-002", "Lost", -40, 70.0, 9.0, 50.0),
-        (clock("05:00"), "copperjay", "I-2", "M-003", "Successful", None, None, None, None),
-        (clock("00:01"), None, None, "M-005", "Successful", 500, None, None, None),
+        (clock("00:04:10"), "mrpaperweight", "kx07", "op-20", "Compromised", 10000, 66.0, 1.0, 30.0),
+        (risky, "ninety9", "kx44", "op-21", "Successful", 31000, None, None, None),
+        (risky, "mrpaperweight", "kx07", "op-21", "Successful", 31000, None, None, None),
+        (risky, None, None, "op-21", "Successful", 31000, None, None, None),
+        (clock("00:02"), "ökonom", "kx31", "op-23", "Abandoned", -7, 71.0, 8.0, 90.0),
+        (clock("09:30"), "greyotter", "kx12", "op-24", "Successful", None, None, None, None),
+        (clock("00:05:30"), "ninety9", "kx44", "op-25", "Failed", 12500, None, 6.0, 700.0),
     ]
 
 
@@ -121,10 +129,10 @@ def test_questions(first):
     models = first[0].models()
     by_bin, by_mission = models["obt_biometrics"], models["obt_missions"]
     q1a = questions.strongest_under_risk(by_bin, on_missions_only=True, nulls="first")
-    assert rows(q1a) == [("thelanternmoth", None)]
-    assert rows(questions.strongest_under_risk(by_mission)) == [("copperjay", 400.0)]
-    assert rows(questions.most_reliable(by_bin, nulls="first")) == [("copperjay", 1, 4.0)]
-    assert rows(questions.most_reliable(by_mission)) == [("copperjay", 2, 4.0)]
+    assert rows(q1a) == [("mrpaperweight", None)]
+    assert rows(questions.strongest_under_risk(by_mission)) == [("ninety9", 700.0)]
+    assert rows(questions.most_reliable(by_bin, nulls="first")) == [("mrpaperweight", 1, None)]
+    assert rows(questions.most_reliable(by_mission)) == [("greyotter", 1, None)]
     assert questions.preview(by_bin, 2).count() == 2
 
 
@@ -135,11 +143,11 @@ def test_questions_as_sql(first, spark):
         "WHERE structural_damage > 10000 "
         "GROUP BY hero_name ORDER BY e DESC NULLS LAST LIMIT 1"
     )
-    assert rows(found) == [("copperjay", 400.0)]
-    assert spark.table("marts.fact_biometrics").count() == 6
+    assert rows(found) == [("ninety9", 700.0)]
+    assert spark.table("marts.fact_biometrics").count() == 7
     assert spark.table("marts.fact_biometrics").columns[:2] == ["timestamp", "hero_id"]
     assert spark.table("stg_heroes").count() == 4
-    assert spark.table("raw.heroes").count() == 6
+    assert spark.table("raw.heroes").count() == 8
 
 
 def test_checks(first):
@@ -158,11 +166,11 @@ def test_checks(first):
 
 def test_load_metrics(first):
     loads = {s["load"]: s for s in first[1]["loads"]}
-    assert loads["heroes"]["out.rows"] == 6
-    assert loads["missions"]["out.rows"] == 7
-    assert loads["biometrics"]["in.rows"] == 6
+    assert loads["heroes"]["out.rows"] == 8
+    assert loads["missions"]["out.rows"] == 8
+    assert loads["biometrics"]["in.rows"] == 7
     assert loads["biometrics"]["in.null_hero_id"] == 1
-    assert loads["biometrics"]["out.rows"] == 6
+    assert loads["biometrics"]["out.rows"] == 7
 
 
 def test_severity_error(spark, folder):
@@ -172,18 +180,18 @@ def test_severity_error(spark, folder):
 
 
 SECOND_HEROES = """hero_id,name,alter_ego,first_appearance
-I-2,Copper-Jay II,Milo Brandt,1980-06-02
-S-5,Tide-Walker,Ines Okafor,1975-09-21
-A-10,Dust-Mote,Pim Aldous,1990-01-08
+kx58,Late-Comer,Ada Quist,2020-02-29
+kx31,Ökonom II,Ruth Abara,2011-02-28
+kx07,Mr Paperweight,Jo Lund,1998-10-01
 """
 SECOND_MISSIONS = [
-    mission("M-001", ["H-4"], "Port Amsel", "2025-01-01T00:01:30+00:00", "Even", (12000, 3)),
-    mission("M-006", ["A-10"], "Karsk", "2025-01-02T00:04:10+00:00", "Successful", (100, 0)),
+    mission("op-30", ["kx58"], "Quarry", "2025-01-02T00:07:30+00:00", "Successful", (100, 0)),
+    mission("op-21", ["kx07"], "Ring Road", "2025-01-01T00:03:59.500Z", "Failed", (31000, 0)),
 ]
 SECOND_READINGS = [
-    ("00:03:20", "H-4", 99.0, 9.0, 999),
-    ("00:04:10", "H-4", 60.0, 1.0, 10),
-    ("00:05:10", "H-4", 62.0, 1.0, 20),
+    ("00:06:10", "kx07", 99.0, 9.0, 999),
+    ("00:07:10", "kx07", 60.0, 1.0, 10),
+    ("00:08:20", "kx07", 62.0, 1.0, 20),
 ]
 
 
@@ -202,32 +210,35 @@ def test_second_run(spark, folder):
     models = layers.models()
 
     assert rows(models["dim_heroes"].select("hero_id", "name"), "hero_id") == [
-        ("A-10", "dustmote"),
-        ("H-4", "thelanternmoth"),
-        ("I-2", "copperjayii"),
-        ("P-9", "nightheron"),
-        ("S-5", "tidewalker"),
+        ("kx07", "mrpaperweight"),
+        ("kx12", "greyotter"),
+        ("kx31", "ökonomii"),
+        ("kx44", "ninety9"),
+        ("kx58", "latecomer"),
     ]
-    outcomes = models["dim_missions_heroes"].where("mission_id in ('M-001', 'M-006')")
+    outcomes = models["dim_missions_heroes"].where("mission_id in ('op-21', 'op-30')")
     assert rows(outcomes.select("mission_id", "hero_id", "outcome"), "mission_id", "hero_id") == [
-        ("M-001", "H-4", "Even"),
-        ("M-001", "I-2", "Successful"),
-        ("M-006", "A-10", "Successful"),
+        ("op-21", "ghost", "Successful"),
+        ("op-21", "kx07", "Failed"),
+        ("op-21", "kx44", "Successful"),
+        ("op-30", "kx58", "Successful"),
     ]
     fact = {s["load"]: s for s in result["loads"]}["fact_biometrics"]
     assert (fact["in.rows"], fact["out.rows"], fact["late"]) == (3, 2, 1)
-    assert models["fact_biometrics"].count() == 8
+    assert models["fact_biometrics"].count() == 9
     # The biometrics table holds the current batch only.
     assert models["obt_biometrics"].count() == 3
     # The mission table: the last loaded day again, later days added.
     found = models["obt_missions"].select("mission_date", "mission_id", "hero_name", "mission_outcome")
     assert [(str(d), *r) for d, *r in rows(found, "mission_id", "hero_name")] == [
-        ("2025-01-01", "M-001", "copperjayii", "Successful"),
-        ("2025-01-01", "M-001", "thelanternmoth", "Even"),
-        ("2025-01-01", "M-002", "tidewalker", "Lost"),
-        ("2025-01-01", "M-003", "copperjayii", "Successful"),
-        ("2025-01-01", "M-005", None, "Successful"),
-        ("2025-01-02", "M-006", "dustmote", "Successful"),
+        ("2025-01-01", "op-20", "mrpaperweight", "Compromised"),
+        ("2025-01-01", "op-21", None, "Successful"),
+        ("2025-01-01", "op-21", "mrpaperweight", "Failed"),
+        ("2025-01-01", "op-21", "ninety9", "Successful"),
+        ("2025-01-01", "op-23", "ökonomii", "Abandoned"),
+        ("2025-01-01", "op-24", "greyotter", "Successful"),
+        ("2025-01-01", "op-25", "ninety9", "Failed"),
+        ("2025-01-02", "op-30", "latecomer", "Successful"),
     ]
 
 
@@ -241,7 +252,7 @@ def test_command_line(spark, folder, capsys, monkeypatch):
     main(["--input-dir", folder, "--root", f"{folder}/lake", "--run-id", "a:b"])
     result = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert len(result["checks"]) == 18
-    assert Layers(spark, settings_for(folder, folder, "a:b")).raw_heroes.read("a~3a~b").count() == 6
+    assert Layers(spark, settings_for(folder, folder, "a:b")).raw_heroes.read("a~3a~b").count() == 8
 
 
 def test_checks_from_the_mark_on(spark, folder):
@@ -289,7 +300,7 @@ def test_no_readings_at_all(spark, folder):
     result = run(spark, settings)
     assert {s["load"]: s for s in result["loads"]}["biometrics"]["out.rows"] == 0
     models = Layers(spark, settings).models()
-    assert (models["fact_biometrics"].count(), models["obt_missions"].count()) == (0, 5)
+    assert (models["fact_biometrics"].count(), models["obt_missions"].count()) == (0, 7)
     assert questions.most_reliable(models["obt_biometrics"]).count() == 0
 
 
@@ -300,7 +311,7 @@ def test_kept_raw_is_history(spark, folder):
     settings = settings_for(folder, second_inputs(folder), "two", keep_raw=True)
     result = run(spark, settings)
     layers = Layers(spark, settings)
-    assert layers.raw_heroes.read().count() == 9
+    assert layers.raw_heroes.read().count() == 11
     fact = {s["load"]: s for s in result["loads"]}["fact_biometrics"]
     assert (fact["in.rows"], fact["out.rows"]) == (3, 2)
     assert layers.models()["obt_biometrics"].count() == 3
@@ -336,9 +347,9 @@ def test_a_failed_run_and_another_id(spark, folder, monkeypatch, step):
             run(spark, first)
     run(spark, settings_for(folder, folder, "B"))
     fact = Layers(spark, first).models()["fact_biometrics"]
-    assert (fact.count(), fact.distinct().count()) == (6, 6)
+    assert (fact.count(), fact.distinct().count()) == (7, 7)
     run(spark, first)
-    assert Layers(spark, first).models()["fact_biometrics"].count() == 6
+    assert Layers(spark, first).models()["fact_biometrics"].count() == 7
 
 
 def test_a_day_lost_while_a_run_was_committing(spark, folder, monkeypatch):
@@ -370,11 +381,11 @@ def test_the_batch_landed_last_counts(spark, folder):
     land(failed, "z-first")
     inputs = f"{folder}/second"
     os.makedirs(inputs)
-    write_inputs(inputs, readings=[("00:00:05", "H-4", 11.0, 1.0, 100)])
+    write_inputs(inputs, readings=[("00:02:05", "kx07", 11.0, 1.0, 100)])
     settings = settings_for(folder, inputs, "a-second")
     run(spark, settings)
-    fact = Layers(spark, settings).models()["fact_biometrics"].where("hero_id = 'H-4'")
-    assert rows(fact.select("heart_rate"), "timestamp") == [(11.0,), (None,), (None,), (90.0,)]
+    fact = Layers(spark, settings).models()["fact_biometrics"].where("hero_id = 'kx07'")
+    assert rows(fact.select("heart_rate"), "timestamp") == [(11.0,), (None,), (66.0,), (None,), (61.0,)]
 
 
 def test_models_are_readable_after_any_number_of_runs(spark, folder):
@@ -386,11 +397,11 @@ def test_models_are_readable_after_any_number_of_runs(spark, folder):
             if layer != "staging":
                 found = spark.table(f"`{settings.layer(layer)}`.`{model}`")
                 assert found.count() == Layers(spark, settings).models()[model].count()
-    assert spark.table("analytics.obt_missions").count() == 5
+    assert spark.table("analytics.obt_missions").count() == 7
 
 
 def test_failed_checks_change_nothing_that_was_current(spark, folder):
-    write_inputs(folder, missions=[MISSIONS[0]])
+    write_inputs(folder, missions=[MISSIONS[1]])
     settings = settings_for(folder, folder, "one")
     run(spark, settings)
     before = snapshot(Layers(spark, settings))
@@ -428,13 +439,13 @@ def test_per_key_mark(spark, folder):
     write_inputs(folder)
     run(spark, settings_for(folder, folder, "one"))
     os.makedirs(f"{folder}/second")
-    late = [("00:02:10", "I-2", 50.0, 1.0, 10), ("00:01:10", "H-4", 50.0, 1.0, 10)]
+    late = [("00:03:10", "kx31", 50.0, 1.0, 10), ("00:05:10", "kx07", 50.0, 1.0, 10)]
     inputs = write_inputs(f"{folder}/second", readings=late)
     settings = settings_for(folder, inputs, "two", per_key_mark=True)
     result = run(spark, settings)
     fact = {s["load"]: s for s in result["loads"]}["fact_biometrics"]
     assert (fact["out.rows"], fact["late"]) == (1, 1)
-    assert Layers(spark, settings).models()["fact_biometrics"].count() == 7
+    assert Layers(spark, settings).models()["fact_biometrics"].count() == 8
 
 
 def test_arrivals(spark, folder):
@@ -450,7 +461,7 @@ def test_arrivals(spark, folder):
         stream = spark.readStream.schema(schema).parquet(f"{folder}/landing")
         run_arrivals(spark, settings, stream, f"{folder}/checkpoint")
         seen.append(layers.models()["fact_biometrics"].count())
-    assert seen == [6, 8, 8]
+    assert seen == [7, 9, 9]
     assert layers.raw_biometrics.read().count() == 0
 
 
@@ -464,4 +475,4 @@ def test_json_lines_input(spark, folder):
         folder, folder, "one", missions_file="lines.json", missions_are_lines=True
     )
     run(spark, settings)
-    assert Layers(spark, settings).models()["dim_missions_heroes"].count() == 5
+    assert Layers(spark, settings).models()["dim_missions_heroes"].count() == 7

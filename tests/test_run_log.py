@@ -117,7 +117,7 @@ def test_a_second_run_between_append_and_commit(spark, folder, monkeypatch):
     run(spark, settings)
     assert seen == [["B"]]  # the refused run took nothing off raw either
     assert committed(layers.log) == ["A", "B"]
-    assert layers.models()["fact_biometrics"].count() == 8
+    assert layers.models()["fact_biometrics"].count() == 9
 
 
 def test_a_run_given_up_as_lost_leaves_nothing(spark, folder, monkeypatch):
@@ -140,7 +140,7 @@ def test_a_run_given_up_as_lost_leaves_nothing(spark, folder, monkeypatch):
     layers = Layers(spark, settings)
     assert committed(layers.log) == ["A", "C"]
     fact = layers.models()["fact_biometrics"]
-    assert (fact.count(), fact.distinct().count()) == (8, 8)
+    assert (fact.count(), fact.distinct().count()) == (9, 9)
 
 
 def test_views_show_committed_runs_alone(spark, folder):
@@ -154,16 +154,16 @@ def test_views_show_committed_runs_alone(spark, folder):
         land_readings(layers, spark.read.parquet(f"{folder}/second/biometrics.parquet").selectExpr(
             "timestamp_micros(CAST(timestamp / 1000 AS BIGINT)) AS timestamp", "* EXCEPT (timestamp)"), "B")
         append_fact(layers, layers.staged("B")["stg_biometrics"], "B")
-        assert layers.biometrics.read().count() == 8
-        assert rows(spark.sql(view)) == [(6,)]
+        assert layers.biometrics.read().count() == 9
+        assert rows(spark.sql(view)) == [(7,)]
         layers.commit(lease)
-        assert rows(spark.sql(view)) == [(8,)]
+        assert rows(spark.sql(view)) == [(9,)]
     with pytest.raises(RuntimeError), layers.lease("D"):
         layers.biometrics.replace(layers.biometrics.read().selectExpr("* EXCEPT (run_id)", "'D' AS run_id"))
         fail()
-    assert layers.biometrics.read().count() == 16
-    assert rows(spark.sql(view)) == [(8,)]
-    assert layers.models()["fact_biometrics"].count() == 8
+    assert layers.biometrics.read().count() == 18
+    assert rows(spark.sql(view)) == [(9,)]
+    assert layers.models()["fact_biometrics"].count() == 9
 
 
 @pytest.mark.parametrize("step", ["check", "commit", "publish"])
@@ -183,7 +183,7 @@ def test_a_crash_leaves_every_table_as_it_was(spark, folder, monkeypatch, step):
     if step != "publish":
         run(spark, settings)
         after = snapshot(layers)
-    assert len(after["fact_biometrics"]) == 8
+    assert len(after["fact_biometrics"]) == 9
     assert {str(r[1]) for r in after["obt_missions"]} == {"2025-01-01", "2025-01-02"}
 
 
@@ -199,7 +199,7 @@ def test_leftovers_of_a_killed_driver(spark, folder):
     append_fact(layers, layers.staged("A")["stg_biometrics"], "A")
     time.sleep(1.2)
     run(spark, settings_for(folder, folder, "B", lease_seconds=1000))
-    assert layers.models()["fact_biometrics"].count() == 6
+    assert layers.models()["fact_biometrics"].count() == 7
     assert not Folder(spark, layers.biometrics.path).has("run_id=A")
 
 
@@ -210,5 +210,5 @@ def test_more_readings_than_one_day(spark, folder):
         write_readings(f"{folder}/biometrics.parquet", READINGS if day < 3 else SECOND_READINGS, "us", day)
         run(spark, settings_for(folder, folder, f"day {day}"))
     layers = Layers(spark, settings_for(folder, folder, "x"))
-    assert layers.marks()["ts"].startswith("2025-01-03 00:05")
+    assert layers.marks()["ts"].startswith("2025-01-03 00:08")
     assert layers.fact().select("day").distinct().count() == 3
