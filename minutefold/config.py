@@ -95,7 +95,7 @@ class Settings:
     resample_partitions: int = 0
     per_key_mark: bool = False
     collation: str = ""
-    check_whole_fact: bool = True
+    check_whole_fact: bool = False
     layer_names: dict[str, str] = field(default_factory=lambda: {n: n for n in LAYERS})
 
     ENV_PREFIX: ClassVar[str] = "MINUTEFOLD_"

@@ -102,7 +102,17 @@ def report(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
 
 def enforce(results: DataFrame) -> list[dict]:
     """Run the report, return its rows, and raise if a check of severity error failed."""
-    rows = [r.asDict() for r in results.collect()]  # one row per check
+    return raise_failed([r.asDict() for r in results.collect()])  # one row per check
+
+
+def counted(check: Check, failures: int) -> dict:
+    """A row of a report from a count that was kept."""
+    status = "pass" if failures == 0 else check.severity
+    return {"model": check.model, "test": check.test, "column": ",".join(check.columns), "failures": failures, "status": status}
+
+
+def raise_failed(rows: list[dict]) -> list[dict]:
+    """The rows of a report, unless a check of severity error failed."""
     failed = [r for r in rows if r["status"] == "error"]
     if failed:
         text = "; ".join(
@@ -158,5 +168,10 @@ def _count_rows(df: DataFrame, checks: list[Check]) -> DataFrame:
 def _count_orphans(models: dict[str, DataFrame], check: Check) -> DataFrame:
     col = check.columns[0]
     references = models[check.model].groupBy(col).agg(F.count(F.lit(1)).alias("n_rows"))
-    lost = orphans(references, col, models[check.args["parent"]], check.args["parent_col"])
+    return lost_rows(references, check, models[check.args["parent"]])
+
+
+def lost_rows(references: DataFrame, check: Check, parent: DataFrame) -> DataFrame:
+    """``failures`` of an ``in_parent`` check, from the number of rows per reference, ``n_rows``."""
+    lost = orphans(references, check.columns[0], parent, check.args["parent_col"])
     return lost.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("failures"))

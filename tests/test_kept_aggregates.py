@@ -1,0 +1,73 @@
+"""Checks and marks from what runs kept, without the fact of earlier runs; load counts as a table."""
+
+import os
+
+from fixture_files import READINGS, rows, write_inputs, write_readings
+from pyspark.sql import functions as F
+from test_run import SECOND_HEROES, SECOND_READINGS, settings_for
+
+from minutefold.operators.quality import report
+from minutefold.plans.checks import CHECKS
+from minutefold.plans.run import Layers, run, run_arrivals
+from minutefold.sources.tables import Folder
+
+STRANGERS = [("00:02:00", "x1", 1.0, 1.0, 1), ("00:03:00", "x1", 1.0, 1.0, 1), ("00:02:30", "x2", 1.0, 1.0, 1)]
+
+
+def of_fact(checks):
+    return sorted((c["test"], c["column"], c["failures"], c["status"]) for c in checks if c["model"] == "fact_biometrics")
+
+
+def test_a_second_run_reads_no_earlier_row(spark, folder):
+    write_inputs(folder, readings=[*READINGS, *STRANGERS])
+    first = run(spark, settings_for(folder, folder, "one"))
+    assert ("in_parent", "hero_id", 3, "warn") in of_fact(first["checks"])
+    inputs = f"{folder}/second"
+    os.makedirs(inputs)
+    # A hero of the first run becomes known now, another stranger comes.
+    heroes = SECOND_HEROES + "x2,No Stranger,,2001-01-01\n"
+    write_inputs(inputs, heroes, [], [*SECOND_READINGS, ("00:09:00", "x3", 1.0, 1.0, 1)])
+    settings = settings_for(folder, inputs, "two")
+    layers = Layers(spark, settings)
+    held = layers.models()["fact_biometrics"].collect()
+    Folder(spark, layers.biometrics.path).drop("run_id=one")  # whoever reads it would miss it
+    second = run(spark, settings)
+    whole = spark.createDataFrame(held, layers.models()["fact_biometrics"].schema).unionByName(layers.models()["fact_biometrics"])
+    models = {"fact_biometrics": whole, "dim_heroes": layers.models()["dim_heroes"]}
+    wanted = report(models, [c for c in CHECKS if c.model == "fact_biometrics"]).collect()
+    assert of_fact(second["checks"]) == of_fact(r.asDict() for r in wanted)
+    assert ("in_parent", "hero_id", 3, "warn") in of_fact(second["checks"])  # x1 twice and x3
+
+
+def test_kept_keys_are_those_of_the_fact(spark, folder):
+    write_inputs(folder)
+    for day in (1, 2, 3):
+        write_readings(f"{folder}/biometrics.parquet", READINGS if day % 2 else SECOND_READINGS, "us", day)
+        run(spark, settings_for(folder, folder, f"day {day}"))
+    layers = Layers(spark, settings_for(folder, folder, "x"))
+    kept = layers.fact_keys.read(layers.log.last()["tables"]["fact_keys"])
+    want = layers.fact().groupBy("hero_id").agg(F.count("*").alias("n_rows"), F.max("timestamp").alias("timestamp"))
+    assert rows(kept.select("hero_id", "n_rows", "timestamp"), "hero_id") == rows(want, "hero_id")
+
+
+def test_load_counts_of_runs_and_arrivals(spark, folder):
+    names = {n: f"{n}_counts" for n in ("raw", "staging", "marts", "analytics")}
+    write_inputs(folder)
+    run(spark, settings_for(folder, folder, "one", layer_names=names))
+    os.makedirs(f"{folder}/landing")
+    write_readings(f"{folder}/landing/0.parquet", [*SECOND_READINGS, ("00:07:00", None, 1.0, 1.0, 1)], "us")
+    settings = settings_for(folder, folder, "stream", layer_names=names)
+    stream = spark.readStream.schema(spark.read.parquet(f"{folder}/landing").schema).parquet(f"{folder}/landing")
+    run_arrivals(spark, settings, stream, f"{folder}/checkpoint")
+    found = spark.sql("SELECT run_id, load, in_rows, in_null_hero_id, out_rows, late FROM marts_counts.load_counts")
+    assert rows(found, "run_id", "load") == [
+        ("one", "biometrics", 7, 1, 7, None),
+        ("one", "fact_biometrics", 7, None, 7, 0),
+        ("one", "heroes", None, None, 8, None),
+        ("one", "missions", None, None, 8, None),
+        ("stream-arrivals-00000000", "biometrics", 4, 1, 3, None),
+        ("stream-arrivals-00000000", "fact_biometrics", 3, None, 2, 1),
+    ]
+    assert rows(Layers(spark, settings).load_counts().drop("seconds"), "run_id", "load") == [
+        (r[0], r[1], *r[2:]) for r in rows(found, "run_id", "load")
+    ]
