@@ -249,10 +249,14 @@ def _cut(text: Column, opens: str, closes: str) -> Column:
     Split at the ends, so that each piece is looked at once: a pattern over the whole stretch
     reads to the end of the text from every beginning that has no end.
     """
-    pieces = F.split(text, closes)
-    count = F.size(pieces)
-    kept = F.transform(F.slice(pieces, 1, F.greatest(count - 1, F.lit(0))), lambda p: F.regexp_replace(p, f"(?s){opens}.*", " "))
-    return F.concat(F.array_join(kept, " "), F.when(count > 1, F.lit(" ")).otherwise(F.lit("")), F.element_at(pieces, -1))
+
+    # Bound by a lambda, so that the text is split once.
+    def joined(pieces: Column) -> Column:
+        ended = F.slice(pieces, 1, F.size(pieces) - 1)
+        kept = F.transform(ended, lambda p: F.regexp_replace(p, f"(?s){opens}.*", " "))
+        return F.array_join(F.concat(kept, F.array(F.element_at(pieces, -1))), " ")
+
+    return F.get(F.transform(F.array(F.split(text, closes)), joined), F.lit(0))
 
 
 def _readable(markup: Column) -> Column:
