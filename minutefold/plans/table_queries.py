@@ -33,9 +33,9 @@ from ..sources import BatchTable, BucketTable, DayTable, LoadMetrics, PartTable,
 from ..sources import export_csv, export_json, export_parquet, read_csv, read_json, read_parquet
 from ..streaming import above_mark, above_mark_per_key, apply_arrivals, replace_days, upsert
 from ..streaming.increments import days_from
-from . import analytics, marts, questions, staging
+from . import analytics, marts, questions, schemas, staging
 from .checks import CHECKS
-from .run import Layers, append_fact, land_readings
+from .run import Layers, append_fact, land_as_is, land_readings, together
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1153,6 +1153,50 @@ def fact_after_failed_run(t):
     return layers.models()["fact_biometrics"]
 
 
+RAW_HEROES_SQL = """SELECT {} AS hero_id, {} AS name, c_mktsegment AS alter_ego,
+    CAST(DATE '1940-01-01' + c_nationkey AS VARCHAR) AS first_appearance FROM customer"""
+
+
+@query(
+    RAW_HEROES_SQL.format("'H-' || c_custkey", "c_name")
+    + " UNION ALL "
+    + RAW_HEROES_SQL.format("CASE WHEN c_mktsegment <> 'BUILDING' THEN 'H-' || c_custkey END", "NULL")
+)
+def raw_heroes_landed(t):
+    """A CSV file of heroes, landed as it is in the raw layer."""
+    layers, path = lake(t, "heroes"), scratch_path(t.spark, "heroes-csv")
+    export_csv(raw_heroes(t), path)
+    land_as_is(layers.raw_heroes, "heroes", read_csv(t.spark, path, schemas.HEROES_FILE), "one")
+    return layers.raw_heroes.read()
+
+
+RAW_MISSIONS_SQL = f"""SELECT CASE WHEN event_type <> 'error' THEN 'M-' || event_id END AS mission_id,
+    CASE event_type WHEN 'signup' THEN '[]' WHEN 'view' THEN '["H-' || user_id || '"]'
+        ELSE '["H-' || user_id || '","H-' || {K} || '"]' END AS hero_ids,
+    CASE WHEN event_type <> 'view' THEN 'Place ' || event_type END AS location, ts AS timestamp,
+    CASE WHEN event_type = 'purchase' THEN 'Successful' ELSE event_type END AS outcome,
+    CASE WHEN event_type <> 'view' THEN '{{"structural_damage":' || CAST({VALUE_CENTS} * 10 AS BIGINT)
+        || ',"civilian_injuries":' || {K} || '}}' END AS damage_report FROM events"""
+
+
+@query(f"{RAW_MISSIONS_SQL} UNION ALL {RAW_MISSIONS_SQL}")
+def raw_missions_landed(t):
+    """JSON documents of missions, each one array, landed with nested values as text."""
+    log = raw_missions(t)
+    damage = "structural_damage bigint, civilian_injuries int"
+    nested = log.withColumns(
+        {"hero_ids": F.from_json("hero_ids", "array<string>"), "damage_report": F.from_json("damage_report", damage)}
+    )
+    record = F.to_json(F.struct(*log.columns), {"ignoreNullFields": "false"})
+    documents = nested.groupBy(F.pmod(F.xxhash64("timestamp"), F.lit(40)).alias("part")).agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list(record), ",\n"), F.lit("\n]")).alias("value")
+    )
+    layers, path = lake(t, "missions"), scratch_path(t.spark, "missions-json")
+    documents.select("value", "part").write.partitionBy("part").text(path)
+    land_as_is(layers.raw_missions, "missions", read_json(t.spark, path, schemas.MISSIONS_FILE), "one")
+    return layers.raw_missions.read().withColumn("timestamp", to_utc_ntz(F.col("timestamp")))
+
+
 def lake(t: Tables, label: str) -> Layers:
     """The layers below a new folder, in schemas of their own."""
     root = scratch_path(t.spark, label)
@@ -1346,12 +1390,19 @@ def check_sql(check: Check) -> tuple[str, str, str, str]:
 )
 def model_dq_report(t):
     # The tables that several checks read are on disk, as they are after a run.
-    heroes, missions = landed(dim_heroes(t), "heroes"), landed(stg_missions(t), "missions")
-    fact = landed(marts.fact_biometrics(stg_biometrics(t)), "fact")
+    heroes, missions, fact = together(
+        lambda: landed(dim_heroes(t), "heroes"),
+        lambda: landed(stg_missions(t), "missions"),
+        lambda: landed(marts.fact_biometrics(stg_biometrics(t)), "fact"),
+    )
+    bridge, wide = together(
+        lambda: landed(marts.dim_missions_heroes(missions), "bridge"),
+        lambda: landed(analytics.obt_biometrics(fact, missions, heroes, HOUR), "wide"),
+    )
     models = {
         "dim_heroes": heroes,
-        "dim_missions_heroes": landed(marts.dim_missions_heroes(missions), "bridge"),
+        "dim_missions_heroes": bridge,
         "fact_biometrics": fact,
-        "obt_biometrics": landed(analytics.obt_biometrics(fact, missions, heroes, HOUR), "wide"),
+        "obt_biometrics": wide,
     }
     return report(models, CHECKS)
