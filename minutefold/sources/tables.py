@@ -360,20 +360,19 @@ class PartTable:
         """
         paths = [f"{self.path}/data/version={version}/{PART}={v}" for v in written]
         rows = self.spark.read.option("basePath", f"{self.path}/data/version={version}").parquet(*paths)
-        keyed = rows.select(F.col(PART).cast("string").alias("part"), *self.keys).distinct()
+        keyed = rows.select(F.col(PART).cast("string").alias("part"), *self.keys)
         counts = keyed.groupBy("part").agg(F.ceil(F.count("*") / BLOCK_KEYS).alias("needed"))
-        # Powers of two, so that parts share few sizes.
-        sizes = counts.select(
-            F.col("part").alias("of"), F.pow(F.lit(2), F.ceil(F.log2("needed"))).cast("int").alias("blocks")
-        )
+        # Powers of two, so that parts share few sizes. One row per part.
+        sizes = {r["part"]: 1 << (r["needed"] - 1).bit_length() for r in counts.collect()}
+        of = self.spark.createDataFrame(list(sizes.items()), "of string, blocks int")
         bits = (
-            keyed.join(sizes, F.col("part") == F.col("of"))
+            keyed.join(of, F.col("part") == F.col("of"))
             .select("part", "blocks", self._block(F.col("blocks")).alias("block"), F.explode(self._places()).alias("place"))
             .groupBy("part", "blocks", "block")
             .agg(F.bitmap_construct_agg("place").alias("bits"))
         )
-        bits.write.partitionBy("part").parquet(f"{self.path}/filters/version={version}")
-        return {r["of"]: r["blocks"] for r in sizes.collect()}  # one row per part
+        bits.write.parquet(f"{self.path}/filters/version={version}")
+        return sizes
 
     def _block(self, blocks: Column) -> Column:
         return F.pmod(_key_hash(self.keys, 0), blocks).cast("int")
@@ -387,9 +386,12 @@ class PartTable:
         sizes = sorted({e["blocks"] for e in named.values() if e["blocks"]})
         if not sizes:
             return set()
-        filters = self.spark.read.option("basePath", f"{self.path}/filters").parquet(
-            *[f"{self.path}/filters/version={e['version']}/part={v}" for v, e in named.items() if e["blocks"]]
+        versions = sorted({e["version"] for e in named.values() if e["blocks"]})
+        written = self.spark.read.option("basePath", f"{self.path}/filters").parquet(
+            *[f"{self.path}/filters/version={v}" for v in versions]
         )
+        live = self.spark.createDataFrame([(e["version"], v) for v, e in named.items()], "version int, part string")
+        filters = written.join(live, ["version", "part"], "left_semi")
         # A key's block hangs on how many a filter has: one probe for each number there is.
         probes = (
             batch.dropna(subset=self.keys).select(*self.keys).distinct()
@@ -407,16 +409,16 @@ class PartTable:
         folder = self._folder
         names = [n for n in (keep if keep is not None else [self.current]) if n]
         named = {(e["version"], v) for n in names for v, e in self._entries(n).items()}
-        for below, column in (("data", PART), ("filters", "part")):
-            inside = Folder(self.spark, f"{self.path}/{below}")
-            for version in inside.names("version="):
-                number = int(version.split("=")[1])
-                held = Folder(self.spark, f"{self.path}/{below}/{version}").names(f"{column}=")
-                gone = [h for h in held if (number, h.split("=", 1)[1]) not in named]
-                for part in gone if len(gone) < len(held) else []:
-                    inside.drop(f"{version}/{part}")
-                if len(gone) == len(held):
-                    inside.drop(version)
+        inside = Folder(self.spark, f"{self.path}/data")
+        for version in inside.names("version="):
+            number = int(version.split("=")[1])
+            held = Folder(self.spark, f"{self.path}/data/{version}").names(f"{PART}=")
+            gone = [h for h in held if (number, h.split("=", 1)[1]) not in named]
+            for part in gone if len(gone) < len(held) else []:
+                inside.drop(f"{version}/{part}")
+            if len(gone) == len(held):
+                inside.drop(version)
+                Folder(self.spark, f"{self.path}/filters").drop(version)
         for old in folder.names("manifest-"):
             if old not in names:
                 folder.drop(old)
