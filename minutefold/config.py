@@ -94,6 +94,7 @@ class Settings:
     lease_wait: int = 0
     resample_partitions: int = 0
     per_key_mark: bool = False
+    arrivals_delay: str = ""
     collation: str = ""
     check_whole_fact: bool = False
     layer_names: dict[str, str] = field(default_factory=lambda: {n: n for n in LAYERS})

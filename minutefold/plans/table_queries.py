@@ -8,6 +8,7 @@ that are averaged are whole cents, whose sums are exact in any order.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ from ..streaming import above_mark, above_mark_per_key, apply_arrivals, replace_
 from ..streaming.increments import days_from
 from . import analytics, marts, questions, schemas, staging
 from .checks import CHECKS
-from .run import Layers, append_fact, land_as_is, land_readings, together
+from .run import Layers, append_fact, land_as_is, land_readings, run_arrivals, together
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1255,6 +1256,21 @@ def fact_view_of_committed_runs(t):
     return t.spark.table(f"{layers.settings.layer('marts')}.fact_biometrics")
 
 
+@query(f"{LAYERS} SELECT * FROM stg_biometrics")
+def arrivals_shared_bins(t):
+    """Files that arrive one after the other, cut inside an hour that both sides of a cut share."""
+    layers = lake(t, "arrivals")
+    landing, checkpoint = scratch_path(t.spark, "landing"), scratch_path(t.spark, "arrivals")
+    cuts = [clock(c) for c in ("2024-01-16 12:17:00", "2024-01-20 07:43:00")]
+    rows, at = readings(t), F.col("timestamp")
+    for n in range(len(cuts) + 1):
+        after = [at >= c for c in cuts[n - 1 : n] if n] + [at < c for c in cuts[n : n + 1]]
+        rows.where(reduce(Column.__and__, after)).write.mode("append").parquet(landing)
+        stream = t.spark.readStream.schema(rows.schema).parquet(landing)
+        run_arrivals(t.spark, layers.settings, stream, checkpoint, close=n == len(cuts))
+    return layers.models()["fact_biometrics"]
+
+
 @query(
     f"""{LAYERS} SELECT * REPLACE (CASE WHEN CAST(substr(hero_id, 3) AS BIGINT) % 3 = 0
         THEN 'again' || name ELSE name END AS name) FROM dim_heroes"""

@@ -58,7 +58,7 @@ def test_load_counts_of_runs_and_arrivals(spark, folder):
     write_readings(f"{folder}/landing/0.parquet", [*SECOND_READINGS, ("00:07:00", None, 1.0, 1.0, 1)], "us")
     settings = settings_for(folder, folder, "stream", layer_names=names)
     stream = spark.readStream.schema(spark.read.parquet(f"{folder}/landing").schema).parquet(f"{folder}/landing")
-    run_arrivals(spark, settings, stream, f"{folder}/checkpoint")
+    run_arrivals(spark, settings, stream, f"{folder}/checkpoint", close=True)
     found = spark.sql("SELECT run_id, load, in_rows, in_null_hero_id, out_rows, late FROM marts_counts.load_counts")
     assert rows(found, "run_id", "load") == [
         ("one", "biometrics", 7, 1, 7, None),
@@ -66,7 +66,9 @@ def test_load_counts_of_runs_and_arrivals(spark, folder):
         ("one", "heroes", None, None, 8, None),
         ("one", "missions", None, None, 8, None),
         ("stream-arrivals-00000000", "biometrics", 4, 1, 3, None),
-        ("stream-arrivals-00000000", "fact_biometrics", 3, None, 2, 1),
+        ("stream-arrivals-00000000", "fact_biometrics", 2, None, 1, 1),
+        ("stream-arrivals-close-00000001", "biometrics", None, None, 1, None),
+        ("stream-arrivals-close-00000001", "fact_biometrics", 1, None, 1, 0),
     ]
     assert rows(Layers(spark, settings).load_counts().drop("seconds"), "run_id", "load") == [
         (r[0], r[1], *r[2:]) for r in rows(found, "run_id", "load")

@@ -459,7 +459,7 @@ def test_arrivals(spark, folder):
             write_readings(f"{folder}/landing/{i}.parquet", batch, "us")
         schema = spark.read.parquet(f"{folder}/landing").schema
         stream = spark.readStream.schema(schema).parquet(f"{folder}/landing")
-        run_arrivals(spark, settings, stream, f"{folder}/checkpoint")
+        run_arrivals(spark, settings, stream, f"{folder}/checkpoint", close=True)
         seen.append(layers.models()["fact_biometrics"].count())
     assert seen == [7, 9, 9]
     assert layers.raw_biometrics.read().count() == 0
