@@ -87,6 +87,7 @@ class Settings:
     biometrics_file: str = "biometrics.parquet"
     heroes_multi_line: bool = True
     missions_are_lines: bool = False
+    missions_split: bool = False
     every: str = "1 minute"
     severity: str = "warn"
     keep_raw: bool = False

@@ -856,6 +856,26 @@ def json_document_round_trip(t):
     return read_json(t.spark, path, schema).select(*schema.names)
 
 
+@query(
+    "SELECT event_id, CAST(json_object('kind', event_type, 'note', '}],\"' || event_type || chr(10) || '[{') AS VARCHAR) AS note FROM events"
+)
+def json_document_split(t):
+    """A few large arrays, cut into records in byte ranges; strings hold what could end a record."""
+    event, part = F.col("event_id"), F.pmod("user_id", F.lit(4)).alias("part")
+    note = F.concat(F.lit('}],"'), F.col("event_type"), F.lit("\n[{"))
+    inner = F.struct(F.col("event_type").alias("kind"), note.alias("note"))
+    rows = t.events.select(part, event, F.to_json(F.struct(event, inner.alias("note"))).alias("record"))
+    first = rows.groupBy("part").agg(F.min("event_id").alias("first"))
+    opened = rows.join(first, "part").select(
+        "part", "event_id", F.concat(F.when(event == F.col("first"), "[").otherwise(","), "record").alias("value")
+    )
+    closing = first.select("part", F.lit(2**63 - 1).alias("event_id"), F.lit("]").alias("value"))
+    path = scratch_path(t.spark, "large-documents")
+    lines = opened.unionByName(closing).repartition("part").sortWithinPartitions("part", "event_id")
+    lines.select("value", "part").write.partitionBy("part").text(path)
+    return read_json(t.spark, path, t.events.select("event_id", F.lit("").alias("note")).schema, split=True).select("event_id", "note")
+
+
 @query(
     """SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN c_name END AS c_name,
     CASE WHEN c_custkey % 2 = 0 THEN c_nationkey END AS c_nationkey FROM customer"""
