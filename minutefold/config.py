@@ -86,6 +86,7 @@ class Settings:
     missions_file: str = "mission_logs.json"
     biometrics_file: str = "biometrics.parquet"
     heroes_multi_line: bool = True
+    heroes_split: bool = False
     missions_are_lines: bool = False
     missions_split: bool = False
     every: str = "1 minute"

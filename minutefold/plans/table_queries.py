@@ -1325,8 +1325,8 @@ def whole_run_obt_missions(t):
 
 @query(f"{LAYERS} SELECT * FROM obt_biometrics")
 def whole_run_obt_biometrics(t):
-    """The same run's other wide table, its JSON documents cut into records in byte ranges."""
-    return t.spark.table(f"{whole_run(t, missions_split='true').layer('analytics')}.obt_biometrics")
+    """The same run's other wide table, its documents cut into records in byte ranges."""
+    return t.spark.table(f"{whole_run(t, missions_split='true', heroes_split='true').layer('analytics')}.obt_biometrics")
 
 
 @query(f"{LAYERS} SELECT * FROM stg_biometrics")

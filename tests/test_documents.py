@@ -1,5 +1,6 @@
 """JSON documents cut into records in byte ranges: the rows of a parse by one task."""
 
+import csv
 import json
 import random
 
@@ -9,7 +10,7 @@ from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
-from minutefold.sources import SourceError, read_json
+from minutefold.sources import SourceError, read_csv, read_json
 
 SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "text", "inner")])
 SIGNS = ["}", "{", "]", "[", '"', "\\", "\n", ",", ":", "é", "日", "\ufeff", "😀", " ", "a", "\\\\", '\\"']
@@ -100,3 +101,37 @@ def test_blank_files_have_no_records(spark, folder):
     write(folder, "a.json", "")
     write(folder, "b.json", " \n")
     assert read_json(spark, folder, SCHEMA, split=True).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_csv_rows_are_those_of_one_parse(spark, folder, ranges, seed):
+    r = random.Random(seed)
+    signs = [",", '"', "\n", "\n\n", "é", "日", "a", " ", "b c"]
+    for i in range(3):
+        with open(f"{folder}/{i}.csv", "w", encoding="utf-8", newline="") as f:
+            out = csv.writer(f, lineterminator="\n", quoting=[csv.QUOTE_MINIMAL, csv.QUOTE_ALL][i % 2])
+            f.write("inner,id,text\n")
+            out.writerows([["".join(r.choices(signs, k=r.randrange(9))), n, r.choice(["x", "null", ""])] for n in range(15)])
+    whole = read_csv(spark, folder, SCHEMA)
+    assert whole.count() == 45
+    assert sorted(map(str, rows(read_csv(spark, folder, SCHEMA, split=True)))) == sorted(map(str, rows(whole)))
+
+
+def test_csv_with_carriage_returns_and_a_mark(spark, folder, ranges):
+    write(folder, "a.csv", '\ufeffid,text,inner\r\n1,"a\r\nb",c\r\n\r\n2,,"d ""e"""')
+    got = read_csv(spark, f"{folder}/a.csv", SCHEMA, split=True)
+    assert rows(got, "id") == [("1", "a\nb", "c"), ("2", None, 'd "e"')]
+
+
+@pytest.mark.parametrize("row", ['1,5" pipe,6" pipe', '1,"open,x', '1, "a",b', '1,"a"b,c'])
+def test_csv_with_loose_quotes_raises(spark, folder, row):
+    write(folder, "a.csv", f"id,text,inner\n{row}\n2,x,y\n")
+    with pytest.raises((PySparkException, Py4JError)):
+        read_csv(spark, f"{folder}/a.csv", SCHEMA, split=True).collect()
+
+
+def test_csv_files_of_different_headers_raise(spark, folder):
+    write(folder, "a.csv", "id,text,inner\n1,2,3\n")
+    write(folder, "b.csv", "text,id,inner\n1,2,3\n")
+    with pytest.raises(ValueError, match="different headers"):
+        read_csv(spark, folder, SCHEMA, split=True)
