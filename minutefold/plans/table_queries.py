@@ -866,13 +866,15 @@ def json_document_split(t):
     note = F.concat(F.lit('}],"'), F.col("event_type"), F.lit("\n[{"))
     inner = F.struct(F.col("event_type").alias("kind"), note.alias("note"))
     rows = t.events.select(part, event, F.to_json(F.struct(event, inner.alias("note"))).alias("record"))
-    first = rows.groupBy("part").agg(F.min("event_id").alias("first"))
-    opened = rows.join(first, "part").select(
-        "part", "event_id", F.concat(F.when(event == F.col("first"), "[").otherwise(","), "record").alias("value")
+    # Four rows. A join or a union before the shuffle would let Spark do without it where it
+    # thinks that the rows lie by part already, and write a document as several files.
+    ends = rows.groupBy("part").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last")).collect()
+    opens, closes = ([r[c] for r in ends] for c in ("first", "last"))
+    line = F.concat(
+        F.when(event.isin(opens), "[").otherwise(","), "record", F.when(event.isin(closes), "]").otherwise("")
     )
-    closing = first.select("part", F.lit(2**63 - 1).alias("event_id"), F.lit("]").alias("value"))
     path = scratch_path(t.spark, "large-documents")
-    lines = opened.unionByName(closing).repartition("part").sortWithinPartitions("part", "event_id")
+    lines = rows.withColumn("value", line).repartition("part").sortWithinPartitions("part", "event_id")
     lines.select("value", "part").write.partitionBy("part").text(path)
     return read_json(t.spark, path, t.events.select("event_id", F.lit("").alias("note")).schema, split=True).select("event_id", "note")
 
