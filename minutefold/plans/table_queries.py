@@ -866,8 +866,8 @@ def json_document_split(t):
     note = F.concat(F.lit('}],"'), F.col("event_type"), F.lit("\n[{"))
     inner = F.struct(F.col("event_type").alias("kind"), note.alias("note"))
     rows = t.events.select(part, event, F.to_json(F.struct(event, inner.alias("note"))).alias("record"))
-    # Four rows. A join or a union before the shuffle would let Spark do without it where it
-    # thinks that the rows lie by part already, and write a document as several files.
+    # Four rows. With the closing lines added by a union of joins, a document came out as two
+    # files under 211 partitions that were not coalesced.
     ends = rows.groupBy("part").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last")).collect()
     opens, closes = ([r[c] for r in ends] for c in ("first", "last"))
     line = F.concat(
