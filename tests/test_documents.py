@@ -135,3 +135,48 @@ def test_csv_files_of_different_headers_raise(spark, folder):
     write(folder, "b.csv", "text,id,inner\n1,2,3\n")
     with pytest.raises(ValueError, match="different headers"):
         read_csv(spark, folder, SCHEMA, split=True)
+
+
+def bytes_read(spark):
+    """Of local files, by all of this process so far."""
+    stats = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+    return sum(s.getBytesRead() for s in stats if s.getScheme() == "file")
+
+
+def test_nested_values_are_not_read_from_the_file_again(spark, folder):
+    records = [{"id": str(i), "text": "t", "inner": {"a": [1,  i]}} for i in range(2_000)]
+    text = json.dumps(records, indent=1)
+    write(folder, "m.json", text)
+    before = bytes_read(spark)
+    got = read_json(spark, f"{folder}/m.json", SCHEMA).collect()
+    assert bytes_read(spark) - before < 20 * len(text)
+    assert got[7]["inner"] == '{\n   "a": [\n    1,\n    7\n   ]\n  }'
+
+
+def test_large_documents_are_cut(spark, folder, monkeypatch):
+    from minutefold.sources import files
+
+    cut = []
+    split = files.split_documents
+    monkeypatch.setattr(files, "split_documents", lambda *a: cut.append(a) or split(*a))
+    monkeypatch.setattr(files, "WHOLE_BYTES", 1_000)
+    write(folder, "small.json", json.dumps([{"id": "a"}]))
+    assert read_json(spark, folder, SCHEMA).count() == 1 and not cut
+    write(folder, "large.json", json.dumps([{"id": str(i), "inner": {"k": "}"}} for i in range(100)]))
+    assert read_json(spark, folder, SCHEMA).count() == 101 and len(cut) == 1
+
+
+def test_texts_of_a_range_are_dealt_in_chunks(spark, folder, monkeypatch):
+    from minutefold.sources import documents
+
+    monkeypatch.setattr(documents, "CHUNK_BITS", 2)
+    records = [{"id": str(i), "text": '}"{' * (i % 3), "inner": [{}, {"a": "]"}] * (i % 5)} for i in range(300)]
+    write(folder, "m.json", json.dumps(records))
+    whole = sorted(map(str, rows(read_json(spark, f"{folder}/m.json", SCHEMA))))
+    pieces = documents._pieces(spark, f"{folder}/m.json")
+    assert pieces.groupBy(*documents.SPLIT).count().agg({"count": "max"}).first()[0] <= 4
+    assert sorted(map(str, rows(read_json(spark, f"{folder}/m.json", SCHEMA, split=True)))) == whole
+    with open(f"{folder}/h.csv", "w", newline="") as f:
+        csv.writer(f).writerows([["id", "text", "inner"], *([str(i), "a\nb" * (i % 3), 'say "x"'] for i in range(99))])
+    lines = sorted(map(str, rows(read_csv(spark, f"{folder}/h.csv", SCHEMA))))
+    assert sorted(map(str, rows(read_csv(spark, f"{folder}/h.csv", SCHEMA, split=True)))) == lines
