@@ -476,3 +476,9 @@ def test_json_lines_input(spark, folder):
     )
     run(spark, settings)
     assert Layers(spark, settings).models()["dim_missions_heroes"].count() == 7
+
+
+def test_rows_of_one_run_are_not_gathered_in_one_task(spark, folder):
+    layers = Layers(spark, Settings(input_dir=folder, root=f"{folder}/lake"))
+    plan = layers.fact("one")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
