@@ -130,3 +130,19 @@ def test_another_number_of_buckets_loses_no_row(spark, folder, first, later):
     want = [(k, 1 if k == 7 else 0) for k in range(50)] + [(60, 1)]
     assert rows(t.read(), "k") == want
     assert t.buckets == first
+
+
+def test_filters_are_made_by_tasks_of_bounded_size(spark, folder, monkeypatch):
+    from minutefold.sources import tables
+
+    monkeypatch.setattr(tables, "BLOCK_KEYS", 10)
+    monkeypatch.setattr(tables, "TASK_BLOCKS", 2, raising=False)
+    table = tables.PartTable(spark, f"{folder}/t", "part", ["k"])
+    rows = spark.range(1000).selectExpr("id AS k", "0 AS part")
+    table.upsert(rows)
+    filters = spark.read.parquet(f"{folder}/t/filters")
+    assert filters.count() > 100  # 128 blocks, of which some may be empty
+    per_task = filters.groupBy("_metadata.file_path").count().agg({"count": "max"}).first()[0]
+    assert per_task <= 16
+    assert table.upsert(rows.where("k = 7").selectExpr("k", "1 AS part")) == ["0", "1"]
+    assert table.read().count() == 1000
